@@ -1,0 +1,87 @@
+"""Tables that are replaced whole.
+
+Plain Parquet tables have no row-level merge, and Spark refuses to overwrite a table it is
+reading. So each new content is written as a new table, ``<name>_v<n>``, and a catalog view
+``<name>`` is moved onto it once it is complete. Readers see the old content or the new.
+"""
+
+from __future__ import annotations
+
+import re
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from metaloom.sources.tables import conform, typed_rows
+
+
+def _quoted(*parts: str) -> str:
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
+@dataclass
+class VersionedTable:
+    """A table name with numbered contents behind it.
+
+    ``location`` is the folder for the contents, by default the catalog's own. ``buckets``
+    with ``bucket_by`` keeps them bucketed, so that joins on that column do not shuffle them.
+    """
+
+    spark: SparkSession
+    catalog: str
+    schema: str
+    table: str
+    columns: StructType
+    comment: str = ""
+    location: str | None = None
+    bucket_by: str | None = None
+    buckets: int = 0
+
+    @property
+    def name(self) -> str:
+        return _quoted(self.catalog, self.schema, self.table)
+
+    def versions(self) -> list[int]:
+        """Numbers of the contents there are, oldest first."""
+        shown = self.spark.sql(
+            f"SHOW TABLES IN {_quoted(self.catalog, self.schema)} LIKE '{self.table.lower()}_v*'"
+        )
+        pattern = re.compile(re.escape(self.table.lower()) + r"_v(\d+)")
+        names = (row.tableName.lower() for row in shown.collect())
+        return sorted(int(m.group(1)) for m in map(pattern.fullmatch, names) if m)
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def create(self) -> None:
+        """Create the table, empty, unless it is there."""
+        if not self.exists():
+            self.publish(typed_rows(self.spark, [], self.columns))
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def publish(self, content: DataFrame) -> DataFrame:
+        """Make ``content``, which may be derived from the table itself, its new content."""
+        version = f"{self.table}_v{max(self.versions(), default=0) + 1}"
+        writer = conform(content, self.columns).write.format("parquet")
+        if self.location:
+            writer = writer.option("path", f"{self.location}/{version}-{uuid.uuid4().hex}")
+        if self.buckets and self.bucket_by:
+            writer = writer.bucketBy(self.buckets, self.bucket_by).sortBy(self.bucket_by)
+        writer.saveAsTable(_quoted(self.catalog, self.schema, version))
+        comment = self.comment.replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name} COMMENT '{comment}' AS "
+            f"SELECT * FROM {_quoted(self.catalog, self.schema, version)}"
+        )
+        return self.read()
+
+    def drop_superseded(self, keep: int = 1) -> None:
+        """Drop all but the newest ``keep`` contents; readers of dropped ones fail."""
+        for number in self.versions()[: -max(keep, 1)]:
+            self.spark.sql(
+                f"DROP TABLE {_quoted(self.catalog, self.schema, f'{self.table}_v{number}')}"
+            )

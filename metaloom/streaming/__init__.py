@@ -1,0 +1 @@
+"""Kept empty: every input of this package is a finite table, and no operator is a stream."""
