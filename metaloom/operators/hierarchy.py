@@ -7,6 +7,8 @@ Flattening the pages gives every table once, however they were cut.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom import fixed_values as fv
@@ -35,26 +37,16 @@ def nest(
     """Inventory rows as catalog rows: ``uc_id, uc_name, sf_name, page, schemas``.
 
     ``schemas`` names all schemas; those without inventory rows appear with an empty table
-    list unless ``include_empty_schemas`` is off. The large side is shuffled twice, by schema
-    for its page and by page to gather it. Everything else works on one row per schema.
-    """
-    sizes = inventory.groupBy(*_SCHEMA).agg(F.count("*").alias("n_tables"))
-    if schemas is not None and include_empty_schemas:
-        sizes = (
-            sizes.unionByName(schemas.select(*_SCHEMA, F.lit(0).cast("long").alias("n_tables")))
-            .groupBy(*_SCHEMA)
-            .agg(F.max("n_tables").alias("n_tables"))
-        )
-    weight = F.sum(F.greatest(F.col("n_tables"), F.lit(1)))
-    catalog_pages = sizes.groupBy(*_CATALOG).agg(page_count(weight, page_size).alias("catalog_pages"))
-    plan = skew_safe_join(sizes, catalog_pages, _CATALOG, "inner").withColumn(
-        "schema_pages", page_count(F.col("n_tables"), page_size)
-    )
+    list unless ``include_empty_schemas`` is off. Keys must be complete, as ``inventory``
+    leaves them.
 
-    tables = skew_safe_join(inventory, plan, _SCHEMA, "inner").select(
+    The tables are shuffled twice, by schema to learn its page count and by page to be
+    gathered. Page counts come from one row per schema, computed once: the explicit NULL
+    check makes its two uses the same plan, which Spark then reuses.
+    """
+    tables = inventory.select(
         *_SCHEMA,
-        "catalog_pages",
-        page_of(F.col("schema_pages"), F.col(fv.TABLE_ID)).alias("schema_page"),
+        F.col(fv.TABLE_ID).alias("table_key"),
         _node(
             fv.TABLE_ID,
             fv.TABLE_NAME,
@@ -62,19 +54,23 @@ def nest(
             F.col(fv.TABLE_TYPE).alias("table_type"),
         ).alias("table"),
     )
-    nodes = tables.groupBy(*_SCHEMA, "catalog_pages", "schema_page").agg(
-        F.collect_list("table").alias("tables")
-    )
     if schemas is not None and include_empty_schemas:
-        empty = plan.filter(F.col("n_tables") == 0).select(
-            *_SCHEMA,
-            "catalog_pages",
-            F.lit(0).cast("long").alias("schema_page"),
-            F.array().cast(nodes.schema["tables"].dataType).alias("tables"),
-        )
-        nodes = nodes.unionByName(empty)
+        tables = tables.unionByName(schemas.select(*_SCHEMA), allowMissingColumns=True)
+    tables = tables.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _SCHEMA]))
+
+    sizes = tables.groupBy(*_SCHEMA).agg(F.count("table_key").alias("n_tables"))
+    weight = F.sum(F.greatest(F.col("n_tables"), F.lit(1)))
+    catalog_pages = sizes.groupBy(*_CATALOG).agg(page_count(weight, page_size).alias("catalog_pages"))
+    sizes = skew_safe_join(sizes, catalog_pages, _CATALOG, "inner").withColumn(
+        "schema_pages", page_count(F.col("n_tables"), page_size)
+    )
     return (
-        nodes.select(
+        skew_safe_join(tables, sizes, _SCHEMA, "inner")
+        .withColumn("schema_page", page_of(F.col("schema_pages"), F.col("table_key")))
+        .groupBy(*_SCHEMA, "n_tables", "catalog_pages", "schema_page")
+        .agg(F.collect_list("table").alias("tables"))
+        .filter((F.size("tables") > 0) | (F.col("n_tables") == 0))
+        .select(
             *_CATALOG,
             page_of(F.col("catalog_pages"), F.col(fv.SCHEMA_ID), F.col("schema_page")).alias("page"),
             _node(fv.SCHEMA_ID, fv.SCHEMA_NAME, F.col("tables")).alias("schema"),

@@ -38,7 +38,10 @@ def untagged_tables(view: DataFrame) -> DataFrame:
 
 
 def default_tags(untagged: DataFrame) -> DataFrame:
-    """The five default tag rows of each untagged table: map it onto its own names."""
+    """The five default tag rows of each untagged table: map it onto its own names.
+
+    Records that share names are one table here and get one set.
+    """
     values = {
         fv.TARGET_DATABASE: F.col(fv.CATALOG_NAME),
         fv.TARGET_SCHEMA: F.col(fv.SCHEMA_NAME),
@@ -50,7 +53,7 @@ def default_tags(untagged: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("tag_name"), value.alias("tag_value"))
         for name, value in values.items()
     ]
-    return untagged.select(
+    return untagged.select(*schemas.SOURCE_NAMES).distinct().select(
         *(F.col(n).alias(k) for n, k in zip(schemas.SOURCE_NAMES, schemas.TAG_KEYS)),
         F.inline(F.array(*rows)),
     )
@@ -67,16 +70,15 @@ def set_tags(tags: DataFrame, new_tags: DataFrame) -> DataFrame:
     return kept.select(*schemas.TAGS.names).unionByName(new_tags)
 
 
-def tag_untagged(tags: DataFrame, view: DataFrame) -> DataFrame:
-    """The tag table after giving every untagged table its default tags.
+def set_default_tags(tags: DataFrame, new_tags: DataFrame) -> DataFrame:
+    """The tag table after setting default tags of untagged tables.
 
     An untagged table has no mapping tag with a value. So of all existing rows only external
     volumes and mapping tags without a value can be replaced; the others, which are most, pass
-    through without a shuffle.
+    through without a shuffle. ``new_tags`` is read twice: stage it, as it hangs on the view.
     """
     replaceable = (F.col("tag_name") == fv.EXTERNAL_VOLUME) | (
         F.col("tag_name").isin(*_MAPPING_TAGS) & F.col("tag_value").isNull()
     )
     replaceable = F.coalesce(replaceable, F.lit(False))
-    new_tags = default_tags(untagged_tables(view).select(*schemas.SOURCE_NAMES).distinct())
     return tags.filter(~replaceable).unionByName(set_tags(tags.filter(replaceable), new_tags))

@@ -25,7 +25,7 @@ from metaloom.operators.statements import (
     schema_statements,
     table_statements,
 )
-from metaloom.operators.tags import tag_untagged
+from metaloom.operators.tags import default_tags, set_default_tags, untagged_tables
 from metaloom.operators.targets import (
     eligible_tables,
     integration_targets,
@@ -172,7 +172,8 @@ class CatalogMirror:
 
     def refresh_uc_metadata_tags(self) -> None:
         """Give each table without mapping tags the default ones."""
-        self.tags.publish(tag_untagged(self.tags.read(), self.view()))
+        new_tags = stage(default_tags(untagged_tables(self.view())), "tags")
+        self.tags.publish(set_default_tags(self.tags.read(), new_tags))
         register_view(self.view(), self.metadata.table + fv.VIEW_SUFFIX)
 
     # Integrations

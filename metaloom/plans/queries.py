@@ -19,7 +19,7 @@ from metaloom.operators.merge import update_status, upsert_metadata, upsert_smal
 from metaloom.operators.outcomes import container_outcomes, integration_outcomes, table_outcomes
 from metaloom.operators.paging import list_pages
 from metaloom.operators.statements import integration_statements, table_statements
-from metaloom.operators.tags import default_tags, pivot_tags, tag_untagged, untagged_tables
+from metaloom.operators.tags import default_tags, pivot_tags, set_default_tags, untagged_tables
 from metaloom.operators.targets import (
     eligible_tables,
     integration_targets,
@@ -27,7 +27,7 @@ from metaloom.operators.targets import (
     target_schemas,
 )
 from metaloom.operators.view import enriched_view, register_view
-from metaloom.session import staging_path
+from metaloom.session import stage, staging_path
 from metaloom.sources import listings
 from metaloom.sources.tables import empty_metadata, read_metadata
 from metaloom.workload import LOG_ORDER, Workload, dashed
@@ -83,7 +83,8 @@ def defaults(w: Workload) -> DataFrame:
 
 
 def tags_after_refresh(w: Workload) -> DataFrame:
-    return tag_untagged(w.tags(), _unsynced_view(w))
+    new_tags = stage(default_tags(untagged_tables(_unsynced_view(w))), "tags")
+    return set_default_tags(w.tags(), new_tags)
 
 
 def integrations(w: Workload) -> DataFrame:

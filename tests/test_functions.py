@@ -1,0 +1,233 @@
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from metaloom import fixed_values as fv
+from metaloom.functions import attributes, keys, outcomes, statements, text
+from tests.fixtures import UUID_A, UUID_B, inventory
+
+
+def evaluate(spark, column, **values):
+    """One expression over a one-row frame of strings."""
+    names = list(values) or ["unused"]
+    rows = [tuple(values.values()) or (None,)]
+    schema = ", ".join(f"`{n}` {'boolean' if isinstance(values.get(n), bool) else 'string'}" for n in names)
+    return spark.createDataFrame(rows, schema).select(column.alias("x")).first().x
+
+
+def hashed(*parts):
+    """The 64-bit hash of strings, each seeded with the hash of the ones before."""
+    seed = 42
+    for part in parts:
+        seed = xxhash.xxh64(part.encode(), seed=seed).intdigest()
+    return abs(seed - 2**64 if seed >= 2**63 else seed)
+
+
+class TestKeys:
+    def test_hash_of_ids(self, spark):
+        from metaloom.operators.keys import keyed
+
+        row = keyed(inventory(spark, ("c1", "s1", "t1", "cat", "sch", "tab"))).first()
+        assert row[fv.RECORD_ID] == hashed("c1", "s1", "t1")
+        assert row[fv.INTEGRATION] == f"dbx_uc_catint_{hashed('c1', 's1')}"
+
+    def test_one_integration_per_schema(self, spark):
+        from metaloom.operators.keys import keyed
+
+        rows = keyed(
+            inventory(
+                spark,
+                ("c", "s", "1", "cat", "sch", "a"),
+                ("c", "s", "2", "cat", "sch", "b"),
+                ("c", "z", "3", "cat", "zch", "a"),
+            )
+        ).collect()
+        assert len({r[fv.RECORD_ID] for r in rows}) == 3
+        assert len({r[fv.INTEGRATION] for r in rows}) == 2
+
+    def test_null_part_has_no_key(self, spark):
+        a, b = F.col("a"), F.col("b")
+        assert evaluate(spark, keys.non_negative_hash(a, b), a="x", b=None) is None
+        assert evaluate(spark, keys.non_negative_hash(a, b), a=None, b="x") is None
+
+    def test_smallest_long_maps_to_zero(self, spark, monkeypatch):
+        monkeypatch.setattr(F, "xxhash64", lambda *parts: F.lit(keys.MIN_LONG))
+        assert evaluate(spark, keys.non_negative_hash(F.col("a")), a="x") == 0
+
+
+class TestUuid:
+    @pytest.mark.parametrize(
+        "location, expected",
+        [
+            (f"s3://b/{UUID_A}/data", UUID_A),
+            (f"s3://b/{UUID_A}/x/{UUID_B}", UUID_A),
+            ("s3://b/none-here", None),
+            (f"s3://b/{UUID_A.upper()}", None),
+            ("", None),
+            (None, None),
+        ],
+    )
+    def test_first_match(self, spark, location, expected):
+        assert evaluate(spark, attributes.uuid_in(F.col("l")), l=location) == expected
+
+
+class TestFlag:
+    @pytest.mark.parametrize("value", ["true", "TRUE", "t", "yes", "Y", "1", " true "])
+    def test_true(self, spark, value):
+        assert evaluate(spark, attributes.is_true(F.col("f")), f=value) is True
+
+    @pytest.mark.parametrize("value", ["false", "no", "0", "maybe", "", None])
+    def test_not_true(self, spark, value):
+        assert evaluate(spark, attributes.is_true(F.col("f")), f=value) is False
+
+
+class TestLink:
+    def link(self, spark, account="Org-Acct", status="success", table="Tab"):
+        values = {
+            fv.ACCOUNT: account,
+            fv.SYNC_STATUS: status,
+            fv.TARGET_DATABASE: "Db",
+            fv.TARGET_SCHEMA: "Sch",
+            fv.TARGET_TABLE: table,
+        }
+        return evaluate(spark, attributes.link(), **values)
+
+    def test_text(self, spark):
+        expected = "https://app.snowflake.com/org/acct/#/data/databases/DB/schemas/SCH/table/TAB"
+        assert self.link(spark) == expected
+        assert self.link(spark, account="ORG-ACCT-X") == expected
+
+    @pytest.mark.parametrize("account", ["nodash", None, ""])
+    def test_account_without_two_parts(self, spark, account):
+        assert self.link(spark, account=account) is None
+
+    @pytest.mark.parametrize("status", ["SUCCESS", "failed", None])
+    def test_only_success_links(self, spark, status):
+        assert self.link(spark, status=status) is None
+
+    def test_missing_target(self, spark):
+        assert self.link(spark, table=None) is None
+
+
+class TestText:
+    def test_fill_is_null_on_null(self, spark):
+        filled = text.fill("a {x} b {y}", x=F.col("x"), y=F.col("y"))
+        assert evaluate(spark, filled, x="1", y="2") == "a 1 b 2"
+        assert evaluate(spark, filled, x="1", y=None) is None
+
+    @pytest.mark.parametrize("value, blank", [(None, True), ("", True), (" \n\t", True), (" x ", False)])
+    def test_blank(self, spark, value, blank):
+        assert evaluate(spark, text.is_blank(F.col("s")), s=value) is blank
+
+    def test_dotted_name(self, spark):
+        parts = [F.col(c) for c in "abc"]
+        assert evaluate(spark, text.dotted_name(*parts), a="x", b="y", c="z") == "x.y.z"
+        quoted = text.dotted_name(*parts, quoted=True)
+        assert evaluate(spark, quoted, a="x", b='y"y', c="z") == '"x"."y""y"."z"'
+
+
+class TestTableStatement:
+    def statement(self, spark, volume=None, refresh=True, integration="int", table="t"):
+        values = {
+            fv.TARGET_DATABASE: "db",
+            fv.TARGET_SCHEMA: "sc",
+            fv.TARGET_TABLE: "tb",
+            fv.EXTERNAL_VOLUME: volume,
+            fv.INTEGRATION: integration,
+            fv.TABLE_NAME: table,
+        }
+        return evaluate(spark, statements.table_statement(F.lit(refresh)), **values)
+
+    @pytest.mark.parametrize("volume", [None, ""])
+    def test_without_volume(self, spark, volume):
+        assert self.statement(spark, volume) == (
+            "CREATE ICEBERG TABLE db.sc.tb IF NOT EXISTS\n"
+            "CATALOG = 'int'\n"
+            "    CATALOG_TABLE_NAME = 't'\n"
+            "    AUTO_REFRESH = TRUE;"
+        )
+
+    def test_with_volume(self, spark):
+        assert self.statement(spark, "vol1", refresh=False) == (
+            "CREATE ICEBERG TABLE db.sc.tb IF NOT EXISTS\n"
+            "EXTERNAL_VOLUME = 'vol1'\n"
+            "CATALOG = 'int'\n"
+            "    CATALOG_TABLE_NAME = 't'\n"
+            "    AUTO_REFRESH = FALSE;"
+        )
+
+    def test_quotes_are_doubled(self, spark):
+        text = self.statement(spark, "v'1", table="it's")
+        assert "EXTERNAL_VOLUME = 'v''1'" in text and "CATALOG_TABLE_NAME = 'it''s'" in text
+
+
+class TestIntegrationStatement:
+    def statement(self, spark, mode="VENDED_CREDENTIALS"):
+        values = {fv.INTEGRATION: "int", fv.SCHEMA_NAME: "sc", fv.CATALOG_NAME: "cat"}
+        column = statements.integration_statement(
+            F.lit("https://w"), F.lit("me"), F.lit(120), F.lit(mode)
+        )
+        return evaluate(spark, column, **values)
+
+    def test_clauses(self, spark):
+        assert self.statement(spark).split("\n") == [
+            "CREATE CATALOG INTEGRATION int",
+            "CATALOG_SOURCE = ICEBERG_REST",
+            "TABLE_FORMAT = ICEBERG",
+            "CATALOG_NAMESPACE = 'sc'",
+            "REST_CONFIG = (",
+            "    CATALOG_URI = 'https://w/api/2.1/unity-catalog/iceberg',",
+            "    WAREHOUSE = 'cat',",
+            "    ACCESS_DELEGATION_MODE = VENDED_CREDENTIALS",
+            ")",
+            "REST_AUTHENTICATION = (",
+            "    TYPE = OAUTH,",
+            "    OAUTH_TOKEN_URI = 'https://w/oidc/v1/token',",
+            "    OAUTH_CLIENT_ID = 'me',",
+            "    OAUTH_CLIENT_SECRET = '${OAUTH_CLIENT_SECRET}',",
+            "    OAUTH_ALLOWED_SCOPES = ('all-apis', 'sql')",
+            ")",
+            "ENABLED = TRUE",
+            "REFRESH_INTERVAL_SECONDS = 120;",
+        ]
+
+    def test_mode_is_passed_on(self, spark):
+        assert "ACCESS_DELEGATION_MODE = EXTERNAL" in self.statement(spark, "EXTERNAL")
+
+
+class TestOutcomes:
+    @pytest.mark.parametrize(
+        "error, kind, status, message",
+        [
+            (None, None, "success", "Table 't' created successfully."),
+            ("bad", "compile", "failed", "SQL compilation error: bad"),
+            ("bad", "other", "failed", "Error executing DDL: bad"),
+            ("bad", None, "failed", "Error executing DDL: bad"),
+        ],
+    )
+    def test_table(self, spark, error, kind, status, message):
+        e, k = F.col("e"), F.col("k")
+        assert evaluate(spark, outcomes.table_status(e), e=error, k=kind) == status
+        assert evaluate(spark, outcomes.table_message(F.lit("t"), e, k), e=error, k=kind) == message
+
+    @pytest.mark.parametrize(
+        "error, kind, result",
+        [
+            (None, None, "created"),
+            ("int already exists", "compile", "skipped"),
+            ("int already exists", None, "skipped"),
+            ("int already exists", "other", "error"),
+            ("no access", "compile", "error"),
+        ],
+    )
+    def test_integration(self, spark, error, kind, result):
+        column = outcomes.integration_result(F.col("e"), F.col("k"))
+        assert evaluate(spark, column, e=error, k=kind) == result
+
+    @pytest.mark.parametrize(
+        "error, kind, result",
+        [(None, None, "created"), ("x", "conflict", "already exists"), ("x", "other", "error"), ("x", None, "error")],
+    )
+    def test_container(self, spark, error, kind, result):
+        column = outcomes.container_result(F.col("e"), F.col("k"))
+        assert evaluate(spark, column, e=error, k=kind) == result
