@@ -7,6 +7,7 @@ from metaloom.session import local_session
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = local_session(
+        8,
         4,
         **{
             "spark.checkpoint.dir": str(folder / "checkpoint"),

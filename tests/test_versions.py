@@ -1,0 +1,88 @@
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from metaloom import fixed_values as fv, schemas
+from metaloom.operators.keys import keyed
+from metaloom.operators.merge import apply_status, upsert_metadata
+from metaloom.plans.versions import VersionedTable
+from metaloom.session import staging_path
+from metaloom.sources.tables import read_metadata, read_table, read_tags
+from tests.fixtures import bag, inventory, status, tags
+
+
+@pytest.fixture
+def table(spark):
+    return VersionedTable(
+        spark,
+        "spark_catalog",
+        "default",
+        f"t_{uuid.uuid4().hex}",
+        schemas.METADATA,
+        comment="it's a comment",
+        location=staging_path(spark, "versions"),
+        bucket_by=fv.RECORD_ID,
+        buckets=4,
+    )
+
+
+def test_create_is_idempotent(spark, table):
+    table.create()
+    table.create()
+    assert table.versions() == [1]
+    assert table.read().schema.simpleString() == schemas.METADATA.simpleString()
+    assert table.read().count() == 0
+
+
+def test_content_may_derive_from_the_table(spark, table):
+    table.create()
+    rows = keyed(inventory(spark, ("c", "s", "1", "cat", "sch", "a")))
+    table.publish(upsert_metadata(table.read(), rows))
+    table.publish(upsert_metadata(table.read(), rows))
+    assert table.versions() == [1, 2, 3]
+    assert bag(table.read()) == bag(rows)
+    assert read_metadata(spark, table.name).count() == 1
+
+
+def test_readers_of_old_content_are_not_disturbed(spark, table):
+    table.create()
+    old = table.read()
+    table.publish(keyed(inventory(spark, ("c", "s", "1", "cat", "sch", "a"))))
+    assert old.count() == 0 and table.read().count() == 1
+
+
+def test_drop_superseded(spark, table):
+    table.create()
+    for _ in range(3):
+        table.publish(table.read())
+    table.drop_superseded(keep=2)
+    assert table.versions() == [3, 4]
+    assert table.read().count() == 0
+
+
+def test_numbers_go_past_nine(spark, table):
+    for _ in range(11):
+        table.publish(keyed(inventory(spark)))
+    assert table.versions()[-1] == 11
+
+
+def test_merges_do_not_shuffle_a_bucketed_table(spark, conf, table):
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    rows = keyed(inventory(spark, *(("c", "s", str(i), "cat", "sch", f"t{i}") for i in range(50))))
+    table.publish(rows)
+    log = status(spark, *((i, "a", "success", "m", 1) for i in range(5)))
+    for merged in (upsert_metadata(table.read(), rows), apply_status(table.read(), log)):
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    table.publish(upsert_metadata(table.read(), rows))
+    assert bag(table.read()) == bag(rows)
+
+
+def test_paths_and_names_read_alike(spark):
+    path = staging_path(spark, "tags")
+    rows = tags(spark, ("c", "s", "t", "n", "v"))
+    rows.withColumn("more", F.lit(1)).write.parquet(path)
+    assert bag(read_tags(spark, path)) == bag(rows)
+    rows.createOrReplaceTempView("some_tags")
+    assert bag(read_table(spark, "some_tags")) == bag(rows)
