@@ -27,6 +27,7 @@ class VersionedTable:
 
     ``location`` is the folder for the contents, by default the catalog's own. ``buckets``
     with ``bucket_by`` keeps them bucketed, so that joins on that column do not shuffle them.
+    Use at least as many buckets as shuffle partitions: Spark passes over a coarser bucketing.
     """
 
     spark: SparkSession

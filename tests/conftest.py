@@ -8,8 +8,9 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = local_session(
         8,
-        4,
+        3,
         **{
+            "spark.default.parallelism": "2",
             "spark.checkpoint.dir": str(folder / "checkpoint"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
         },

@@ -50,8 +50,8 @@ def landed(spark):
     )
 
 
-@pytest.fixture(params=[0, 1_000_000], ids=["large form", "small form"])
-def mirror(spark, request):
+@pytest.fixture
+def mirror(spark):
     mark = uuid.uuid4().hex
     return CatalogMirror(
         spark,
@@ -63,7 +63,6 @@ def mirror(spark, request):
         tag_table=f"tags_{mark}",
         location=staging_path(spark, "mirror"),
         buckets=2,
-        small_batch_rows=request.param,
     )
 
 
@@ -74,7 +73,9 @@ def names(df):
 CAT = [("cat", "hr", "people"), ("cat", "sales", "items"), ("cat", "sales", "orders")]
 
 
-def test_refresh(mirror):
+@pytest.mark.parametrize("small_batch_rows", [0, 1_000_000])
+def test_refresh(mirror, small_batch_rows):
+    mirror.small_batch_rows = small_batch_rows
     rejected = mirror.refresh_uc_metadata("cat")
     assert names(mirror.metadata.read()) == CAT
     assert bag(rejected, "schema_name", "table_name", "reason") == [

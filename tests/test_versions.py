@@ -68,7 +68,7 @@ def test_numbers_go_past_nine(spark, table):
 
 
 def test_merges_do_not_shuffle_a_bucketed_table(spark, conf, table):
-    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    conf(**{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "4"})
     rows = keyed(inventory(spark, *(("c", "s", str(i), "cat", "sch", f"t{i}") for i in range(50))))
     table.publish(rows)
     log = status(spark, *((i, "a", "success", "m", 1) for i in range(5)))
