@@ -20,6 +20,6 @@ def skew_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     """
     key_hash = F.xxhash64(*(F.col(k) for k in keys))
     joined = left.withColumn(_KEY_HASH, key_hash).join(
-        right.withColumn(_KEY_HASH, key_hash), [*keys, _KEY_HASH], how
+        right.withColumn(_KEY_HASH, key_hash), [_KEY_HASH, *keys], how
     )
     return joined.drop(_KEY_HASH)

@@ -70,8 +70,7 @@ def upsert_metadata(metadata: DataFrame, batch: DataFrame) -> DataFrame:
     sync columns. Unknown ones are added whole. None is ever removed. A batch that repeats an
     id is refused, and so is a hash collision.
 
-    One full outer join on the id. Ids are hashes and unique on both sides, so it does not
-    skew. The metadata side is not shuffled if its table is bucketed by id.
+    One full outer join on the id. Ids are hashes and unique on both sides, so it does not skew.
     """
     t, u = metadata.alias("t"), unique_batch(batch).alias("u")
     return _merged(t.join(u, F.col(f"t.{_ID}") == F.col(f"u.{_ID}"), "full"))
@@ -125,8 +124,7 @@ def update_status(metadata: DataFrame, status: DataFrame) -> DataFrame:
     """The metadata table with the sync columns of a status batch.
 
     Status rows of unknown records are dropped; a batch that repeats an id is refused. The
-    status side is broadcast if Spark finds it small, and the metadata side is not shuffled
-    if its table is bucketed by id.
+    status side is broadcast if Spark finds it small, and the metadata stays where it is then.
     """
     return _with_status(metadata, _unique(conform(status, schemas.STATUS), "status batch"))
 

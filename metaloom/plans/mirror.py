@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metaloom import fixed_values as fv, schemas
+from metaloom.functions.outcomes import table_status
 from metaloom.operators import inventory as inv
 from metaloom.operators.apply import Execute, run_statements
 from metaloom.operators.hierarchy import nest
@@ -33,7 +34,7 @@ from metaloom.operators.targets import (
     target_schemas,
 )
 from metaloom.operators.view import enriched_view, register_view
-from metaloom.plans.versions import VersionedTable
+from metaloom.plans.partitions import PartitionedTable
 from metaloom.session import stage
 from metaloom.sources import listings
 
@@ -80,32 +81,29 @@ class CatalogMirror:
         metadata_table: str = fv.METADATA_TABLE,
         tag_table: str = "table_tags",
         location: str | None = None,
-        buckets: int = 0,
         small_batch_rows: int = SMALL_BATCH_ROWS,
     ) -> None:
         self.spark = spark_session
         self.workspace_url = workspace_url
         self.landed = landed
         self.small_batch_rows = small_batch_rows
-        self.metadata = VersionedTable(
-            spark_session,
-            metadata_catalog,
-            metadata_schema,
+        place = (spark_session, metadata_catalog, metadata_schema)
+        location = location or f"{spark_session.conf.get('spark.sql.warehouse.dir')}/{metadata_schema}"
+        self.metadata = PartitionedTable(
+            *place,
             metadata_table,
             schemas.METADATA,
-            comment="Metadata of mirrored tables. Maintained by a job, not by hand.",
-            location=location,
-            bucket_by=fv.RECORD_ID,
-            buckets=buckets,
+            fv.CATALOG_ID,
+            location,
+            "Metadata of mirrored tables. Maintained by a job, not by hand.",
         )
-        self.tags = VersionedTable(
-            spark_session,
-            metadata_catalog,
-            metadata_schema,
+        self.tags = PartitionedTable(
+            *place,
             tag_table,
             schemas.TAGS,
-            comment="Tags of source tables, one row per table and tag.",
-            location=location,
+            "catalog_name",
+            location,
+            "Tags of source tables, one row per table and tag.",
         )
 
     # Tables
@@ -120,10 +118,6 @@ class CatalogMirror:
         """The enriched view of the current metadata and tags."""
         return enriched_view(self.metadata.read(), self.tags.read())
 
-    def _publish_metadata(self, content: DataFrame) -> None:
-        self.metadata.publish(content)
-        register_view(self.view(), self.metadata.table + fv.VIEW_SUFFIX)
-
     # Refresh
 
     def _facts(self, catalog: str, schema: str | Sequence[str] | None, table: str | None):
@@ -152,7 +146,7 @@ class CatalogMirror:
         batch = keyed(inv.inventory(facts))
         small = facts.count() <= self.small_batch_rows
         merge = upsert_small_batch if small else upsert_metadata
-        self._publish_metadata(merge(self.metadata.read(), batch))
+        self.metadata.rewrite(batch, lambda known: merge(known, batch))
         return (
             inv.rejects(facts)
             .unionByName(listings.rejected_schema_pages(landed.schema_pages))
@@ -173,8 +167,7 @@ class CatalogMirror:
     def refresh_uc_metadata_tags(self) -> None:
         """Give each table without mapping tags the default ones."""
         new_tags = stage(default_tags(untagged_tables(self.view())), "tags")
-        self.tags.publish(set_default_tags(self.tags.read(), new_tags))
-        register_view(self.view(), self.metadata.table + fv.VIEW_SUFFIX)
+        self.tags.rewrite(new_tags, lambda known: set_default_tags(known, new_tags))
 
     # Integrations
 
@@ -245,8 +238,9 @@ class CatalogMirror:
             run_statements(table_statements(tables, auto_refresh), connect, **run), "tables"
         )
         status = table_outcomes(created, sf_account_id, F.current_timestamp())
-        self._publish_metadata(update_status(self.metadata.read(), status))
-        result = created.withColumn("result", F.when(F.col("error").isNull(), fv.STATUS_SUCCESS).otherwise(fv.STATUS_FAILED))
+        synced = self.metadata.read().join(created.select(fv.RECORD_ID), fv.RECORD_ID, "left_semi")
+        self.metadata.rewrite(synced, lambda known: update_status(known, status))
+        result = created.withColumn("result", table_status(F.col("error")))
         for more in containers:
             result = result.unionByName(more, allowMissingColumns=True)
         return result

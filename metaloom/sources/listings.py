@@ -7,11 +7,29 @@ empty listing is not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from metaloom import schemas
 
 
+def _read_pages(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    keys = [f for f in columns.fields if f.name != "body"]
+    layout = StructType([StructField("value", StringType()), *keys])
+    files = spark.read.schema(layout).option("wholetext", True).text(path)
+    return files.withColumnRenamed("value", "body").select(*columns.names)
+
+
+def read_schema_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages landed as files, one document each, below ``catalog_name=<name>/``."""
+    return _read_pages(spark, path, schemas.SCHEMA_PAGES)
+
+
+def read_table_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages landed as files below ``catalog_name=<name>/schema_name=<name>/``."""
+    return _read_pages(spark, path, schemas.TABLE_PAGES)
+
+
 def _parsed(pages: DataFrame, document) -> DataFrame:
     return pages.withColumn("document", F.from_json("body", document))
 

@@ -66,6 +66,27 @@ class TestTablePages:
         ]
 
 
+class TestLandedFiles:
+    def test_names_are_text_and_bodies_whole(self, spark, tmp_path):
+        folder = tmp_path / "tables" / "catalog_name=007" / "schema_name=a b"
+        folder.mkdir(parents=True)
+        (folder / "1.json").write_text(json.dumps({"identifiers": [{"name": "x"}]}, indent=2))
+        (folder / "2.json").write_text("<html>\n</html>\n")
+        pages = listings.read_table_pages(spark, str(tmp_path / "tables"))
+        assert pages.columns == schemas.TABLE_PAGES.names
+        assert bag(listings.list_tables(pages)) == [("007", "a b", "x")]
+        assert bag(listings.rejected_table_pages(pages), "reason") == [
+            ("page is no listing: <html>\n</html>\n",)
+        ]
+
+    def test_schema_pages(self, spark, tmp_path):
+        folder = tmp_path / "catalog_name=cat"
+        folder.mkdir()
+        (folder / "1.json").write_text('{"namespaces": [["a"], ["b"]]}')
+        pages = listings.read_schema_pages(spark, str(tmp_path))
+        assert bag(listings.list_schemas(pages)) == [("cat", "a"), ("cat", "b")]
+
+
 class TestWantedSchemas:
     @pytest.fixture
     def listed(self, spark):

@@ -62,7 +62,6 @@ def mirror(spark):
         metadata_table=f"meta_{mark}",
         tag_table=f"tags_{mark}",
         location=staging_path(spark, "mirror"),
-        buckets=2,
     )
 
 
@@ -102,6 +101,16 @@ def test_refresh_of_a_part(mirror, schema, table, expected):
     assert names(mirror.metadata.read()) == expected
 
 
+def test_refresh_rewrites_its_catalog_only(mirror):
+    mirror.refresh_uc_metadata("cat")
+    (cat,) = mirror.metadata.folders().values()
+    mirror.refresh_uc_metadata("dog")
+    folders = set(mirror.metadata.folders().values())
+    assert cat in folders and len(folders) == 2
+    mirror.refresh_uc_metadata("cat")
+    assert len(folders & set(mirror.metadata.folders().values())) == 1
+
+
 def test_hierarchy(mirror):
     nested = mirror.build_hierarchy_for_catalog("cat")
     assert {s.uc_name: len(s.tables) for r in nested.collect() for s in r.schemas} == {
@@ -170,7 +179,7 @@ def test_switched_off_tables_are_not_synced(spark, mirror):
     mirror.refresh_uc_metadata("dog")
     mirror.refresh_uc_metadata_tags()
     off = F.when(F.col("tag_name") == fv.SYNC_FLAG, "false").otherwise(F.col("tag_value"))
-    mirror.tags.publish(mirror.tags.read().withColumn("tag_value", off))
+    mirror.tags.rewrite(mirror.tags.read(), lambda known: known.withColumn("tag_value", off))
 
     def connect():
         raise RuntimeError("nothing to do")
