@@ -3,6 +3,9 @@
 A listing may span many pages and every page is a row, so a paged listing is read whole.
 A body that is no listing (an error document, or no JSON) becomes a reject row, which an
 empty listing is not.
+
+Lists are unfolded with their NULLs, which are filtered out afterwards: for a plain unfolding
+Spark first filters out empty lists, and so parses each body several times.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from metaloom import schemas
 def _read_pages(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
     keys = [f for f in columns.fields if f.name != "body"]
     layout = StructType([StructField("value", StringType()), *keys])
-    files = spark.read.schema(layout).option("wholetext", True).text(path)
+    files = spark.read.schema(layout).text(path, wholetext=True)
     return files.withColumnRenamed("value", "body").select(*columns.names)
 
 
@@ -41,7 +44,7 @@ def list_schemas(pages: DataFrame) -> DataFrame:
     """
     return (
         _parsed(pages, schemas.SCHEMA_DOCUMENT)
-        .select("catalog_name", F.explode("document.namespaces").alias("namespace"))
+        .select("catalog_name", F.explode_outer("document.namespaces").alias("namespace"))
         .select("catalog_name", F.get("namespace", F.lit(0)).alias("schema_name"))
         .filter(F.col("schema_name").isNotNull())
         .distinct()
@@ -52,7 +55,7 @@ def list_tables(pages: DataFrame) -> DataFrame:
     """Tables named by pages: ``catalog_name, schema_name, table_name``, each once."""
     return (
         _parsed(pages, schemas.TABLE_DOCUMENT)
-        .select("catalog_name", "schema_name", F.explode("document.identifiers").alias("t"))
+        .select("catalog_name", "schema_name", F.explode_outer("document.identifiers").alias("t"))
         .select("catalog_name", "schema_name", F.col("t.name").alias("table_name"))
         .filter(F.col("table_name").isNotNull())
         .distinct()
