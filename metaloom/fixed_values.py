@@ -64,9 +64,9 @@ REFRESH_INTERVAL_SECONDS = 3600
 ACCESS_DELEGATION_MODE = "VENDED_CREDENTIALS"
 
 # Link of a synced table.
+LINK_HOST = "https://app.snowflake.com/"
 LINK_TEXT = (
-    "https://app.snowflake.com/{account_0}/{account_1}"
-    "/#/data/databases/{database}/schemas/{schema}/table/{table}"
+    LINK_HOST + "{account_0}/{account_1}/#/data/databases/{database}/schemas/{schema}/table/{table}"
 )
 
 # Statement that creates a mirrored table, and its optional line.
@@ -79,6 +79,10 @@ TABLE_STATEMENT = (
     "    AUTO_REFRESH = {auto_refresh};"
 )
 
+# Services of the source catalog, below its endpoint.
+CATALOG_PATH = "/api/2.1/unity-catalog/iceberg"
+TOKEN_PATH = "/oidc/v1/token"
+
 # Statement that creates a catalog integration.
 INTEGRATION_STATEMENT = """\
 CREATE CATALOG INTEGRATION {integration}
@@ -86,13 +90,13 @@ CATALOG_SOURCE = ICEBERG_REST
 TABLE_FORMAT = ICEBERG
 CATALOG_NAMESPACE = '{schema}'
 REST_CONFIG = (
-    CATALOG_URI = '{endpoint}/api/2.1/unity-catalog/iceberg',
+    CATALOG_URI = '{catalog_uri}',
     WAREHOUSE = '{catalog}',
     ACCESS_DELEGATION_MODE = {mode}
 )
 REST_AUTHENTICATION = (
     TYPE = OAUTH,
-    OAUTH_TOKEN_URI = '{endpoint}/oidc/v1/token',
+    OAUTH_TOKEN_URI = '{token_uri}',
     OAUTH_CLIENT_ID = '{client_id}',
     OAUTH_CLIENT_SECRET = '{client_secret}',
     OAUTH_ALLOWED_SCOPES = ('all-apis', 'sql')

@@ -48,7 +48,8 @@ def integration_statement(
         integration=identifier(F.col(fv.INTEGRATION), quote_identifiers),
         schema=literal_text(F.col(fv.SCHEMA_NAME)),
         catalog=literal_text(F.col(fv.CATALOG_NAME)),
-        endpoint=literal_text(endpoint),
+        catalog_uri=literal_text(F.concat(endpoint, F.lit(fv.CATALOG_PATH))),
+        token_uri=literal_text(F.concat(endpoint, F.lit(fv.TOKEN_PATH))),
         mode=mode,
         client_id=literal_text(client_id),
         client_secret=F.lit(SECRET_PLACEHOLDER),

@@ -128,7 +128,7 @@ VIEW = f"""
 view_rows AS (
   SELECT {INVENTORY_COLUMNS}, {SYNC_COLUMNS}, {DB}, {SC}, {TB}, {FLAG}, {VOL},
          CASE WHEN {fv.SYNC_STATUS} = 'success' AND strpos({fv.ACCOUNT}, '-') > 0 THEN
-           'https://app.snowflake.com/' || lower(string_split({fv.ACCOUNT}, '-')[1]) || '/'
+           '{fv.LINK_HOST}' || lower(string_split({fv.ACCOUNT}, '-')[1]) || '/'
            || lower(string_split({fv.ACCOUNT}, '-')[2]) || '/#/data/databases/' || upper({DB})
            || '/schemas/' || upper({SC}) || '/table/' || upper({TB}) END AS {fv.LINK}
   FROM metadata LEFT JOIN pivoted
@@ -224,13 +224,13 @@ _INTEGRATION_LINES = [
     "'TABLE_FORMAT = ICEBERG'",
     f"'CATALOG_NAMESPACE = ''' || {fv.SCHEMA_NAME} || ''''",
     "'REST_CONFIG = ('",
-    f"'    CATALOG_URI = ''{ENDPOINT}/api/2.1/unity-catalog/iceberg'','",
+    f"'    CATALOG_URI = ''{ENDPOINT}{fv.CATALOG_PATH}'','",
     f"'    WAREHOUSE = ''' || {fv.CATALOG_NAME} || ''','",
     "'    ACCESS_DELEGATION_MODE = VENDED_CREDENTIALS'",
     "')'",
     "'REST_AUTHENTICATION = ('",
     "'    TYPE = OAUTH,'",
-    f"'    OAUTH_TOKEN_URI = ''{ENDPOINT}/oidc/v1/token'','",
+    f"'    OAUTH_TOKEN_URI = ''{ENDPOINT}{fv.TOKEN_PATH}'','",
     f"'    OAUTH_CLIENT_ID = ''{CLIENT_ID}'','",
     "'    OAUTH_CLIENT_SECRET = ''${OAUTH_CLIENT_SECRET}'','",
     "'    OAUTH_ALLOWED_SCOPES = (''all-apis'', ''sql'')'",

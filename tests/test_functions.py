@@ -93,7 +93,7 @@ class TestLink:
         return evaluate(spark, attributes.link(), **values)
 
     def test_text(self, spark):
-        expected = "https://app.snowflake.com/org/acct/#/data/databases/DB/schemas/SCH/table/TAB"
+        expected = fv.LINK_HOST + "org/acct/#/data/databases/DB/schemas/SCH/table/TAB"
         assert self.link(spark) == expected
         assert self.link(spark, account="ORG-ACCT-X") == expected
 
@@ -176,13 +176,13 @@ class TestIntegrationStatement:
             "TABLE_FORMAT = ICEBERG",
             "CATALOG_NAMESPACE = 'sc'",
             "REST_CONFIG = (",
-            "    CATALOG_URI = 'https://w/api/2.1/unity-catalog/iceberg',",
+            f"    CATALOG_URI = 'https://w{fv.CATALOG_PATH}',",
             "    WAREHOUSE = 'cat',",
             "    ACCESS_DELEGATION_MODE = VENDED_CREDENTIALS",
             ")",
             "REST_AUTHENTICATION = (",
             "    TYPE = OAUTH,",
-            "    OAUTH_TOKEN_URI = 'https://w/oidc/v1/token',",
+            f"    OAUTH_TOKEN_URI = 'https://w{fv.TOKEN_PATH}',",
             "    OAUTH_CLIENT_ID = 'me',",
             "    OAUTH_CLIENT_SECRET = '${OAUTH_CLIENT_SECRET}',",
             "    OAUTH_ALLOWED_SCOPES = ('all-apis', 'sql')",

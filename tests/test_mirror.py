@@ -165,7 +165,7 @@ def test_tags_statements_and_sync(spark, mirror):
         ("people", "success"),
     ]
     view = by(spark.table(mirror.metadata.table + fv.VIEW_SUFFIX), fv.TABLE_NAME)
-    assert view["people"][fv.LINK].startswith("https://app.snowflake.com/org/acct/#/data/databases/CAT/")
+    assert view["people"][fv.LINK].startswith(fv.LINK_HOST + "org/acct/#/data/databases/CAT/")
     assert view["items"][fv.SYNC_STATUS] == "failed" and view["items"][fv.LINK] is None
     assert view["items"][fv.SYNC_MESSAGE] == "SQL compilation error: denied"
     assert len({r[fv.SYNC_DATE] for r in view.values()}) == 1
