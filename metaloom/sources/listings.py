@@ -2,7 +2,8 @@
 
 A listing may span many pages and every page is a row, so a paged listing is read whole.
 A body that is no listing (an error document, or no JSON) becomes a reject row, which an
-empty listing is not.
+empty listing is not. Of a listing with nameless entries the named ones count, and the page
+is reported.
 
 Lists are unfolded with their NULLs, which are filtered out afterwards: for a plain unfolding
 Spark first filters out empty lists, and so parses each body several times.
@@ -10,8 +11,10 @@ Spark first filters out empty lists, and so parses each body several times.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from metaloom import schemas
 
@@ -33,8 +36,10 @@ def read_table_pages(spark: SparkSession, path: str) -> DataFrame:
     return _read_pages(spark, path, schemas.TABLE_PAGES)
 
 
-def _parsed(pages: DataFrame, document) -> DataFrame:
-    return pages.withColumn("document", F.from_json("body", document))
+def _documents(document: StructType) -> Column:
+    """A body's documents. Read as an array, so that trailing text makes it unreadable."""
+    body = F.concat(F.lit("["), F.col("body"), F.lit("]"))
+    return F.from_json(body, ArrayType(document))
 
 
 def list_schemas(pages: DataFrame) -> DataFrame:
@@ -43,8 +48,8 @@ def list_schemas(pages: DataFrame) -> DataFrame:
     Of a multi-level namespace the first level counts, so levels below repeat a schema.
     """
     return (
-        _parsed(pages, schemas.SCHEMA_DOCUMENT)
-        .select("catalog_name", F.explode_outer("document.namespaces").alias("namespace"))
+        pages.select("catalog_name", F.explode_outer(_documents(schemas.SCHEMA_DOCUMENT)).alias("d"))
+        .select("catalog_name", F.explode_outer("d.namespaces").alias("namespace"))
         .select("catalog_name", F.get("namespace", F.lit(0)).alias("schema_name"))
         .filter(F.col("schema_name").isNotNull())
         .distinct()
@@ -53,33 +58,59 @@ def list_schemas(pages: DataFrame) -> DataFrame:
 
 def list_tables(pages: DataFrame) -> DataFrame:
     """Tables named by pages: ``catalog_name, schema_name, table_name``, each once."""
+    key = ("catalog_name", "schema_name")
     return (
-        _parsed(pages, schemas.TABLE_DOCUMENT)
-        .select("catalog_name", "schema_name", F.explode_outer("document.identifiers").alias("t"))
-        .select("catalog_name", "schema_name", F.col("t.name").alias("table_name"))
+        pages.select(*key, F.explode_outer(_documents(schemas.TABLE_DOCUMENT)).alias("d"))
+        .select(*key, F.explode_outer("d.identifiers").alias("t"))
+        .select(*key, F.col("t.name").alias("table_name"))
         .filter(F.col("table_name").isNotNull())
         .distinct()
     )
 
 
-def _unreadable(pages: DataFrame, document, listed: str, schema_name: Column) -> DataFrame:
+def _rejected(
+    pages: DataFrame,
+    document: StructType,
+    listed: str,
+    entry_name: Callable[[Column], Column],
+    schema_name: Column,
+) -> DataFrame:
+    def fault(d: Column) -> Column:
+        """0 without a list, 1 with an entry that has no name, else 2."""
+        unnamed = F.exists(d[listed], lambda entry: entry_name(entry).isNull())
+        return F.when(d[listed].isNull(), 0).when(unnamed, 1).otherwise(2)
+
+    worst = F.coalesce(F.array_min(F.transform(_documents(document), fault)), F.lit(0))
+    text = F.when(F.col("fault") == 0, "page is no listing: ").otherwise("page has a nameless entry: ")
     return (
-        _parsed(pages, document)
-        .filter(F.col(f"document.{listed}").isNull())
+        pages.withColumn("fault", worst)
+        .filter(F.col("fault") < 2)
         .select(
             "catalog_name",
             schema_name.alias("schema_name"),
             F.lit(None).cast("string").alias("table_name"),
-            F.concat(F.lit("page is no listing: "), F.coalesce("body", F.lit("NULL"))).alias("reason"),
+            F.concat(text, F.coalesce("body", F.lit("NULL"))).alias("reason"),
         )
     )
 
 
 def rejected_schema_pages(pages: DataFrame) -> DataFrame:
-    """Pages that list no schemas because they could not be read."""
-    return _unreadable(pages, schemas.SCHEMA_DOCUMENT, "namespaces", F.lit(None).cast("string"))
+    """Pages that could not be read, or not wholly."""
+    return _rejected(
+        pages,
+        schemas.SCHEMA_DOCUMENT,
+        "namespaces",
+        lambda namespace: F.get(namespace, F.lit(0)),
+        F.lit(None).cast("string"),
+    )
 
 
 def rejected_table_pages(pages: DataFrame) -> DataFrame:
-    """Pages that list no tables because they could not be read."""
-    return _unreadable(pages, schemas.TABLE_DOCUMENT, "identifiers", F.col("schema_name"))
+    """Pages that could not be read, or not wholly."""
+    return _rejected(
+        pages,
+        schemas.TABLE_DOCUMENT,
+        "identifiers",
+        lambda identifier: identifier["name"],
+        F.col("schema_name"),
+    )

@@ -66,6 +66,43 @@ class TestTablePages:
         ]
 
 
+    @pytest.mark.parametrize(
+        "body",
+        [
+            '{"identifiers":[{"name":"a"},',
+            '{"identifiers":[{"name":"a"}],"next-page',
+            '{"identifiers":[{"name":"a"}]} trailing',
+            '{"identifiers":[{"name":"a"}]}{"identifiers":[{"name":"b"}]}',
+            '{"identifiers":"a"}',
+            '[{"identifiers":[{"name":"a"}]}]',
+            "{}",
+            "null",
+            "",
+            None,
+        ],
+    )
+    def test_unreadable(self, spark, body):
+        pages = table_pages(spark, ("cat", "s", body))
+        assert listings.list_tables(pages).count() == 0
+        assert bag(listings.rejected_table_pages(pages), "reason") == [
+            (f"page is no listing: {'NULL' if body is None else body}",)
+        ]
+
+    def test_nameless_entries_are_reported(self, spark):
+        body = '{"identifiers":[{"name":"a"},{"nam":"b"},null]}'
+        pages = table_pages(spark, ("cat", "s", body), ("cat", "s", listing("c")))
+        assert bag(listings.list_tables(pages), "table_name") == [("a",), ("c",)]
+        assert bag(listings.rejected_table_pages(pages), "reason") == [
+            (f"page has a nameless entry: {body}",)
+        ]
+        body = '{"namespaces":[["a"],[],null]}'
+        pages = schema_pages(spark, body)
+        assert bag(listings.list_schemas(pages), "schema_name") == [("a",)]
+        assert bag(listings.rejected_schema_pages(pages), "reason") == [
+            (f"page has a nameless entry: {body}",)
+        ]
+
+
 class TestLandedFiles:
     def test_names_are_text_and_bodies_whole(self, spark, tmp_path):
         folder = tmp_path / "tables" / "catalog_name=007" / "schema_name=a b"

@@ -14,6 +14,8 @@ from metaloom.operators.merge import apply_status, upsert_metadata, upsert_small
 from metaloom.operators.tags import set_default_tags
 from metaloom.operators.view import enriched_view
 from metaloom.session import stage
+from metaloom.sources import listings
+from metaloom.sources.tables import typed_rows
 from tests.fixtures import bag
 
 
@@ -90,6 +92,12 @@ class TestPruning:
         plan = executed(enriched_view(stored["metadata"], stored["tags"]))
         assert re.search(r"PushedFilters: \[In\(tag_name", plan)
 
+    def test_each_page_is_parsed_once(self, spark):
+        pages = typed_rows(spark, [("c", "s", "{}")], schemas.TABLE_PAGES)
+        assert executed(listings.list_tables(pages)).count("from_json") == 1
+        pages = typed_rows(spark, [("c", "{}")], schemas.SCHEMA_PAGES)
+        assert executed(listings.list_schemas(pages)).count("from_json") == 1
+
     def test_known_ids_are_read_alone(self, stored, no_broadcast):
         plan = executed(upsert_small_batch(stored["metadata"], keyed(stored["inventory"])))
         assert f"FileScan parquet [{fv.RECORD_ID}#" in plan and re.search(
