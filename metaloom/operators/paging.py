@@ -3,6 +3,7 @@
 One list per group would gather a hot group into one row. These operators spread each group
 over as many pages as its row count asks for: pages are picked by hash, so no task sorts or
 numbers a whole group, and a page holds about ``page_size`` rows however large the group.
+Rows of a group must be distinct, as listings and targets are: copies share a page.
 """
 
 from __future__ import annotations

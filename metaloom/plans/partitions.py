@@ -31,9 +31,11 @@ def _text(value: str) -> str:
 
 @dataclass
 class PartitionedTable:
-    """A catalog table of ``columns``, spread over ``parts`` partitions by ``part_by``.
+    """A catalog table of ``columns``, spread over at most ``parts`` partitions by ``part_by``.
 
-    Its files live below ``location``. One writer at a time may change it.
+    Values that share a partition are rewritten together, so ``parts`` should exceed their
+    number; it also bounds what the driver lists. Files live below ``location``. One writer at
+    a time may change the table.
     """
 
     spark: SparkSession
@@ -44,7 +46,7 @@ class PartitionedTable:
     part_by: str
     location: str
     comment: str = ""
-    parts: int = 256
+    parts: int = 4096
 
     @property
     def name(self) -> str:
@@ -98,14 +100,16 @@ class PartitionedTable:
         stored = StructType([*self.columns.fields, StructField(PART, IntegerType())])
         written = self.spark.read.schema(stored).parquet(folder).select(PART).distinct()
         known = {r.partition for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+        parts = [r[PART] for r in written.collect()]
+        added = [n for n in parts if f"{PART}={n}" not in known]
         replaced = []
-        for (part,) in written.collect():
-            partition = f"PARTITION ({PART}={part})"
-            target = _text(f"{folder}/{PART}={part}")
-            if f"{PART}={part}" in known:
-                details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} {partition}")
-                replaced += [r.data_type for r in details.collect() if r.col_name == "Location"][:1]
-                self.spark.sql(f"ALTER TABLE {self.name} {partition} SET LOCATION {target}")
-            else:
-                self.spark.sql(f"ALTER TABLE {self.name} ADD {partition} LOCATION {target}")
+        for n in sorted(set(parts) - set(added)):
+            partition = f"PARTITION ({PART}={n})"
+            details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} {partition}").collect()
+            replaced.append(next(r.data_type for r in details if r.col_name == "Location"))
+            location = _text(f"{folder}/{PART}={n}")
+            self.spark.sql(f"ALTER TABLE {self.name} {partition} SET LOCATION {location}")
+        if added:
+            places = (f"PARTITION ({PART}={n}) LOCATION {_text(f'{folder}/{PART}={n}')}" for n in added)
+            self.spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(places)}")
         return replaced
