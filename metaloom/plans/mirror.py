@@ -122,7 +122,11 @@ class CatalogMirror:
 
     def _facts(self, catalog: str, schema: str | Sequence[str] | None, table: str | None):
         landed = self.landed.of(catalog)
-        wanted = inv.wanted_schemas(listings.list_schemas(landed.schema_pages), schema)
+        if schema is None:
+            wanted = inv.wanted_schemas(listings.list_schemas(landed.schema_pages))
+        else:  # named schemas need not be listed
+            known = landed.schemas.select("catalog_name", "schema_name").distinct()
+            wanted = inv.wanted_schemas(known, schema)
         tables = listings.list_tables(landed.table_pages)
         if table is not None:
             tables = tables.filter(F.col("table_name") == table)

@@ -160,6 +160,7 @@ def test_typed_rows_need_no_inference(spark):
 
 
 def test_conform_fills_and_orders(spark):
-    df = conform(spark.createDataFrame([("x", 1, True)], f"{fv.TABLE_NAME} string, {fv.RECORD_ID} int, more boolean"), schemas.METADATA)
+    columns = f"{fv.TABLE_NAME} string, {fv.RECORD_ID} int, more boolean"
+    df = conform(spark.createDataFrame([("x", 1, True)], columns), schemas.METADATA)
     assert df.columns == schemas.METADATA.names
     assert df.first()[fv.RECORD_ID] == 1 and df.first()[fv.SYNC_DATE] is None

@@ -94,6 +94,7 @@ def test_refresh(mirror, small_batch_rows):
         ("sales", "orders", CAT[2:]),
         (None, "people", CAT[:1]),
         ("none", None, []),
+        ("information_schema", None, [("cat", "information_schema", "tables")]),
     ],
 )
 def test_refresh_of_a_part(mirror, schema, table, expected):
@@ -101,6 +102,14 @@ def test_refresh_of_a_part(mirror, schema, table, expected):
     assert names(mirror.metadata.read()) == expected
 
 
+def test_named_schemas_need_not_be_listed(spark, mirror):
+    mirror.landed.schema_pages = mirror.landed.schema_pages.limit(0)
+    mirror.refresh_uc_metadata("cat")
+    assert names(mirror.metadata.read()) == []
+    mirror.refresh_uc_metadata("cat", ["hr"])
+    assert names(mirror.metadata.read()) == CAT[:1]
+
+
 def test_refresh_rewrites_its_catalog_only(mirror):
     mirror.refresh_uc_metadata("cat")
     (cat,) = mirror.metadata.folders().values()
