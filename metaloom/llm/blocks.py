@@ -59,14 +59,14 @@ def text_blocks(
 ) -> DataFrame:
     """Every row of ``docs`` in some block; written to the shared folder and read back.
 
-    ``part_of`` deals documents by id to parts, and a block has documents of one part only. Null
-    ids and null texts are kept. Other columns are dropped.
+    ``part_of`` deals documents by id to parts from 0 to 255, and a block has documents of one part
+    only, which its number ends in. Null ids and null texts are kept. Other columns are dropped.
     """
     spark = docs.sparkSession
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        made = context.partitionId() << 32
+        made = context.partitionId() << 24
         squeeze = zstandard.ZstdCompressor(level=3)
         open_blocks: dict[int, tuple[list, list, list]] = {}
         sizes: dict[int, int] = {}
@@ -76,7 +76,7 @@ def text_blocks(
             ids, lengths, texts = open_blocks.pop(part)
             made += 1
             row = {
-                "block": [made],
+                "block": [made << 8 | part],
                 "part": [part],
                 "ids": [ids],
                 "lengths": [lengths],
@@ -109,6 +109,11 @@ def text_blocks(
     return spark.read.schema(BLOCK_SCHEMA).parquet(path)
 
 
+def of_part(rows: DataFrame, part: int) -> DataFrame:
+    """The blocks, or answers to blocks, of one part."""
+    return rows.filter(F.col("block").bitwiseAND(F.lit(255)) == part)
+
+
 class Block:
     """A block's rows, read from its row of a table."""
 
