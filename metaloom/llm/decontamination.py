@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -18,22 +18,7 @@ AUTOMATON_WORDS = 200_000
 
 _WORD = re.compile(rb"[0-9a-zA-Z\x80-\xff]+")
 _SPAN = "struct<start:int,length:int>"
-SCHEMA = (
-    f"doc_id long, text string, n_words long, longest int, spans array<{_SPAN}>, item_ids array<string>, "
-    "clean_text string"
-)
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
-_OUT = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("text", pa.string()),
-        ("n_words", pa.int64()),
-        ("longest", pa.int32()),
-        ("spans", _SPANS),
-        ("item_ids", pa.list_(pa.string())),
-        ("clean_text", pa.string()),
-    ]
-)
 
 
 class ItemAutomaton:
@@ -164,6 +149,7 @@ def decontaminate(
     item_id: str = "item_id",
     item_text: str = "text",
     automaton_words: int = AUTOMATON_WORDS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every row of ``docs`` with the words it shares with benchmark items, and its text without them.
 
@@ -171,7 +157,7 @@ def decontaminate(
     consecutive words of an item are hit, or fewer where they already cover the share ``coverage`` of the item
     (1.0: all of a short item). Returns ``doc_id, text, n_words, longest`` (longest match in words), ``spans``
     (maximal runs of hit words), ``item_ids`` (sorted ids, as text, of items hit) and ``clean_text``: the text
-    without the spans, taken again until none is left.
+    without the spans, taken again until none is left. Columns to ``carry`` along come as one struct, ``carried``.
 
     Items go into one suffix automaton, which is broadcast. A benchmark of over ``automaton_words`` words is dealt by
     hash to several of about that size, used one after the other on rows written in between.
@@ -194,7 +180,9 @@ def decontaminate(
         F.expr(f"cast(array() AS array<{_SPAN}>)").alias("spans"),
         F.expr("cast(array() AS array<string>)").alias("item_ids"),
         F.col(text).cast("string").alias("clean_text"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
+    schema = rows.schema
     for shard in range(shards):
         gathered: defaultdict[tuple[bytes, ...], set[str]] = defaultdict(set)
         for row in items.filter(F.col("shard") == shard).toLocalIterator():
@@ -234,11 +222,12 @@ def decontaminate(
                             pa.array(spans, _SPANS),
                             pa.array(ids, pa.list_(pa.string())),
                             pa.array(clean, pa.binary()).cast(pa.string()),
+                            *part.columns[7:],
                         ],
-                        schema=_OUT,
+                        names=part.schema.names,
                     )
 
-        rows = rows.mapInArrow(match, SCHEMA)
+        rows = rows.mapInArrow(match, schema)
         if shard < shards - 1:
             rows = stage(rows, "decontaminated")
     return rows

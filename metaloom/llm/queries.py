@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from metaloom.llm.decontamination import decontaminate
 from metaloom.llm.jaccard_join import near_duplicates
+from metaloom.llm.license_scan import scan_licenses
 from metaloom.llm.lm_scoring import score_texts
+from metaloom.llm.nearest import nearest
 from metaloom.llm.packing import pack_documents
+from metaloom.llm.pii import replace_private
+from metaloom.llm.quality_resampling import Resampler
 from metaloom.llm.substring_dedup import remove_repeats
+from metaloom.llm.url_lists import url_host, url_path, url_verdicts
 
+#: Key of surrogates, and first day and number of days of the derived captures.
+PII_KEY, FIRST_DAY, DAYS = "corpus", "2023-01-01", 730
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -39,6 +46,64 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _number(column: Column, seed: str) -> Column:
+    """A number from a hash that SQL engines share."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(seed), column)), 1, 8), 16, 10).cast("long")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a day on which they were fetched, derived from their id."""
+    day = F.expr(f"date_add(date'{FIRST_DAY}', cast(days AS int))")
+    numbered = pages.select("page_id", "url", (_number(F.col("page_id").cast("string"), "fetch") % DAYS).alias("days"))
+    return numbered.select("page_id", "url", day.alias("fetched_on"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries of three lists, derived from the pages: one to four for each host, on the host or its parent
+    domain, and one for each URL, on its path, where a hash of the URL says so."""
+    parts = pages.select("url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")).distinct()
+    hosts = parts.filter("host != ''").select("host").distinct().withColumn("h", _number(F.col("host"), "host"))
+    turns = hosts.select("host", "h", F.explode(F.sequence(F.lit(0), (F.col("h") % 4).cast("int"))).alias("turn"))
+    on_host = turns.select(
+        F.when(F.col("h") % 3 == 0, F.regexp_replace("host", r"^[^.]*\.", "")).otherwise(F.col("host")).alias("pattern"),
+        F.concat(F.col("host"), F.col("turn").cast("string")).alias("salt"),
+    )
+    on_path = parts.filter("host != '' AND path != '' AND path != '/'").filter(_number(F.col("url"), "path") % 3 == 0)
+    on_path = on_path.select(
+        F.regexp_replace(F.concat("host", "path"), "/$", "").alias("pattern"), F.col("url").alias("salt")
+    )
+    rows = on_host.unionByName(on_path).withColumn("n", _number(F.col("salt"), "entry"))
+    return rows.select(
+        F.element_at(F.array(F.lit("abuse"), F.lit("adult"), F.lit("spam")), (F.col("n") % 3 + 1).cast("int")).alias(
+            "list_name"
+        ),
+        "pattern",
+        F.when(F.col("n") % 20 < 11, "block").when(F.col("n") % 20 < 16, "allow").otherwise("remove").alias("action"),
+        F.expr(f"date_add(date'{FIRST_DAY}', cast(n div 20 % {DAYS} AS int))").alias("listed_on"),
+    )
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_verdicts(captures(pages), list_entries(pages))
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_private(_table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_replaced")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Resampler(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).weights()
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -57,15 +122,68 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {
-    f.__name__: f
-    for f in (
-        op1_benchmark_decontamination,
-        op3_ngram_jaccard_join,
-        op6_best_fit_packing,
-        op8_substring_dedup,
-        op10_lm_scoring,
-    )
-}
-
-ORACLE_SQL: dict[str, str] = {}
+OPERATORS = (
+    op1_benchmark_decontamination,
+    op2_url_filters,
+    op3_ngram_jaccard_join,
+    op4_nearest_neighbours,
+    op5_pii_surrogates,
+    op6_best_fit_packing,
+    op7_license_scan,
+    op8_substring_dedup,
+    op9_quality_resampling,
+    op10_lm_scoring,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
+
+_OP2 = f"""
+WITH numbered AS MATERIALIZED (
+    SELECT page_id, url,
+        DATE '{FIRST_DAY}' + CAST(('0x' || md5('fetch' || page_id)[1:8])::BIGINT % {DAYS} AS INTEGER) AS fetched_on,
+        lower(regexp_replace(
+            regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '\\.$', '')) AS host,
+        regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
+    FROM pages
+),
+hosts AS (
+    SELECT host, ('0x' || md5('host' || host)[1:8])::BIGINT AS h FROM (SELECT DISTINCT host FROM numbered WHERE host != '')
+),
+salted AS (
+    SELECT CASE WHEN h % 3 = 0 THEN regexp_replace(host, '^[^.]*\\.', '') ELSE host END AS pattern,
+        host || turn AS salt
+    FROM (SELECT host, h, unnest(range(0, h % 4 + 1)) AS turn FROM hosts)
+    UNION ALL
+    SELECT regexp_replace(host || path, '/$', ''), url
+    FROM (SELECT DISTINCT url, host, path FROM numbered)
+    WHERE host != '' AND path != '' AND path != '/' AND ('0x' || md5('path' || url)[1:8])::BIGINT % 3 = 0
+),
+entries AS (
+    SELECT ['abuse', 'adult', 'spam'][n % 3 + 1] AS list_name, pattern,
+        CASE WHEN n % 20 < 11 THEN 2 WHEN n % 20 < 16 THEN 1 ELSE 0 END AS strength,
+        DATE '{FIRST_DAY}' + CAST(n // 20 % {DAYS} AS INTEGER) AS listed_on
+    FROM (SELECT pattern, ('0x' || md5('entry' || salt)[1:8])::BIGINT AS n FROM salted)
+),
+daily AS (SELECT list_name, pattern, listed_on, max(strength) AS strength FROM entries GROUP BY ALL),
+spans AS MATERIALIZED (
+    SELECT *, lead(listed_on) OVER (PARTITION BY list_name, pattern ORDER BY listed_on) AS until FROM daily
+),
+keys AS (
+    SELECT page_id, fetched_on, unnest(list_concat(
+        [array_to_string(string_split(host, '.')[i:], '.') FOR i IN range(1, len(string_split(host, '.')) + 1)],
+        [host || '/' || array_to_string(parts[1:i], '/') FOR i IN range(1, len(parts) + 1)])) AS pattern
+    FROM (SELECT *, list_filter(string_split(path, '/'), lambda x: x != '') AS parts FROM numbered WHERE host != '')
+),
+ranked AS (
+    SELECT page_id, keys.pattern, list_name, listed_on, strength, row_number() OVER (PARTITION BY page_id
+        ORDER BY length(keys.pattern) DESC, strength DESC, listed_on DESC, list_name DESC, keys.pattern DESC) AS place
+    FROM keys JOIN spans ON keys.pattern = spans.pattern AND strength > 0
+        AND listed_on <= fetched_on AND (until IS NULL OR fetched_on < until)
+)
+SELECT n.page_id, n.url, n.fetched_on, n.host,
+    CASE r.strength WHEN 2 THEN 'block' WHEN 1 THEN 'allow' ELSE 'none' END AS verdict,
+    r.pattern, r.list_name, r.listed_on
+FROM numbered n LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r USING (page_id)
+"""
+
+#: SQL of the queries that SQL can express.
+ORACLE_SQL: dict[str, str] = {"op2_url_filters": _OP2}
