@@ -156,17 +156,42 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
+def _spare(buckets: int) -> np.uint64:
+    """Low bits of keys without which 40 bits tell keys of one bucket apart."""
+    return np.uint64(max(0, 24 - (buckets.bit_length() - 1)))
+
+
+def trimmed(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Keys without spare bits, for filters that bear a rare false match; equal keys stay equal."""
+    return keys >> _spare(buckets) << _spare(buckets)
+
+
 def requests(
-    block: int, keys: np.ndarray, weights: np.ndarray | None, buckets: int, more: np.ndarray | None = None
+    block: int,
+    keys: np.ndarray,
+    weights: np.ndarray | None,
+    buckets: int,
+    more: np.ndarray | None = None,
+    trim: bool = False,
 ) -> pa.RecordBatch:
-    """One row for each bucket: its part of sorted, distinct ``keys``, with ``more`` key bits and weights."""
+    """One row for each bucket: its part of sorted, distinct ``keys``, with ``more`` key bits and weights.
+
+    Keys that were ``trimmed`` take five bytes: the lower four of all keys, then the fifth, which sorted keys share.
+    """
+
+    def encode(part: np.ndarray) -> bytes:
+        if not trim:
+            return part.tobytes()
+        short = part >> _spare(buckets)
+        return short.astype(np.uint32).tobytes() + (short >> np.uint64(32)).astype(np.uint8).tobytes()
+
     cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
     rows = [(b, slice(cuts[b], cuts[b + 1])) for b in range(buckets) if cuts[b] < cuts[b + 1]]
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block] * len(rows), pa.int64()),
             pa.array([b for b, _ in rows], pa.int32()),
-            pa.array([keys[s].tobytes() + (b"" if more is None else more[s].tobytes()) for _, s in rows], pa.binary()),
+            pa.array([encode(keys[s]) + (b"" if more is None else more[s].tobytes()) for _, s in rows], pa.binary()),
             pa.array([None if weights is None else weights[s].tobytes() for _, s in rows], pa.binary()),
         ],
         schema=_REQUEST,
@@ -176,10 +201,10 @@ def requests(
 class Asked:
     """What one bucket was asked, in the order of its rows."""
 
-    def __init__(self, table: pa.Table, key_type, weight_type, wide: bool = False):
+    def __init__(self, table: pa.Table, weight_type, wide: bool = False, trim: bool = False):
         self.blocks = table.column("block").to_pylist()
         self.bucket = table.column("bucket")[0].as_py()
-        pieces = [np.frombuffer(x, key_type) for x in table.column("keys").to_pylist()]
+        pieces = [self._decode(x) if trim else np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
         if wide:
             self.more = np.concatenate([p[len(p) // 2 :] for p in pieces])
             pieces = [p[: len(p) // 2] for p in pieces]
@@ -187,6 +212,11 @@ class Asked:
         self.weights = np.concatenate([np.frombuffer(x, weight_type) for x in table.column("weights").to_pylist()])
         self.cuts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
+    @staticmethod
+    def _decode(data: bytes) -> np.ndarray:
+        low, high = np.frombuffer(data, np.uint32, len(data) // 5), np.frombuffer(data, np.uint8)[len(data) // 5 * 4 :]
+        return low | high.astype(np.uint64) << np.uint64(32)
+
     def totals(self, wide: bool = False) -> np.ndarray:
         """For each entry, the sum of weights of all entries with its key."""
         order = np.lexsort((self.more, self.keys)) if wide else np.argsort(self.keys, kind="stable")

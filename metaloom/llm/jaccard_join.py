@@ -18,6 +18,7 @@ from metaloom.llm.blocks import (
     each_block,
     requests,
     text_blocks,
+    trimmed,
     with_answers,
 )
 from metaloom.llm.components import components
@@ -67,8 +68,7 @@ class _Local:
         self.sets = shingle_sets(block.texts(), size)
         self.signatures = [_signature(s) for s in self.sets]
         self.firsts = {s: i for i, s in reversed(list(enumerate(self.signatures))) if s is not None}
-        spare = np.uint64(max(0, 24 - (buckets.bit_length() - 1)))
-        own = [self.sets[i] >> spare << spare for i in self.firsts.values()]
+        own = [trimmed(self.sets[i], buckets) for i in self.firsts.values()]
         self.lengths = [len(x) for x in own]
         self.keys, self.inverse, counts = np.unique(
             np.concatenate([*own, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True
@@ -90,10 +90,10 @@ def _sharing(docs: DataFrame, size: int, percent: int, doc_id: str, text: str) -
 
     def ask(block: Block) -> Iterator[pa.RecordBatch]:
         local = _Local(block, size, buckets)
-        yield requests(block.block, local.keys, local.counts, buckets)
+        yield requests(block.block, local.keys, local.counts, buckets, trim=True)
 
     def count(table: pa.Table) -> pa.Table:
-        asked = Asked(table, np.uint64, np.uint8)
+        asked = Asked(table, np.uint8, trim=True)
         return asked.answer(_scaled(asked.totals()))
 
     def choose(block: Block, answer: bytes) -> Iterator[pa.RecordBatch]:

@@ -144,7 +144,7 @@ def score_texts(
         yield requests(block.block, tokens.keys[tokens.order], counts.astype(np.uint32), buckets)
 
     def count(table: pa.Table) -> pa.Table:
-        asked = Asked(table, np.uint64, np.uint32)
+        asked = Asked(table, np.uint32)
         totals = asked.totals()
         single, firsts = np.unique(asked.keys, return_index=True)
         seen = totals[firsts][(single & np.uint64(1) == 0)]

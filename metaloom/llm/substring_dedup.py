@@ -17,6 +17,7 @@ from metaloom.llm.blocks import (
     each_block,
     requests,
     text_blocks,
+    trimmed,
     with_answers,
 )
 from metaloom.llm.words import Words, window_hashes
@@ -36,12 +37,6 @@ _OUT = pa.schema(
 )
 
 
-def _trimmed(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Keys without the bits that anchors can do without; equal hashes stay equal."""
-    spare = np.uint64(max(0, 24 - (buckets.bit_length() - 1)))
-    return (hashes >> spare) << spare
-
-
 def _anchors(words: Words, window: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the anchors of texts that have a window at all, and their keys."""
     length = window - PERIOD + 1
@@ -54,7 +49,7 @@ def _anchors(words: Words, window: int, buckets: int) -> tuple[np.ndarray, np.nd
     covered = np.zeros(PERIOD, bool)
     covered[list(COVER)] = True
     at = np.flatnonzero(covered[(place - starts) % PERIOD] & (place + length <= ends) & (ends - starts >= window))
-    return at, _trimmed(hashes[at], buckets)
+    return at, trimmed(hashes[at], buckets)
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -96,10 +91,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
     def ask_anchors(block: Block) -> Iterator[pa.RecordBatch]:
         words = Words(t.split() for t in block.texts())
         keys, _, weights = _counted(_anchors(words, window, buckets)[1])
-        yield requests(block.block, keys, weights, buckets)
+        yield requests(block.block, keys, weights, buckets, trim=True)
 
     def repeated(table: pa.Table) -> pa.Table:
-        asked = Asked(table, np.uint64, np.uint8)
+        asked = Asked(table, np.uint8, trim=True)
         return asked.answer((asked.totals() > 1).astype(np.uint8))
 
     def ask_windows(block: Block, answer: bytes) -> Iterator[pa.RecordBatch]:
@@ -124,7 +119,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
         yield requests(block.block, first[firsts], counts, buckets, second[firsts])
 
     def repeated_windows(table: pa.Table) -> pa.Table:
-        asked = Asked(table, np.uint64, np.uint8, wide=True)
+        asked = Asked(table, np.uint8, wide=True)
         return asked.answer(asked.keys, asked.totals(wide=True) > 1)
 
     def remove(block: Block, answer: bytes) -> Iterator[pa.RecordBatch]:
