@@ -31,6 +31,8 @@ CONTEXT_BUCKETS = 40
 #: Steps of a ratio of probabilities by which held-out tokens are gathered, for a doubling.
 STEPS = 4
 EM_ROUNDS = 100
+#: Text bytes of a block; a task holds some twenty numbers for each of its tokens.
+BLOCK_BYTES = 4 << 20
 
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -135,7 +137,7 @@ def score_texts(
     text count each time. Without training rows all tokens are unknown, without left-out rows the weights are
     equal. An empty table gives no rows; other columns are ignored; a very long text is a block of its own.
     """
-    blocks = text_blocks(docs, lambda key: int(left_out(key)), doc_id=doc_id, text=text)
+    blocks = text_blocks(docs, lambda key: int(left_out(key)), BLOCK_BYTES, doc_id=doc_id, text=text)
     buckets = buckets_for(blocks)
 
     def ask(block: Block) -> Iterator[pa.RecordBatch]:
