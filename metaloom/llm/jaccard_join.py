@@ -141,6 +141,7 @@ def _may_link(x: str, y: str, percent: int) -> Column:
 
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` similar enough: overlaps counted by fragment, then summed."""
+    # both sides meet the same exchange of segments, so it is written once
     left = segments.select(
         F.col("signature").alias("a"), "fragment", F.col("segment").alias("seg_a"), F.col("n").alias("n_a")
     )
@@ -148,7 +149,8 @@ def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         F.col("signature").alias("b"), "fragment", F.col("segment").alias("seg_b"), F.col("n").alias("n_b")
     )
     sizes_fit = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    sided = pairs.join(left, "a").join(right, ["b", "fragment"]).filter(sizes_fit)
+    asked = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"))
+    sided = asked.join(left, ["a", "fragment"]).join(right, ["b", "fragment"]).filter(sizes_fit)
     partial = F.size(F.array_intersect("seg_a", "seg_b")).cast("long")
     overlap = sided.groupBy("a", "b", "n_a", "n_b").agg(F.sum(partial).alias("both"))
     enough = F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent
