@@ -12,6 +12,8 @@ Blocks are written to the shared folder once, so both steps see the same blocks
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -99,8 +101,10 @@ def text_blocks(
                     lengths.append(-1 if value is None else size)
                     texts.append(value or b"")
                     sizes[part] = sizes.get(part, 0) + size
+            return_memory()
         for part in list(open_blocks):
             yield close(part)
+        return_memory()
 
     columns = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     path = staging_path(spark, "blocks")
@@ -114,6 +118,13 @@ def of_part(rows: DataFrame, part: int) -> DataFrame:
     return rows.filter(F.col("block").bitwiseAND(F.lit(255)) == part)
 
 
+def return_memory() -> None:
+    """Give what a worker has freed back to the system, as executors are held to what they and their workers hold."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Block:
     """A block's rows, read from its row of a table."""
 
@@ -141,6 +152,7 @@ def each_block(blocks: DataFrame, work: Callable[[Block], Iterable[pa.RecordBatc
         for batch in batches:
             for row in range(batch.num_rows):
                 yield from work(Block(batch, row))
+                return_memory()
 
     return blocks.mapInArrow(run, schema)
 
@@ -249,7 +261,12 @@ class Asked:
 
 def answers(asked: DataFrame, reply: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """``reply`` on all requests of each bucket."""
-    return asked.groupBy("bucket").applyInArrow(reply, ANSWER_SCHEMA)
+
+    def run(table: pa.Table) -> pa.Table:
+        return_memory()
+        return reply(table)
+
+    return asked.groupBy("bucket").applyInArrow(run, ANSWER_SCHEMA)
 
 
 def with_answers(
@@ -258,6 +275,7 @@ def with_answers(
     """``work`` on every block with its answers, joined in the order of buckets."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return_memory()
         order = np.argsort(right.column("bucket").to_numpy(), kind="stable")
         parts = right.column("answer").to_pylist()
         made = list(work(Block(left), b"".join(parts[i] for i in order)))

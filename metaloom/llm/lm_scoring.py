@@ -33,6 +33,8 @@ STEPS = 4
 EM_ROUNDS = 100
 #: Text bytes of a block; a task holds some twenty numbers for each of its tokens.
 BLOCK_BYTES = 4 << 20
+#: Text bytes for each bucket: its task holds a few copies of all their distinct n-grams.
+BUCKET_BYTES = 8 << 20
 
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -138,7 +140,7 @@ def score_texts(
     equal. An empty table gives no rows; other columns are ignored; a very long text is a block of its own.
     """
     blocks = text_blocks(docs, lambda key: int(left_out(key)), BLOCK_BYTES, doc_id=doc_id, text=text)
-    buckets = buckets_for(blocks)
+    buckets = buckets_for(blocks, BUCKET_BYTES)
 
     def ask(block: Block) -> Iterator[pa.RecordBatch]:
         tokens = _Tokens(block)
