@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -88,8 +89,7 @@ def text_blocks(
             return pa.RecordBatch.from_pydict(row, _BLOCK)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
+            for rows in slices(batch, 1):
                 values = rows.column(1).cast(pa.binary()).to_pylist()
                 for key, value in zip(rows.column(0).to_pylist(), values, strict=True):
                     part = part_of(key)
@@ -101,10 +101,8 @@ def text_blocks(
                     lengths.append(-1 if value is None else size)
                     texts.append(value or b"")
                     sizes[part] = sizes.get(part, 0) + size
-            return_memory()
         for part in list(open_blocks):
             yield close(part)
-        return_memory()
 
     columns = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     path = staging_path(spark, "blocks")
@@ -125,6 +123,20 @@ def return_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = 2 << 20, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with about ``size`` bytes in a text column at most, or one longer row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = int(np.searchsorted(ends, before + size, side="right"))
+        upto = min(max(upto, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, upto - at)
+        return_memory()
+        at = upto
+
+
 class Block:
     """A block's rows, read from its row of a table."""
 

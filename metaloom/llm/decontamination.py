@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from metaloom.llm.blocks import slices
 from metaloom.llm.words import text_words
 from metaloom.session import stage
 
@@ -194,8 +195,7 @@ def decontaminate(
         def match(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
             found = automaton.value
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
+                for part in slices(batch, 1):
                     old = zip(*(part.column(i).to_pylist() for i in (3, 4, 5)), strict=True)
                     texts = part.column(1).cast(pa.binary()).to_pylist()
                     cleans = part.column(6)

@@ -10,6 +10,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from metaloom.llm.blocks import slices
+
 # Wordings that licenses are noticed by.
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
@@ -127,8 +129,7 @@ def scan_licenses(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(given)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for part in slices(batch, 1):
                 keys, texts = part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()
                 rows = [
                     dict(zip(_FIELDS, (key, line, block, *scanner.best(piece)), strict=True))

@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from metaloom.llm.blocks import slices
 from metaloom.session import stage
 
 #: Pieces that one task packs.
@@ -75,8 +76,7 @@ def token_pieces(
         end = np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, 1):
                 rows = []
                 texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
                 for key, ids in zip(part.column(0).to_pylist(), tokenizer.ids(texts), strict=True):

@@ -10,6 +10,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
+from metaloom.llm.blocks import slices
 from metaloom.llm.words import Words, mix, text_words
 from metaloom.session import stage
 
@@ -69,14 +70,15 @@ class _Features:
         self.again[raw.starts[:-1][raw.lengths > 0]] = 0
         self.texts = len(texts)
 
-    def counted(self, chosen: np.ndarray | None = None) -> np.ndarray:
-        """Occurrences of words, heads, shapes, and of first and repeated words, one after the other."""
+    def count(self, total: np.ndarray, chosen: np.ndarray | None = None) -> None:
+        """Add the occurrences of words, heads, shapes, and first and repeated words, which lie one after the other."""
         columns = [self.word, self.head, self.shape, self.again]
         if chosen is not None:
             plain, raw = (np.repeat(chosen, w.lengths) for w in (self.plain, self.raw))
             columns = [c[m] for c, m in zip(columns, (plain, plain, raw, raw), strict=True)]
-        sizes = (FEATURES, FEATURES, FEATURES, 2)
-        return np.concatenate([np.bincount(c, minlength=n) for c, n in zip(columns, sizes, strict=True)])
+        for i, column in enumerate(columns):
+            seen, n = np.unique(column, return_counts=True)
+            total[seen + i * FEATURES] += n
 
     def weights(self, models: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
         """For each text, the least log weight of a passage against low quality, and of a word against toxicity."""
@@ -105,8 +107,7 @@ def _least(values: np.ndarray, words: Words, size: int) -> np.ndarray:
 def _chunks(batches: Iterator[pa.RecordBatch], id_at: int, text_at: int) -> Iterator[tuple]:
     """Some rows at a time: the rows, their ids and texts."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
+        for part in slices(batch, text_at):
             ids = part.column(id_at).cast(pa.int64()).to_pylist()
             yield part, ids, [t or b"" for t in part.column(text_at).cast(pa.string()).cast(pa.binary()).to_pylist()]
 
@@ -150,14 +151,16 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
         total = np.zeros((4, 3 * FEATURES + 2), np.int64)
         for _, keys, texts in _chunks(batches, 0, 1):
             features = _Features(texts)
-            total[ALL] += features.counted()
+            features.count(total[ALL])
             own = _classes(keys, known, classes)
             for kind in (TARGET, LOW, TOXIC):
                 if (own == kind).any():
-                    total[kind] += features.counted(own == kind)
+                    features.count(total[kind], own == kind)
         seen = np.flatnonzero(total[ALL])
-        columns = [pa.array(seen.astype(np.int32)), *(pa.array(c[seen]) for c in total)]
-        yield pa.RecordBatch.from_arrays(columns, names=["feature", "c0", "c1", "c2", "c3"])
+        for at in range(0, len(seen), 1 << 16):
+            some = seen[at : at + (1 << 16)]
+            columns = [pa.array(some.astype(np.int32)), *(pa.array(c[some]) for c in total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["feature", "c0", "c1", "c2", "c3"])
 
     counted = docs.mapInArrow(count, "feature int, c0 long, c1 long, c2 long, c3 long").groupBy("feature")
     summed = counted.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).toArrow()
