@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from metaloom.llm.blocks import slices
@@ -16,8 +19,11 @@ from metaloom.session import stage
 
 #: Pieces that one task packs.
 PARTITION_PIECES = 20_000
-#: Words whose ids a worker remembers.
-CACHED_WORDS = 300_000
+#: Words, and pieces of words, whose ids a worker remembers.
+CACHED_WORDS = 200_000
+#: Words that are cut into pieces here, and the pieces: the tokenizer's own pattern.
+_LATIN = regex.compile(r"[!-~\u00a1-\u024f]+")
+_PIECES_OF_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Rounds of exchange between partitions whose bin count is above its bound.
 ROUNDS = 3
 
@@ -36,18 +42,21 @@ PACKED = PIECES + ", bin long, offset long, closed boolean"
 
 
 class WordTokenizer:
-    """Token ids of whole texts, through ids of their words.
+    """Token ids of whole texts, through ids of the pieces of their words.
 
-    The tokenizer drops white space and never joins characters across it, so the ids of a text are those of its
-    words one after the other; ids of recent words are remembered. Special strings in a text are found as the
-    tokenizer finds them.
+    The tokenizer composes and lower-cases characters, drops white space, and takes runs of letters, single digits and
+    runs of other characters one by one, so the ids of a text are those of its pieces one after the other. New pieces
+    are encoded many at a time and remembered. Words with characters beyond Latin, or with what may be a special
+    string, go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -57,12 +66,40 @@ class WordTokenizer:
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
             new = list(set().union(*lists))
-        for at in range(0, len(new), 10_000):
-            words = new[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, encoded, strict=True))
+        self._learn(new)
         return [b"".join(map(known.__getitem__, words)) for words in lists]
 
+    def _learn(self, words: list[bytes]) -> None:
+        cut: dict[bytes, list[str]] = {}
+        for word in words:
+            low = word.decode().lower()
+            if _LATIN.fullmatch(low) and "<|" not in low:
+                cut[word] = _PIECES_OF_WORD.findall(low)
+            else:
+                one = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                self.known[word] = np.array(one, "<u4").tobytes()
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        new = list(set().union(*cut.values()).difference(self.pieces))
+        for at in range(0, len(new), 2000):
+            self._encode(new[at : at + 2000])
+        for word, pieces in cut.items():
+            self.known[word] = b"".join([self.pieces[p] for p in pieces])
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Ids of pieces, which are the words of one text for the tokenizer."""
+        encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4")
+        cuts = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(pieces) + 1))
+        for piece, a, b in zip(pieces, cuts[:-1], cuts[1:], strict=True):
+            self.pieces[piece] = ids[a:b].tobytes()
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for each worker."""
+    return WordTokenizer(path)
+
 
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, doc_id: str = "doc_id", text: str = "text"
@@ -72,7 +109,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = _tokenizer(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
