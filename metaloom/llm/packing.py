@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,7 +12,6 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from metaloom.llm.blocks import slices
@@ -19,11 +19,10 @@ from metaloom.session import stage
 
 #: Pieces that one task packs.
 PARTITION_PIECES = 20_000
-#: Words, and pieces of words, whose ids a worker remembers.
-CACHED_WORDS = 200_000
-#: Words that are cut into pieces here, and the pieces: the tokenizer's own pattern.
-_LATIN = regex.compile(r"[!-~\u00a1-\u024f]+")
-_PIECES_OF_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Words whose ids a worker remembers, in about 200 bytes each.
+CACHED_WORDS = 800_000
+#: Marks that close a word after a letter or digit.
+_MARKS = re.compile(rb"(?<=[a-z0-9])[!-/:-@\[-`{-~]+(?=[\x20\x09-\x0D]|\Z)")
 #: Rounds of exchange between partitions whose bin count is above its bound.
 ROUNDS = 3
 
@@ -42,12 +41,10 @@ PACKED = PIECES + ", bin long, offset long, closed boolean"
 
 
 class WordTokenizer:
-    """Token ids of whole texts, through ids of the pieces of their words.
+    """Token ids of whole texts, through ids of their words.
 
-    The tokenizer composes and lower-cases characters, drops white space, and takes runs of letters, single digits and
-    runs of other characters one by one, so the ids of a text are those of its pieces one after the other. New pieces
-    are encoded many at a time and remembered. Words with characters beyond Latin, or with what may be a special
-    string, go to the tokenizer whole.
+    The tokenizer drops white space and never joins characters across it, so the ids of a text are those of its words
+    one after the other. New words are encoded many at a time, as a text cut into words, and remembered.
     """
 
     def __init__(self, path: str):
@@ -56,11 +53,10 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
-        lists = [t.split() for t in texts]
+        lists = [self._cut(t) for t in texts]
         known = self.known
         new = list(set().union(*lists).difference(known))
         if len(known) + len(new) > CACHED_WORDS:
@@ -69,30 +65,22 @@ class WordTokenizer:
         self._learn(new)
         return [b"".join(map(known.__getitem__, words)) for words in lists]
 
+    @staticmethod
+    def _cut(text: bytes) -> list[bytes]:
+        """Words, with fewer forms of each: lower-cased as the tokenizer does, and without closing marks, which it takes
+        for themselves. Texts with what may be a special string are left as they are."""
+        return (text if b"<|" in text else _MARKS.sub(rb" \g<0>", text.lower())).split()
+
     def _learn(self, words: list[bytes]) -> None:
-        cut: dict[bytes, list[str]] = {}
-        for word in words:
-            low = word.decode().lower()
-            if _LATIN.fullmatch(low) and "<|" not in low:
-                cut[word] = _PIECES_OF_WORD.findall(low)
-            else:
-                one = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-                self.known[word] = np.array(one, "<u4").tobytes()
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
-        new = list(set().union(*cut.values()).difference(self.pieces))
-        for at in range(0, len(new), 2000):
-            self._encode(new[at : at + 2000])
-        for word, pieces in cut.items():
-            self.known[word] = b"".join([self.pieces[p] for p in pieces])
-
-    def _encode(self, pieces: list[str]) -> None:
-        """Ids of pieces, which are the words of one text for the tokenizer."""
-        encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4")
-        cuts = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(pieces) + 1))
-        for piece, a, b in zip(pieces, cuts[:-1], cuts[1:], strict=True):
-            self.pieces[piece] = ids[a:b].tobytes()
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            encoded = self.tokenizer.encode(
+                [w.decode() for w in some], is_pretokenized=True, add_special_tokens=False
+            )
+            data = np.array(encoded.ids, "<u4").tobytes()
+            cuts = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(some) + 1)) * 4
+            ends = cuts.tolist()
+            self.known.update((w, data[a:b]) for w, a, b in zip(some, ends[:-1], ends[1:], strict=True))
 
 
 @lru_cache(maxsize=1)
