@@ -1,0 +1,205 @@
+"""Nulls, empty tables, repeated rows, long texts and clashing columns, and small brute-force comparisons."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from metaloom.llm.decontamination import decontaminate
+from metaloom.llm.jaccard_join import near_duplicates
+from metaloom.llm.license_scan import scan_licenses
+from metaloom.llm.lm_scoring import score_texts
+from metaloom.llm.nearest import hilbert_keys, nearest
+from metaloom.llm.packing import best_fit_decreasing, bin_bound, pack_documents
+from metaloom.llm.pii import replace_private
+from metaloom.llm.quality_resampling import Resampler
+from metaloom.llm.queries import tokenizer_path
+from metaloom.llm.substring_dedup import remove_repeats
+from metaloom.llm.url_lists import url_verdicts
+
+WORDS = [f"w{i}" for i in range(400)]
+LONG = " ".join(WORDS * 40)
+BASE = " ".join(WORDS[:120])
+NEAR = " ".join(WORDS[:118] + ["x", "y"])
+ROWS = [
+    (1, BASE, 7),
+    (2, NEAR, 7),
+    (2, NEAR, 7),
+    (3, BASE.upper(), 7),
+    (4, None, None),
+    (5, "", 7),
+    (6, "a b", 7),
+    (7, LONG, 7),
+    (None, "only here is this", 7),
+    (8, "prefix " + " ".join(WORDS[200:240]) + " suffix", 7),
+]
+SCHEMA = "doc_id long, text string, block int"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text, lower=False):
+    data = (text or "").encode()
+    return (data.lower() if lower else data).split()
+
+
+def test_near_duplicates(docs, none):
+    sets = [(i, frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if (w := words(t, True)) else None)
+            for i, t, _ in ROWS]
+    want = Counter()
+    for i, s in sets:
+        group = {i}
+        if s:
+            group = {j for j, o in sets if o and 100 * len(s & o) >= 80 * len(s | o)}
+        want[i, len(s or ()), min((j for j in group if j is not None), default=None)] += 1
+    got = near_duplicates(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(tuple(r) for r in got) == want
+    assert near_duplicates(none).count() == 0
+
+
+def test_remove_repeats(docs, none):
+    texts = [words(t) for _, t, _ in ROWS]
+    seen = Counter(tuple(w[i : i + 35]) for w in texts for i in range(len(w) - 34))
+    want = Counter()
+    for (i, _, _), w in zip(ROWS, texts, strict=True):
+        gone = set()
+        for at in range(len(w) - 34):
+            if seen[tuple(w[at : at + 35])] > 1:
+                gone.update(range(at, at + 35))
+        want[i, len(w), len(gone), b" ".join(x for at, x in enumerate(w) if at not in gone).decode()] += 1
+    got = remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert Counter(tuple(r) for r in got) == want
+    assert remove_repeats(none).count() == 0
+
+
+def test_score_texts(docs, none):
+    train = Counter(w for i, t, _ in ROWS if zlib.crc32(str(i if i is not None else "").encode()) % 10
+                    for w in words(t, True) + [b"\n"])
+    total, kinds = sum(train.values()), len(train)
+    rows = score_texts(docs).collect()
+    assert len(rows) == len(ROWS)
+    by_id = {i: words(t, True) + [b"\n"] for i, t, _ in ROWS}
+    for r in rows:
+        one = by_id[r.doc_id]
+        base = sum(np.log10((train[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in one)
+        assert r.n_tokens == len(one) and r.n_known == sum(train[w] > 0 for w in one)
+        assert r.train_tokens == total and r.base_score == pytest.approx(base) and np.isfinite(r.score)
+    assert score_texts(none).count() == 0
+
+
+def test_decontaminate(spark, docs, none):
+    items = [(1, " ".join(WORDS[205:225])), (2, "A b"), (3, None), (None, "only here"), (4, ""), (1, "a-b")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for size in (200_000, 6):
+        got = {r.doc_id: r for r in decontaminate(docs, bench, automaton_words=size).collect()}
+        assert got[8].item_ids == ["1"] and [tuple(s) for s in got[8].spans] == [(6, 20)] and got[8].longest == 20
+        assert got[6].item_ids == ["1", "2"] and got[6].clean_text.strip() == ""
+        assert got[None].item_ids == [] and got[None].spans and got[4].clean_text is None
+        assert got[1].clean_text == BASE and not got[1].spans
+    assert decontaminate(none, bench).count() == 0
+    assert all(not r.spans for r in decontaminate(docs, spark.createDataFrame([], bench.schema)).collect())
+
+
+def test_packing(docs, none):
+    rows = pack_documents(docs, tokenizer_path(), size=512).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for held in bins.values():
+        ends = [0] + [a + b for a, b in sorted(held)]
+        assert [a for a, _ in sorted(held)] == ends[:-1] and ends[-1] <= 512
+    assert {r.doc_id for r in rows} == {i for i, _, _ in ROWS}
+    assert pack_documents(none, tokenizer_path()).count() == 0
+    lengths = np.random.default_rng(1).integers(1, 101, 500)
+    made = best_fit_decreasing(lengths, 100)[0].max() + 1
+    assert bin_bound(lengths, 100) <= made <= bin_bound(lengths, 100) * 1.05 + 1
+    assert bin_bound(np.full(10, 51), 100) == 10
+
+
+def test_nearest(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(200)] + [(i, [1.0] * 8) for i in range(200, 260)]
+    odd = [(300, None), (320, [0.0] * 8), (340, [float("nan")] + [1.0] * 7), (360, [None] + [1.0] * 7), (None, [1.0] * 8)]
+    got = nearest(spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>"), k=5).collect()
+    ids, all_of = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    for q in range(0, 260, 20):
+        scores = all_of @ all_of[q]
+        scores[q] = -np.inf
+        best = ids[np.lexsort((ids, -scores.round(9)))][:5]
+        assert [r.vec_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == best.tolist()
+    assert len(got) == 13 * 5
+    assert nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_hilbert_curve_steps_to_neighbours():
+    points = np.array([[a, b, c] for a in range(8) for b in range(8) for c in range(8)])
+    order = points[np.argsort(hilbert_keys(points, 3))]
+    assert (np.abs(np.diff(order, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_private_data(spark, none):
+    text = "Mr John Smith, a.b@c.com, A.B@C.COM, +1 (301) 555-0346 or +1 3015550346, 4111 1111 1111 1111, 1.2.3.4."
+    rows = [(1, text, 1), (1, text, 1), (2, "no 1234567890123456 here, Mr Smith", 1), (3, None, 1), (4, "", 1)]
+    got = replace_private(spark.createDataFrame(rows, SCHEMA), "key").collect()
+    assert len(got) == 5 and {r.text for r in got if r.doc_id in (3, 4)} == {None, ""}
+    one, same = (r.text for r in got if r.doc_id == 1)
+    assert one == same and not re.search(r"John|Smith|a\.b@|301|4111 1111|1\.2\.3\.4", one)
+    assert len(re.sub(r"\D", "", re.search(r"\d{4} \d{4} \d{4} \d{4}", one)[0])) == 16
+    mails = re.findall(r"\S+@\S+\.(?:com|COM)", one)
+    assert mails[0].upper() == mails[1]
+    phones = re.search(r"(\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1 \d{10})", one)
+    assert re.sub(r"\D", "", phones[1]) == re.sub(r"\D", "", phones[2])
+    other = next(r.text for r in got if r.doc_id == 2)
+    assert "1234567890123456" in other and other.split()[-1] == re.search(r"Mr \w+ (\w+),", one)[1]
+    assert replace_private(none, "key").count() == 0
+
+
+def test_quality(spark, none):
+    good = [(i, " ".join(WORDS[i : i + 60]) + ".", 1) for i in range(200)]
+    bad = [(200 + i, " ".join(f"{w.upper()}%%%" for w in WORDS[i : i + 60]), 1) for i in range(80)]
+    toxic = [(300 + i, " ".join(WORDS[i : i + 30] + ["idiot"] + WORDS[i + 30 : i + 60]), 1) for i in range(80)]
+    rows = good + bad + toxic
+    docs = spark.createDataFrame(rows + [(None, None, 1), (999, "", 1)], SCHEMA)
+    labels = [(i, int(not 200 <= i < 300), int(i >= 300)) for i, _, _ in rows if i % 2] + [(None, 1, 0), (5, None, 0)]
+    made = Resampler(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    chosen = {r.doc_id for r in made.weights().filter("selected").collect()}
+    assert len(chosen & set(range(200))) >= 198 and len(chosen & set(range(200, 400))) <= 2
+    assert {r.doc_id for r in made.kept().collect()} == chosen
+    unlabelled = Resampler(none, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert unlabelled.weights().count() == 0
+
+
+def test_licenses(spark, docs, none):
+    rows = [(1, "x\nReleased under the MIT License.\ny", 1), (2, "Licensed under CC BY-NC 4.0.", 1), (3, "licence to sing", 1)]
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1].license == "MIT-notice" and got[1].confirmed and got[1].line == 1
+    assert got[2].license == "CC-BY-NC-4.0" and got[2].n_missing == 0 and not got[3].confirmed
+    assert scan_licenses(none).count() == 0 and scan_licenses(docs).count() == 0
+
+
+def test_url_lists(spark):
+    rows = "page_id long, url string, fetched_on date, verdict string"
+    pages = spark.sql(
+        "SELECT * FROM VALUES (1, 'http://a.b.com/x/y', date'2024-03-05', 'q'), (2, 'http://A.b.com./z', date'2024-03-05', 'q'),"
+        " (3, null, date'2024-03-05', 'q'), (4, 'http://b.com', null, 'q'), (5, 'http://b.com', date'2024-01-01', 'q')"
+        " AS t(page_id, url, fetched_on, verdict)"
+    )
+    entries = spark.sql(
+        "SELECT * FROM VALUES ('l', 'b.com', 'block', date'2024-02-01'), ('l', 'a.b.com/x', 'allow', date'2024-03-05'),"
+        " ('l', 'a.b.com', 'block', date'2024-01-01'), ('l', 'a.b.com', 'remove', date'2024-03-05'),"
+        " (null, 'a.b.com', 'block', date'2024-01-01') AS t(list_name, pattern, action, listed_on)"
+    )
+    got = {r.page_id: (r.verdict, r.pattern) for r in url_verdicts(pages, entries).collect()}
+    assert got == {1: ("allow", "a.b.com/x"), 2: ("block", "b.com"), 3: ("none", None), 4: ("none", None), 5: ("none", None)}
+    assert url_verdicts(spark.createDataFrame([], rows), entries).count() == 0
+    assert {r.verdict for r in url_verdicts(pages, entries.limit(0)).collect()} == {"none"}
