@@ -11,25 +11,36 @@ from pyspark.sql import types as T
 Execute = Callable[[str], object]
 
 
+def kind_of(error: Exception) -> str:
+    """``conflict``, ``compile`` or ``other``, from the class and the text of what a connection raised."""
+    name, text = type(error).__name__.lower(), str(error).lower()
+    if "conflict" in name or "conflict" in text or "alreadyexists" in name or "already exists" in text:
+        return "conflict"
+    if any(x in name for x in ("programming", "syntax", "parse")) or "compilation" in text or "syntax error" in text:
+        return "compile"
+    return "other"
+
+
 def run_statements(
     statements: DataFrame,
     connect: Callable[[], Execute],
     connections: int | None = None,
-    error_kind: Callable[[Exception], str] = lambda error: "other",
+    error_kind: Callable[[Exception], str] = kind_of,
 ) -> DataFrame:
     """Run each row's ``statement``; the other columns come back with ``error``,
     ``error_kind`` and ``applied_at``.
 
     ``connect`` is called once per partition, on the executor, and returns a function that
     runs one statement and raises on failure. It also is the place to fill in secrets.
-    ``connections`` bounds how many partitions there are, and so the load on the other side.
+    ``connections`` is how many partitions there are, and so the load on the other side; the session's default
+    parallelism if not given. Statements are dealt by hash, however few files they come from.
     ``error_kind`` names an exception's kind: ``compile``, ``conflict`` or ``other``.
 
     Stage the result before using it: each evaluation runs the statements. A retried task
     repeats its statements, which must therefore be safe to repeat.
     """
-    if connections:
-        statements = statements.repartition(connections, F.xxhash64("statement"))
+    connections = connections or statements.sparkSession.sparkContext.defaultParallelism
+    statements = statements.repartition(connections, F.xxhash64("statement"))
     kept = [f for f in statements.schema.fields if f.name != "statement"]
     result = T.StructType(
         [

@@ -249,9 +249,7 @@ SELECT {fv.CATALOG_NAME}, {fv.SCHEMA_NAME}, {fv.TABLE_NAME} FROM untagged""",
     "tags_after_refresh": f"""{_UNSYNCED}
 SELECT * FROM new_tags
 UNION ALL
-SELECT t.* FROM tags t WHERE NOT EXISTS (
-  SELECT 1 FROM new_tags n WHERE n.catalog_name = t.catalog_name
-     AND n.schema_name = t.schema_name AND n.table_name = t.table_name AND n.tag_name = t.tag_name)""",
+SELECT t.* FROM tags t ANTI JOIN new_tags n USING (catalog_name, schema_name, table_name, tag_name)""",
     "integration_targets": f"{_UNSYNCED} SELECT * FROM targets",
     "eligible_tables": f"{_UNSYNCED} SELECT * FROM eligible",
     "target_databases": f"{_UNSYNCED} SELECT DISTINCT {DB} FROM eligible",

@@ -1 +1 @@
-"""Operators put together: versioned tables and the mirror's public methods."""
+"""Operators put together: stored tables, the mirror's public methods, and the registered queries."""

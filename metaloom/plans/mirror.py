@@ -18,7 +18,7 @@ from metaloom.operators import inventory as inv
 from metaloom.operators.apply import Execute, run_statements
 from metaloom.operators.hierarchy import nest
 from metaloom.operators.keys import keyed
-from metaloom.operators.merge import update_status, upsert_metadata, upsert_small_batch
+from metaloom.operators.merge import update_status, upsert_metadata
 from metaloom.operators.outcomes import container_outcomes, integration_outcomes, table_outcomes
 from metaloom.operators.statements import (
     database_statements,
@@ -38,9 +38,6 @@ from metaloom.plans.partitions import PartitionedTable
 from metaloom.session import stage
 from metaloom.sources import listings
 
-#: Batches up to this many rows are merged in the form made for small ones.
-SMALL_BATCH_ROWS = 1_000_000
-
 
 @dataclass
 class LandedCatalog:
@@ -81,12 +78,10 @@ class CatalogMirror:
         metadata_table: str = fv.METADATA_TABLE,
         tag_table: str = "table_tags",
         location: str | None = None,
-        small_batch_rows: int = SMALL_BATCH_ROWS,
     ) -> None:
         self.spark = spark_session
         self.workspace_url = workspace_url
         self.landed = landed
-        self.small_batch_rows = small_batch_rows
         place = (spark_session, metadata_catalog, metadata_schema)
         location = location or f"{spark_session.conf.get('spark.sql.warehouse.dir')}/{metadata_schema}"
         self.metadata = PartitionedTable(
@@ -148,9 +143,7 @@ class CatalogMirror:
         landed, _, facts = self._facts(catalog, schema, table)
         facts = stage(facts, "refresh")
         batch = keyed(inv.inventory(facts))
-        small = facts.count() <= self.small_batch_rows
-        merge = upsert_small_batch if small else upsert_metadata
-        self.metadata.rewrite(batch, lambda known: merge(known, batch))
+        self.metadata.rewrite(batch, lambda known: upsert_metadata(known, batch))
         return (
             inv.rejects(facts)
             .unionByName(listings.rejected_schema_pages(landed.schema_pages))

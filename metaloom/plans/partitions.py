@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -19,6 +19,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from metaloom.sources.tables import conform
 
 PART = "part"
+PARTS_PROPERTY = "metaloom.parts"
 
 
 def _quoted(*names: str) -> str:
@@ -47,13 +48,24 @@ class PartitionedTable:
     location: str
     comment: str = ""
     parts: int = 4096
+    _known_parts: int | None = field(default=None, init=False)
 
     @property
     def name(self) -> str:
         return _quoted(self.catalog, self.schema, self.table)
 
+    def stored_parts(self) -> int:
+        """The number of partitions the table was made with; rows are dealt by it, whatever ``parts`` says."""
+        if self._known_parts is None:
+            rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+            stored = {r.key: r.value for r in rows}.get(PARTS_PROPERTY)
+            if stored is None:
+                raise RuntimeError(f"{self.name} does not say how many partitions it has ({PARTS_PROPERTY})")
+            self._known_parts = int(stored)
+        return self._known_parts
+
     def _part(self) -> Column:
-        return F.pmod(F.xxhash64(self.part_by), F.lit(self.parts)).cast("int").alias(PART)
+        return F.pmod(F.xxhash64(self.part_by), F.lit(self.stored_parts())).cast("int").alias(PART)
 
     def create(self) -> None:
         """Create the table, empty, unless it is there."""
@@ -61,7 +73,8 @@ class PartitionedTable:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, {PART} INT) USING parquet "
             f"PARTITIONED BY ({PART}) COMMENT {_text(self.comment)} "
-            f"LOCATION {_text(f'{self.location}/{self.table}')}"
+            f"LOCATION {_text(f'{self.location}/{self.table}')} "
+            f"TBLPROPERTIES ({_text(PARTS_PROPERTY)} = {_text(str(self.parts))})"
         )
 
     def read(self) -> DataFrame:
@@ -94,9 +107,10 @@ class PartitionedTable:
             after = after.hint("rebalance", PART)
         folder = f"{self.location}/{self.table}-{uuid.uuid4().hex}"
         after.write.partitionBy(PART).parquet(folder)
-        return self._point_at(folder)
+        return self._point_at(folder, touched)
 
-    def _point_at(self, folder: str) -> list[str]:
+    def _point_at(self, folder: str, touched: list[int]) -> list[str]:
+        """Use the files of ``folder``; touched partitions without any have become empty and go."""
         stored = StructType([*self.columns.fields, StructField(PART, IntegerType())])
         written = self.spark.read.schema(stored).parquet(folder).select(PART).distinct()
         known = {r.partition for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
@@ -112,4 +126,9 @@ class PartitionedTable:
         if added:
             places = (f"PARTITION ({PART}={n}) LOCATION {_text(f'{folder}/{PART}={n}')}" for n in added)
             self.spark.sql(f"ALTER TABLE {self.name} ADD {' '.join(places)}")
+        for n in sorted(n for n in set(touched) - set(parts) if f"{PART}={n}" in known):
+            partition = f"PARTITION ({PART}={n})"
+            details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name} {partition}").collect()
+            replaced.append(next(r.data_type for r in details if r.col_name == "Location"))
+            self.spark.sql(f"ALTER TABLE {self.name} DROP {partition}")
         return replaced

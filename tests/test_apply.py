@@ -1,6 +1,6 @@
 from collections import Counter
 
-from metaloom.operators.apply import run_statements
+from metaloom.operators.apply import kind_of, run_statements
 from metaloom.session import stage
 from tests.fixtures import by
 
@@ -51,3 +51,18 @@ def test_no_statements_no_connection(spark):
         raise RuntimeError("must not connect")
 
     assert run_statements(statements(spark, 0), connect).count() == 0
+
+
+def test_kinds_of_errors():
+    class ProgrammingError(Exception):
+        pass
+
+    assert kind_of(ValueError("Object 'x' already exists.")) == "conflict"
+    assert kind_of(ProgrammingError("bad")) == kind_of(ValueError("SQL compilation error")) == "compile"
+    assert kind_of(ValueError("timeout")) == "other"
+
+
+def test_statements_of_one_file_are_spread(spark):
+    one = statements(spark, 200).coalesce(1)
+    assert run_statements(one, refusing, connections=6).rdd.getNumPartitions() == 6
+    assert run_statements(one, refusing).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
