@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 Execute = Callable[[str], object]
 
+#: Stands in a statement for a secret of that name.
+PLACEHOLDER = re.compile(r"\$\{([A-Z][A-Z_]*)\}")
+
 
 def kind_of(error: Exception) -> str:
     """``conflict``, ``compile`` or ``other``, from the class and the text of what a connection raised."""
@@ -26,12 +30,14 @@ def run_statements(
     connect: Callable[[], Execute],
     connections: int | None = None,
     error_kind: Callable[[Exception], str] = kind_of,
+    secrets: Callable[[], dict[str, str]] = dict,
 ) -> DataFrame:
     """Run each row's ``statement``; the other columns come back with ``error``,
     ``error_kind`` and ``applied_at``.
 
     ``connect`` is called once per partition, on the executor, and returns a function that
-    runs one statement and raises on failure. It also is the place to fill in secrets.
+    runs one statement and raises on failure. ``secrets`` is called there too and returns what to put for each
+    ``${NAME}``; a statement with a name that has none is not run but fails, and errors do not show secrets.
     ``connections`` is how many partitions there are, and so the load on the other side; the session's default
     parallelism if not given. Statements are dealt by hash, however few files they come from.
     ``error_kind`` names an exception's kind: ``compile``, ``conflict`` or ``other``.
@@ -51,20 +57,33 @@ def run_statements(
         ]
     )
 
-    def attempt(execute: Execute, sql: str) -> tuple[str | None, str | None, pd.Timestamp]:
+    def filled(sql: str, known: dict[str, str]) -> str:
+        missing = set(PLACEHOLDER.findall(sql)) - set(known)
+        if missing:
+            raise LookupError(f"no secret for {', '.join(sorted(missing))}")
+        return PLACEHOLDER.sub(lambda m: known[m[1]].replace("'", "''"), sql)
+
+    def shown(failure: Exception, known: dict[str, str]) -> str:
+        text = str(failure)
+        for name, secret in known.items():
+            for form in {secret, secret.replace("'", "''")} - {""}:
+                text = text.replace(form, f"${{{name}}}")
+        return text
+
+    def attempt(execute: Execute, sql: str, known: dict[str, str]) -> tuple[str | None, str | None, pd.Timestamp]:
         try:
-            execute(sql)
+            execute(filled(sql, known))
             error, kind = None, None
         except Exception as failure:  # every failure is a row, as the next must still run
-            error, kind = str(failure), error_kind(failure)
+            error, kind = shown(failure, known), error_kind(failure)
         return error, kind, pd.Timestamp.now(tz="UTC")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        execute = None
+        execute, known = None, {}
         for batch in batches:
             if execute is None and len(batch):
-                execute = connect()
-            done = [attempt(execute, sql) for sql in batch["statement"]]
+                execute, known = connect(), secrets()
+            done = [attempt(execute, sql, known) for sql in batch["statement"]]
             outcome = pd.DataFrame(done, columns=["error", "error_kind", "applied_at"])
             yield pd.concat([batch.drop(columns="statement").reset_index(drop=True), outcome], axis=1)
 

@@ -51,15 +51,19 @@ def integration_statements(
 
 def database_statements(databases: DataFrame, quote_identifiers: bool = False) -> DataFrame:
     """``object_name, statement`` for target databases."""
-    return databases.select(
-        F.col(fv.TARGET_DATABASE).alias("object_name"),
-        text.database_statement(quote_identifiers).alias("statement"),
+    return _not_blank(
+        databases.select(
+            F.col(fv.TARGET_DATABASE).alias("object_name"),
+            text.database_statement(quote_identifiers).alias("statement"),
+        )
     )
 
 
 def schema_statements(schemas: DataFrame, quote_identifiers: bool = False) -> DataFrame:
     """``object_name, statement`` for target schemas."""
-    return schemas.select(
-        dotted_name(F.col(fv.TARGET_DATABASE), F.col(fv.TARGET_SCHEMA)).alias("object_name"),
-        text.schema_statement(quote_identifiers).alias("statement"),
+    return _not_blank(
+        schemas.select(
+            dotted_name(F.col(fv.TARGET_DATABASE), F.col(fv.TARGET_SCHEMA)).alias("object_name"),
+            text.schema_statement(quote_identifiers).alias("statement"),
+        )
     )

@@ -321,6 +321,14 @@ FROM outcomes""",
     "table_statements_quoted": _table_statement(
         f"""'"' || {DB} || '"."' || {SC} || '"."' || {TB} || '"'""", "FALSE"
     ),
+    "container_statements": f"""{_UNSYNCED}, named AS (
+    SELECT DISTINCT CASE WHEN ascii(reverse({DB})) % 3 <> 0 THEN {DB} END AS db,
+           CASE WHEN ascii(reverse({SC})) % 3 <> 0 THEN {SC} END AS sc
+    FROM eligible
+)
+SELECT DISTINCT db AS object_name, 'CREATE DATABASE ' || db AS statement FROM named WHERE db IS NOT NULL
+UNION ALL
+SELECT db || '.' || sc, 'CREATE SCHEMA ' || db || '.' || sc FROM named WHERE db IS NOT NULL AND sc IS NOT NULL""",
     "integration_statements": f"""{_UNSYNCED}
 SELECT {fv.INTEGRATION} AS object_name,
        {" || chr(10) || ".join(_INTEGRATION_LINES)} AS statement

@@ -35,7 +35,7 @@ from metaloom.operators.targets import (
 )
 from metaloom.operators.view import enriched_view, register_view
 from metaloom.plans.partitions import PartitionedTable
-from metaloom.session import stage
+from metaloom.session import stage, warehouse_root
 from metaloom.sources import listings
 
 
@@ -83,7 +83,7 @@ class CatalogMirror:
         self.workspace_url = workspace_url
         self.landed = landed
         place = (spark_session, metadata_catalog, metadata_schema)
-        location = location or f"{spark_session.conf.get('spark.sql.warehouse.dir')}/{metadata_schema}"
+        location = location or f"{warehouse_root(spark_session)}/{metadata_schema}"
         self.metadata = PartitionedTable(
             *place,
             metadata_table,
@@ -136,20 +136,41 @@ class CatalogMirror:
     ) -> DataFrame:
         """Merge a catalog's current tables into the metadata table; returns rejected rows.
 
-        ``schema`` is a name or several. Rejects are unreadable pages and tables that lack an
-        id, a location or a type. They are not merged and do not stop the others.
+        ``schema`` is a name or several. Rejects are unreadable pages of wanted schemas, tables that
+        lack an id, a location or a type, and named schemas that no entity is known of. They are
+        not merged and do not stop the others.
         """
         self.create_metadata_tables()
         landed, _, facts = self._facts(catalog, schema, table)
         facts = stage(facts, "refresh")
+        rejects = stage(inv.rejects(facts).unionByName(self._unread(landed, catalog, schema)), "rejects")
         batch = keyed(inv.inventory(facts))
         self.metadata.rewrite(batch, lambda known: upsert_metadata(known, batch))
-        return (
-            inv.rejects(facts)
-            .unionByName(listings.rejected_schema_pages(landed.schema_pages))
-            .unionByName(listings.rejected_table_pages(landed.table_pages))
+        return rejects
+
+    def _unread(self, landed: LandedCatalog, catalog: str, schema: str | Sequence[str] | None) -> DataFrame:
+        """Unreadable pages that a refresh would have needed, and named schemas without an entity."""
+        pages = inv.wanted_schemas(landed.table_pages, schema)
+        rejected = listings.rejected_table_pages(pages)
+        if schema is None:
+            return rejected.unionByName(listings.rejected_schema_pages(landed.schema_pages))
+        names = [schema] if isinstance(schema, str) else list(schema)
+        asked = self.spark.createDataFrame([(catalog, n) for n in names], "catalog_name string, schema_name string")
+        unknown = asked.join(landed.schemas, ["catalog_name", "schema_name"], "left_anti").distinct()
+        return rejected.unionByName(
+            unknown.select(
+                "*", F.lit(None).cast("string").alias("table_name"), F.lit("schema is not known").alias("reason")
+            )
         )
 
+    def unused_folders(self) -> list[str]:
+        """Folders that this mirror's changes have replaced, for deletion once nobody reads them."""
+        return [*self.metadata.unused, *self.tags.unused]
+
+    def build_hierarchy_for_schema(self, catalog_name: str, schema_name: str) -> DataFrame:
+        """One schema and its tables, nested."""
+        return self.build_hierarchy_for_catalog(catalog_name, schema_name)
+
     def build_hierarchy_for_catalog(
         self,
         catalog_name: str,

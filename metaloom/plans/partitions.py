@@ -48,6 +48,8 @@ class PartitionedTable:
     location: str
     comment: str = ""
     parts: int = 4096
+    #: Folders that changes made through this object have replaced.
+    unused: list[str] = field(default_factory=list, init=False)
     _known_parts: int | None = field(default=None, init=False)
 
     @property
@@ -107,7 +109,9 @@ class PartitionedTable:
             after = after.hint("rebalance", PART)
         folder = f"{self.location}/{self.table}-{uuid.uuid4().hex}"
         after.write.partitionBy(PART).parquet(folder)
-        return self._point_at(folder, touched)
+        replaced = self._point_at(folder, touched)
+        self.unused += replaced
+        return replaced
 
     def _point_at(self, folder: str, touched: list[int]) -> list[str]:
         """Use the files of ``folder``; touched partitions without any have become empty and go."""

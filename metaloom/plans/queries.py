@@ -18,7 +18,12 @@ from metaloom.operators.keys import keyed
 from metaloom.operators.merge import update_status, upsert_metadata, upsert_small_batch, latest_status
 from metaloom.operators.outcomes import container_outcomes, integration_outcomes, table_outcomes
 from metaloom.operators.paging import list_pages
-from metaloom.operators.statements import integration_statements, table_statements
+from metaloom.operators.statements import (
+    database_statements,
+    integration_statements,
+    schema_statements,
+    table_statements,
+)
 from metaloom.operators.tags import default_tags, pivot_tags, set_default_tags, untagged_tables
 from metaloom.operators.targets import (
     eligible_tables,
@@ -286,6 +291,15 @@ def render_quoted_tables(w: Workload) -> DataFrame:
     return statements.drop(fv.RECORD_ID)
 
 
+def render_containers(w: Workload) -> DataFrame:
+    """Databases and schemas to create, of which some have no name and so no statement."""
+    tables = eligible_tables(_unsynced_view(w), unique_records=True)
+    targets = (fv.TARGET_DATABASE, fv.TARGET_SCHEMA)
+    tables = tables.withColumns({n: F.when(F.ascii(F.reverse(n)) % 3 != 0, F.col(n)) for n in targets})
+    databases = database_statements(target_databases(tables))
+    return databases.unionByName(schema_statements(target_schemas(tables)))
+
+
 def render_integrations(w: Workload) -> DataFrame:
     targets = integration_targets(_natural_integration(_unsynced_view(w)))
     return integration_statements(targets, ENDPOINT, CLIENT_ID, 300)
@@ -335,6 +349,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "container_outcomes": container_results,
     "table_statements": render_tables,
     "table_statements_quoted": render_quoted_tables,
+    "container_statements": render_containers,
     "integration_statements": render_integrations,
     "metadata_roundtrip": metadata_roundtrip,
     "combinations_list": combinations_list,

@@ -43,6 +43,15 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def warehouse_root(spark: SparkSession) -> str:
+    """Where tables go by default: ``spark.sql.warehouse.dir``, which on a cluster must not be a local folder."""
+    root = spark.conf.get("spark.sql.warehouse.dir")
+    local = root.startswith("file:") or "://" not in root
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("name a location for tables, or set spark.sql.warehouse.dir, that every executor can reach")
+    return root.rstrip("/")
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A path below the staging root that no other run uses."""
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"

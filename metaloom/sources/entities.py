@@ -2,7 +2,8 @@
 
 Landed entity tables may hold copies of a row. They are folded to one row per name before
 any join, with map-side combining, so a much-copied entity neither fans out nor skews the
-join. Copies that disagree are marked, not picked from.
+join. Copies that disagree are marked, not picked from; they are told apart by 64-bit hashes,
+so that one copy of the facts is shuffled, not two.
 """
 
 from __future__ import annotations
@@ -13,9 +14,12 @@ from metaloom.functions.attributes import uuid_in
 
 
 def _one_per_name(entities: DataFrame, names: tuple[str, ...], values: tuple[str, ...], flag: str):
-    facts = F.struct(*values)
-    folded = entities.groupBy(*names).agg(F.min(facts).alias("low"), F.max(facts).alias("high"))
-    return folded.select(*names, "low.*", (F.col("low") != F.col("high")).alias(flag))
+    # a hash skips NULLs, so which values are NULL goes into it too
+    mark = F.xxhash64(*values, *(F.col(v).isNull() for v in values))
+    folded = entities.groupBy(*names).agg(
+        F.min(F.struct(*values)).alias("facts"), F.min(mark).alias("low"), F.max(mark).alias("high")
+    )
+    return folded.select(*names, "facts.*", (F.col("low") != F.col("high")).alias(flag))
 
 
 def catalog_entities(catalogs: DataFrame) -> DataFrame:

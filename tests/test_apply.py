@@ -66,3 +66,21 @@ def test_statements_of_one_file_are_spread(spark):
     one = statements(spark, 200).coalesce(1)
     assert run_statements(one, refusing, connections=6).rdd.getNumPartitions() == 6
     assert run_statements(one, refusing).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_secrets_are_filled_in_and_never_shown(spark):
+    rows = [(1, "CREATE x '${A}'"), (2, "CREATE x '${B}'"), (3, "bad '${A}'")]
+    todo = spark.createDataFrame(rows, "id long, statement string")
+
+    def connect():
+        def execute(sql):
+            if "$" in sql or "it''s" not in sql:
+                raise AssertionError("not filled")
+            if "bad" in sql:
+                raise ValueError(f"no: {sql}")
+
+        return execute
+
+    done = by(stage(run_statements(todo, connect, secrets=lambda: {"A": "it's"}), "test"), "id")
+    assert done[1]["error"] is None and done[2]["error"] == "no secret for B"
+    assert done[3]["error"] == "no: bad '${A}'"

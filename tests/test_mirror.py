@@ -100,6 +100,28 @@ def test_refresh_of_a_part(mirror, schema, table, expected):
     assert names(mirror.metadata.read()) == expected
 
 
+def test_rejects_follow_the_request(mirror):
+    assert mirror.refresh_uc_metadata("cat", "hr").count() == 0
+    rejected = mirror.refresh_uc_metadata("cat", ["typo", "typo", "sales"])
+    assert bag(rejected, "schema_name", "table_name", "reason") == [
+        ("sales", "broken", "table has no id"),
+        ("typo", None, "schema is not known"),
+    ]
+
+
+def test_replaced_folders_are_known(mirror):
+    mirror.refresh_uc_metadata("cat")
+    assert mirror.unused_folders() == []
+    before = list(mirror.metadata.folders().values())
+    mirror.refresh_uc_metadata("cat")
+    assert mirror.unused_folders() == before
+
+
+def test_hierarchy_of_a_schema(mirror):
+    nested = mirror.build_hierarchy_for_schema("cat", "hr")
+    assert names(flatten(nested)) == CAT[:1]
+
+
 def test_named_schemas_need_not_be_listed(spark, mirror):
     mirror.landed.schema_pages = mirror.landed.schema_pages.limit(0)
     mirror.refresh_uc_metadata("cat")
@@ -160,6 +182,9 @@ def test_tags_statements_and_sync(spark, mirror):
         return "conflict" if "conflict" in str(error) else "compile"
 
     outcomes = mirror.create_sf_catalog_integrations(connect, "me", error_kind=kind)
+    assert bag(outcomes, "result") == [("error",), ("error",)]  # the secret is not known
+    secrets = lambda: {"OAUTH_CLIENT_SECRET": "hidden-0"}
+    outcomes = mirror.create_sf_catalog_integrations(connect, "me", error_kind=kind, secrets=secrets)
     assert bag(outcomes, "result") == [("created",), ("skipped",)]
 
     outcomes = mirror.create_sf_iceberg_tables("Org-Acct", connect, connections=2, error_kind=kind)
