@@ -9,20 +9,23 @@ from metaloom.session import stage
 
 # Formats of what is detected.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-SECRET = r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))\s{0,3}[=:]\s{0,3}["']?[A-Za-z0-9_+/-]{8,}"""
+#: A keyword, also at the end of a longer name or in quotes, and what assigns.
+ASSIGNED = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:\\?["'])?\s{0,3}[=:]"""
+SECRET = ASSIGNED + r"""\s{0,3}(?:\\?["'])?(?=[_+/-]*[A-Za-z0-9])[A-Za-z0-9_+/-]{8,}"""
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"
 PHONE = (
-    r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ -]\(?\d{1,4}\)?){2,5}(?![\d.])"
-    r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])|(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
+    r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+(?!\d{16})\d(?:[ ./-]?\(?\d\)?){6,22}(?!\d)"
+    r"|\+\d{1,3}(?:[ -]\(?\d{1,4}\)?){2,5}(?![\d.])|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<![\d-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])|(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 )
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
 MALE_TITLES = r"Mr|Herr|Monsieur|Señor|Sr|г-н"
 FEMALE_TITLES = r"Mrs|Ms|Miss|Frau|Mme|Madame|Señora|Sra|г-жа"
 TITLES = rf"(?:{MALE_TITLES}|{FEMALE_TITLES}|Dr)\.? "
 NAME = rf"(?<!\p{{L}}){TITLES}\p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
-#: What tells that a text may hold any of these.
-CUE = rf"[0-9@]|(?<!\p{{L}}){TITLES}\p{{Lu}}|(?i:passw|pwd|secret|token|key)\s{{0,3}}[=:]"
+#: What tells that a text may hold any of these; each of them has one.
+CUE = rf"[0-9@]|(?<!\p{{L}}){TITLES}\p{{Lu}}|{ASSIGNED}|AKIA|ASIA"
 ENTITY = "|".join([EMAIL, SECRET, ACCESS_KEY, IPV4, NAME, CARD, PHONE])
 # Syllables of surrogate names, by script.
 LATIN = ("ba", "be", "da", "de", "fi", "ga", "ka", "la", "le", "ma", "mi", "na", "ne", "pe", "ra", "ri", "sa", "so", "ta", "vi")
