@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from metaloom.operators.joins import skew_safe_join
@@ -31,8 +33,8 @@ ENTITY = "|".join([EMAIL, SECRET, ACCESS_KEY, IPV4, NAME, CARD, PHONE])
 LATIN = ("ba", "be", "da", "de", "fi", "ga", "ka", "la", "le", "ma", "mi", "na", "ne", "pe", "ra", "ri", "sa", "so", "ta", "vi")
 CYRILLIC = ("ба", "бе", "ва", "ве", "га", "да", "де", "ка", "ла", "ле", "ма", "ми", "на", "не", "ра", "ри", "са", "со", "та", "ти")
 
-#: Times a surrogate is drawn anew until all are distinct.
-ROUNDS = 12
+#: Times a surrogate is drawn anew in its own length; later ones are longer by so many characters for each turn.
+ROUNDS, LONGER = 12, 8
 
 
 def _all_of(text: Column, pattern: str) -> Column:
@@ -57,7 +59,8 @@ def _luhn(digits: Column) -> Column:
 def _units(raw: Column) -> Column:
     """What is to be replaced in a match: pieces of one kind each, in canonical form. Empty if it is no entity.
 
-    Forms of one entity share its canonical piece: numbers their digits, addresses and names their lower case.
+    Forms of one entity share its canonical piece: numbers their digits, addresses and names their lower case. An
+    address has its domain as second piece, so that addresses of one domain stay together.
     """
 
     def one(kind: str, text: Column) -> Column:
@@ -66,10 +69,12 @@ def _units(raw: Column) -> Column:
     digits = _digits(raw)
     names = F.split(F.regexp_replace(raw, rf"^{TITLES}", ""), " ")
     kind = F.when(raw.rlike(rf"^(?:{FEMALE_TITLES})\.? "), "female").when(raw.rlike(rf"^(?:{MALE_TITLES})\.? "), "male")
+    address = F.lower(raw)
+    domain = F.struct(F.lit("domain").alias("kind"), F.substring_index(address, "@", -1).alias("canon"))
     surname = F.struct(F.lit("surname").alias("kind"), F.lower(F.element_at(names, -1)).alias("canon"))
     given = F.struct(F.coalesce(kind, F.lit("given")).alias("kind"), F.lower(F.element_at(names, 1)).alias("canon"))
     return (
-        F.when(raw.rlike(rf"^(?:{EMAIL})$"), one("email", F.lower(raw)))
+        F.when(raw.rlike(rf"^(?:{EMAIL})$"), F.concat(one("email", address), F.array(domain)))
         .when(raw.rlike(rf"^(?:{SECRET})$"), one("secret", F.regexp_extract(raw, r"([A-Za-z0-9_+/-]{8,})$", 1)))
         .when(raw.rlike(rf"^(?:{ACCESS_KEY})$"), one("key", raw))
         .when(raw.rlike(rf"^(?:{IPV4})$"), one("ip", raw))
@@ -106,32 +111,44 @@ def _like(text: Column, stream: Column, hexadecimal: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), other), "")
 
 
-def _drawn(key: Column, kind: Column, canon: Column, turn: Column) -> Column:
-    """A surrogate of the same kind, from the key, the piece and the turn."""
-    stream = _stream(key, kind, canon, turn)
+def _drawn(key: Column, kind: Column, canon: Column, turn: int) -> Column:
+    """A surrogate of the same kind, from the key, the piece and the turn.
+
+    One for an e-mail address has the old domain, as the domain is replaced by a surrogate of its own. From turn
+    ``ROUNDS`` on, surrogates are longer with each turn, and those of IPv4 addresses are private IPv6 addresses, so
+    that there are always more of them than pieces.
+    """
+    stream = _stream(key, kind, canon, F.lit(str(turn)))
+    blocks = max(0, turn - ROUNDS + 1) * LONGER // 64 + 1
+    more = F.concat(*(F.sha2(F.concat_ws("\x1f", key, kind, canon, F.lit(f"{turn} {i}")), 256) for i in range(blocks)))
+    free = F.substr(more, F.lit(1), F.lit(max(0, turn - ROUNDS + 1) * LONGER))
+    free_digits = F.translate(free, "abcdef", "012345")
     hexadecimal = canon.rlike("^[0-9a-f]+$") | canon.rlike("^[0-9A-F]+$")
     like = _like(canon, stream, hexadecimal)
 
-    # the domain depends on itself alone, so that addresses of one domain stay together
-    domain = F.substring_index(canon, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    host = F.substr(domain, F.lit(1), F.length(domain) - F.length(top))
-    domain_like = F.concat(_like(host, _stream(key, F.lit("domain"), domain, F.lit("0")), F.lit(False)), top)
+    top = F.substring_index(canon, ".", -1)
+    host = F.substr(canon, F.lit(1), F.length(canon) - F.length(top))
+    domain = F.concat(free, _like(host, stream, F.lit(False)), top)
     local = F.substring_index(canon, "@", 1)
-    email = F.concat(_like(local, stream, F.lit(False)), F.lit("@"), domain_like)
-
-    octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(stream, i) % 254 + 1).cast("string"))
-    card = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(like, F.lit(2), F.length(canon) - 2))
+    email = F.concat(_like(local, stream, F.lit(False)), free, F.lit("@"), F.substring_index(canon, "@", -1))
+
+    if turn < ROUNDS:
+        octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(stream, i) % 254 + 1).cast("string"))
+        ip = F.array_join(octets, ".")
+    else:
+        parts = F.concat(F.lit("fd"), F.substr(more, F.lit(1), F.lit(30)))
+        ip = F.concat_ws(":", *(F.substr(parts, F.lit(i), F.lit(4)) for i in range(1, 32, 4)))
+    card = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(like, F.lit(2), F.length(canon) - 2), free_digits)
     card = F.concat(card, ((10 - _luhn(F.concat(card, F.lit("0")))) % 10).cast("string"))
 
     code = F.regexp_extract(canon, r"^(\+(?:1|[2-9]\d)?)?", 0)
     start = F.length(code)
     lead = (_byte(stream, start) % 8 + 2).cast("string")
-    phone = F.concat(code, lead, F.substr(like, start + 2, F.length(canon)))
+    phone = F.concat(code, lead, F.substr(like, start + 2, F.length(canon)), free_digits)
 
     cyrillic = canon.rlike(r"\p{IsCyrillic}")
     pick = F.transform(
-        F.sequence(F.lit(0), F.lit(2) + F.floor(turn.cast("int") / 2).cast("int")),
+        F.sequence(F.lit(0), F.lit(2) + F.lit(turn // 2)),
         lambda i: F.when(
             cyrillic, F.element_at(F.array(*(F.lit(s) for s in CYRILLIC)), _byte(stream, i) % len(CYRILLIC) + 1)
         ).otherwise(F.element_at(F.array(*(F.lit(s) for s in LATIN)), _byte(stream, i) % len(LATIN) + 1)),
@@ -145,24 +162,26 @@ def _drawn(key: Column, kind: Column, canon: Column, turn: Column) -> Column:
     name = F.concat(F.array_join(pick, ""), ending)
     return (
         F.when(kind == "email", email)
-        .when(kind == "ip", F.array_join(octets, "."))
+        .when(kind == "domain", domain)
+        .when(kind == "ip", ip)
         .when(kind == "card", card)
         .when(kind == "phone", phone)
-        .when(kind == "key", F.concat(F.substr(canon, F.lit(1), F.lit(4)), F.substr(like, F.lit(5), F.lit(16))))
+        .when(kind == "key", F.concat(F.substr(canon, F.lit(1), F.lit(4)), F.substr(like, F.lit(5), F.lit(16)), F.upper(free)))
         .when(kind.isin("female", "male", "given", "surname"), name)
-        .otherwise(like)
+        .otherwise(F.concat(like, free))
     )
 
 
 def surrogates(pieces: DataFrame, key: str) -> DataFrame:
     """``kind, canon, surrogate`` for distinct pieces: distinct within a kind, and never a piece of the input.
 
-    Pieces whose surrogate another one has, or that hit a piece, draw again; the least piece keeps a shared one.
+    Pieces whose surrogate another one has, or that hit a piece, draw again; the least piece keeps a shared one. After
+    ``ROUNDS`` draws, the open ones draw from longer surrogates, which do not run out.
     """
     pieces = stage(pieces.select("kind", "canon").distinct(), "pieces")
     open_pieces, done = pieces, None
-    for turn in range(ROUNDS):
-        drawn = open_pieces.withColumn("surrogate", _drawn(F.lit(key), F.col("kind"), F.col("canon"), F.lit(str(turn))))
+    for turn in count():
+        drawn = open_pieces.withColumn("surrogate", _drawn(F.lit(key), F.col("kind"), F.col("canon"), turn))
         drawn = stage(drawn, "drawn")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
         taken = pieces.select("kind", F.col("canon").alias("surrogate"))
@@ -174,7 +193,6 @@ def surrogates(pieces: DataFrame, key: str) -> DataFrame:
         if left.isEmpty():
             return done
         open_pieces, done = stage(left, "undrawn"), stage(done, "surrogates")
-    raise ValueError(f"no distinct surrogates after {ROUNDS} rounds")
 
 
 def _rendered(raw: Column, kinds: Column, new: Column) -> Column:
@@ -190,16 +208,18 @@ def _rendered(raw: Column, kinds: Column, new: Column) -> Column:
             ).alias("text"),
             (a["used"] + c.rlike(r"^\d$").cast("int")).alias("used"),
         ),
-        lambda a: a["text"],
+        # a longer surrogate has digits left
+        lambda a: F.concat(a["text"], F.substr(digits, a["used"] + 1, F.length(digits))),
     )
     title = F.regexp_extract(raw, rf"^{TITLES}", 0)
     rest = F.substr(raw, F.length(title) + 1, F.length(raw))
     names = F.array_join(F.transform(new, lambda n: F.initcap(n)), " ")
     names = F.concat(title, F.when((rest == F.upper(rest)), F.upper(names)).otherwise(names))
+    email = F.concat(F.substring_index(one, "@", 1), F.lit("@"), F.get(new, F.lit(1)))
     upper = (raw == F.upper(raw)) & (raw != F.lower(raw))
     value = F.regexp_extract(raw, r"([A-Za-z0-9_+/-]{8,})$", 1)
     return (
-        F.when(kind == "email", F.when(upper, F.upper(one)).otherwise(one))
+        F.when(kind == "email", F.when(upper, F.upper(email)).otherwise(email))
         .when(kind.isin("card", "phone"), laid)
         .when(kind == "secret", F.concat(F.substr(raw, F.lit(1), F.length(raw) - F.length(value)), one))
         .when(kind.isin("female", "male", "given", "surname"), names)
@@ -214,7 +234,8 @@ def replace_private(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     passwords and tokens, and names behind a title. A surrogate is drawn from ``key`` and the entity, so an entity
     has the same one everywhere, in every layout it is written in. It has the same kind and form: letters, digits and
     separators in the same places, the country code, the first digit and a valid sum of a card, the domain of
-    addresses that share one, the script and the title's gender of a name. Surrogates are checked over the whole
+    addresses that share one, the script and the title's gender of a name. Only where a form has too few surrogates for
+    all its entities are some of them longer, and some IPv4 addresses become private IPv6 ones. Surrogates are checked over the whole
     table: no two entities of a kind share one, and none is an entity of the input.
 
     Null texts stay null, and texts without entities stay as they are; repeated rows are treated alike. Columns are
@@ -232,7 +253,7 @@ def replace_private(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     raws = lists.select(F.explode("_found").alias("raw")).distinct()
     raws = stage(raws.withColumn("units", _units(F.col("raw"))).filter("size(units) > 0"), "entities")
     pieces = raws.select("raw", F.posexplode("units").alias("at", "unit")).select("raw", "at", "unit.*")
-    named = pieces.join(surrogates(pieces, key), ["kind", "canon"])
+    named = skew_safe_join(pieces, surrogates(pieces, key), ["kind", "canon"], "inner")
     whole = named.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "surrogate"))).alias("new"))
     made = whole.select("raw", _rendered(F.col("raw"), F.col("new.kind"), F.col("new.surrogate")).alias("made"))
 

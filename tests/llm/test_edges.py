@@ -180,6 +180,24 @@ def test_private_forms(spark):
             assert re.sub(r"\d", "0", r.text) == was
 
 
+def test_private_data_with_few_surrogates(spark):
+    """More entities than there are surrogates of their form, and blanks instead of secrets, do not end the job."""
+    blanks = ["1. Password: ________", "2. token: --------"]
+    phones = [f"+1 {i} {j}" for i in range(10) for j in range(10)]
+    mails = [f"{c}@a.com" for c in "abcdefghijklmnopqrstuvwxyz_"] + [f"_@{c}.com" for c in "bcdefghijklmnopqrstuvwxyz"]
+    secrets = [f"token: _______{i}" for i in range(10)]
+    texts = blanks + phones + mails + secrets
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r for r in replace_private(docs, "key").collect()}
+    assert [got[i].text for i in range(2)] == blanks and all(got[i].n_replaced == 1 for i in range(2, len(texts)))
+    made = [got[i].text for i in range(2, len(texts))]
+    plain = [re.sub(r"\D", "", t) if t.startswith("+") else t for t in made]
+    assert len(set(plain)) == len(plain) and not set(made) & set(texts)
+    at = 2 + len(phones)
+    assert len({got[i].text.split("@")[1] for i in range(at, at + 27)}) == 1
+    assert len({got[i].text.split("@")[1] for i in range(at + 27, at + 52)}) == 25
+
+
 def test_quality(spark, none):
     good = [(i, " ".join(WORDS[i : i + 60]) + ".", 1) for i in range(200)]
     bad = [(200 + i, " ".join(f"{w.upper()}%%%" for w in WORDS[i : i + 60]), 1) for i in range(80)]
