@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 from collections.abc import Iterator, Mapping
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -58,56 +58,120 @@ def _words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def aligned(wanted: list[str], words: list[str], after: int = 0) -> tuple[list[int], int, int, int]:
+    """The place in ``words`` that differs least from ``wanted`` and ends behind ``after``: the wanted words that are
+    missing, by number, how many others lie between those found, and where these start and end."""
+    places, at = np.array(words, object), np.arange(len(words) + 1) * 101
+    rows = [np.zeros(len(words) + 1, np.int64)]
+    for word in wanted:
+        row = rows[-1] + 100
+        row[1:] = np.where(places == word, np.minimum(row[1:], rows[-1][:-1]), row[1:])
+        rows.append(np.minimum.accumulate(row - at) + at)
+    first = min(after + 1, len(words))
+    i, j = len(wanted), first + int(rows[-1][first:].argmin())
+    missing, added, start, end = [], 0, j, None
+    while i:
+        if j and wanted[i - 1] == words[j - 1] and rows[i][j] == rows[i - 1][j - 1]:
+            i, j = i - 1, j - 1
+            start, end = j, end or j + 1
+        elif rows[i][j] == rows[i - 1][j] + 100:
+            i -= 1
+            missing.append(i)
+        else:
+            j, added = j - 1, added + 1
+    return missing[::-1], added, start, end or start
+
+
 class Scanner:
     """Compressors with each template as raw dictionary."""
 
     def __init__(self, templates: Mapping[str, str], level: int = 19):
         self.plain = zstandard.ZstdCompressor(level=level)
         self.words = {name: _words(text) for name, text in sorted(templates.items())}
+        self.longest = max(map(len, self.words.values()), default=0)
         self.given = {}
         for name, text in sorted(templates.items()):
             raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given[name] = zstandard.ZstdCompressor(level=level, dict_data=raw)
-        self.known: dict[bytes, tuple] = {}
+        self.known: dict[tuple[bytes, int], tuple] = {}
 
-    def best(self, block: bytes) -> tuple:
-        """The template that saves most, both sizes, and the words of it that are missing or added in the block.
+    def best(self, block: bytes, after: int = 0) -> tuple[tuple, int, int]:
+        """The template that saves most, both sizes, and the words of it that are missing or added in the block; and
+        where its words start and end. They end behind the word number ``after``.
 
         Templates are ranked by the bytes they save; of the three best the one with the fewest wording differences
         wins, so that a longer notice that holds a shorter one is told from it.
         """
-        if block in self.known:
-            return self.known[block]
+        if (block, after) in self.known:
+            return self.known[block, after]
         size = len(self.plain.compress(block))
         ranked = sorted((len(c.compress(block)), name) for name, c in self.given.items())[:3]
         words = _words(block.decode())
         found = []
         for conditional, name in ranked:
             wanted = self.words[name]
-            same = difflib.SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks()
-            kept = {i for m in same for i in range(m.a, m.a + m.size)}
-            missing = [w for i, w in enumerate(wanted) if i not in kept]
-            found.append((len(missing) / max(len(wanted), 1), len(words) - len(kept), conditional, name, missing))
-        share, added, conditional, name, missing = min(found)
+            missing, added, start, end = aligned(wanted, words, after)
+            share = len(missing) / max(len(wanted), 1)
+            found.append((share, len(words) - len(wanted) + len(missing), conditional, name, missing, added, start, end))
+        share, _, conditional, name, missing, added, start, end = min(found)
         sure = share <= MOST_MISSING and conditional < size
-        result = (name, size, conditional, size - conditional, len(missing), added, " ".join(missing), sure)
+        lacks = " ".join(self.words[name][i] for i in missing)
+        row = (name, size, conditional, size - conditional, len(missing), added, lacks, sure)
         if len(self.known) > 50_000:
             self.known.clear()
-        self.known[block] = result
-        return result
-
-
-def candidate_blocks(text: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """Lines with a cue, by number; long ones in overlapping blocks of words that have a cue."""
-    low = text.lower()
-    if not any(cue in low for cue in CUES):
-        return
-    for number, line in enumerate(text.split(b"\n")):
-        words = line.split()
-        for at, start in enumerate(range(0, max(len(words) - OVERLAP, 1), BLOCK_WORDS - OVERLAP)):
-            block = b" ".join(words[start : start + BLOCK_WORDS])
-            if any(cue in block.lower() for cue in CUES):
-                yield number, at, block
+        self.known[block, after] = row, start, end
+        return self.known[block, after]
+
+    def scan(self, text: bytes) -> Iterator[tuple]:
+        """For each cue line of a text, or block of a long one, the notice it is part of: its line, the number of the
+        block and what ``best`` tells. A notice over several lines is reported once, by the line it starts in."""
+        low = text.lower()
+        if not any(cue in low for cue in CUES):
+            return
+        raw = [(number, word) for number, line in enumerate(text.split(b"\n")) for word in line.split()]
+        # words as they are compared, without comment marks, and the raw word each is of
+        split = [_words(word.decode()) for _, word in raw]
+        firsts = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(int)
+        owners = np.repeat(np.arange(len(raw)), np.diff(firsts))
+        told: tuple[str, int, int] = "", 0, 0
+        for number, at, lo, hi in cue_blocks(raw):
+            if told[1] <= firsts[lo] and firsts[hi] <= told[2]:
+                continue
+            block = b" ".join(word for _, word in raw[lo:hi])
+            row, start, end = self.best(block)
+            start, end, line = firsts[lo] + start, firsts[lo] + end, number
+            left, right = max(firsts[lo] - 2 * self.longest, 0), min(firsts[hi] + 2 * self.longest, firsts[-1])
+            if right > left:
+                window = b" ".join(raw[i][1] for i in np.unique(owners[left:right]))
+                left = firsts[owners[left]]
+                wide, begin, stop = self.best(window, int(firsts[lo] - left))
+                begin, stop = left + begin, left + stop
+                longer = not row[-1] or stop - begin > end - start
+                if wide[-1] and longer and begin < firsts[hi] and stop > firsts[lo]:
+                    if (wide[0], begin, stop) != told:
+                        row, start, end, line = wide, begin, stop, raw[owners[begin]][0]
+                    else:
+                        rest = b" ".join(raw[i][1] for i in range(lo, hi) if firsts[i] < begin or firsts[i + 1] > stop)
+                        if not any(cue in rest.lower() for cue in CUES):
+                            continue
+            if row[-1]:
+                told = row[0], start, end
+            yield line, at, *row
+
+
+def cue_blocks(raw: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, int, int]]:
+    """Lines with a cue, long ones in overlapping blocks of words that have one: line, block, first and last word."""
+    lo = 0
+    while lo < len(raw):
+        number, hi = raw[lo][0], lo
+        while hi < len(raw) and raw[hi][0] == number:
+            hi += 1
+        for at, start in enumerate(range(lo, max(hi - OVERLAP, lo + 1), BLOCK_WORDS - OVERLAP)):
+            end = min(start + BLOCK_WORDS, hi)
+            block = b" ".join(word for _, word in raw[start:end]).lower()
+            if any(cue in block for cue in CUES):
+                yield number, at, start, end
+        lo = hi
 
 
 def scan_licenses(
@@ -115,10 +179,11 @@ def scan_licenses(
 ) -> DataFrame:
     """One row for each candidate block of each row of ``docs``, with the template that explains it best.
 
-    A block is a line that holds a cue word. It is compressed by zstandard alone and with each template as raw
+    A block is a line that holds a cue word, and the words around it, over lines and comment marks, by twice the
+    longest template. A notice over several lines is one row, with the line it starts in. A block is compressed by zstandard alone and with each template as raw
     dictionary; templates are ranked by the reduction of the size. The winner is compared word by word, in lower case
-    and in order: ``n_missing`` words of the template are not in the block, ``n_added`` of the block are not in the
-    template. It is ``confirmed`` if at most a fifth of its words are missing. Lines are numbered from 0.
+    and in order: ``n_missing`` words of the template are not in the block, ``n_added`` of the block lie between
+    those that are and are not in the template. It is ``confirmed`` if at most a fifth of its words are missing. Lines are numbered from 0.
 
     Null and empty texts, and texts without a cue, give no rows; null ids stay null; repeated rows and lines are
     reported each; very long lines are cut into blocks of 300 words that overlap by 100. Templates are held by every
@@ -132,9 +197,9 @@ def scan_licenses(
             for part in slices(batch, 1):
                 keys, texts = part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()
                 rows = [
-                    dict(zip(_FIELDS, (key, line, block, *scanner.best(piece)), strict=True))
+                    dict(zip(_FIELDS, (key, *row), strict=True))
                     for key, value in zip(keys, texts, strict=True)
-                    for line, block, piece in candidate_blocks(value or b"")
+                    for row in scanner.scan(value or b"")
                 ]
                 yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 

@@ -9,7 +9,7 @@ import pytest
 
 from metaloom.llm.decontamination import decontaminate
 from metaloom.llm.jaccard_join import near_duplicates
-from metaloom.llm.license_scan import scan_licenses
+from metaloom.llm.license_scan import TEMPLATES, Scanner, scan_licenses
 from metaloom.llm.lm_scoring import score_texts
 from metaloom.llm.nearest import hilbert_keys, nearest
 from metaloom.llm.packing import best_fit_decreasing, bin_bound, pack_documents
@@ -221,6 +221,20 @@ def test_licenses(spark, docs, none):
     assert scan_licenses(none).count() == 0 and scan_licenses(docs).count() == 0
 
 
+def test_wrapped_licenses():
+    """Notices wrapped over lines, with comment marks, are confirmed once, by the line they start in."""
+    scanner = Scanner(TEMPLATES)
+    for name in ("MIT", "Apache-2.0-header", "GPL-3.0-header", "BSD-3-Clause", "CC0-1.0", "proprietary", "MPL-2.0"):
+        for mark in ("", " * ", "# "):
+            words = TEMPLATES[name].split()
+            lines = [mark + " ".join(words[i : i + 7]) for i in range(0, len(words), 7)]
+            text = "\n".join(["int main", *lines, mark + "and code", "x = 1"])
+            sure = [r for r in scanner.scan(text.encode()) if r[-1]]
+            assert [(r[0], r[2], r[6]) for r in sure] == [(1, name, 0)], (name, mark, sure)
+    both = [r[2] for r in scanner.scan(b"Released under the MIT License.\nAll rights reserved.") if r[-1]]
+    assert both == ["MIT-notice", "all-rights-reserved"]
+
+
 def test_url_lists(spark):
     rows = "page_id long, url string, fetched_on date, verdict string"
     pages = spark.sql(
