@@ -13,6 +13,21 @@ from pyspark.sql import DataFrame, functions as F
 from metaloom.llm.blocks import slices
 
 # Wordings that licenses are noticed by.
+_GNU = "This work is licensed under the GNU {} License, version {}."
+_GNU_HEADER = (
+    "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} License as "
+    "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met"
+)
+_BSD_CONDITIONS = (
+    _BSD + ": 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list "
+    "of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -33,17 +48,55 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-    "provided that the following conditions are met",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "GPL-2.0-header": _GNU_HEADER.format("program", "General Public", "2"),
+    "LGPL-2.1": _GNU.format("Lesser General Public", "2.1"),
+    "LGPL-2.1-header": _GNU_HEADER.format("library", "Lesser General Public", "2.1"),
+    "LGPL-3.0-header": _GNU_HEADER.format("library", "Lesser General Public", "3"),
+    "AGPL-3.0": _GNU.format("Affero General Public", "3"),
+    "AGPL-3.0-header": _GNU_HEADER.format("program", "Affero General Public", "3"),
+    # how both begin
+    "BSD-2-Clause OR BSD-3-Clause": _BSD,
+    "BSD-2-Clause": _BSD_CONDITIONS + "This software is provided by the copyright holders and contributors",
+    "BSD-3-Clause": _BSD_CONDITIONS + "3. Neither the name of",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "all-rights-reserved": "All rights reserved.",
     "proprietary": "No part of this publication may be reproduced without the prior written permission of the publisher.",
 }
+#: Words that tell a license from others, by the template's name without "-header"; without all of them none is confirmed.
+REQUIRED = {
+    "MIT-notice": "mit",
+    "MIT": "deal sublicense",
+    "Apache-2.0": "apache 2.0",
+    "GPL-2.0": "gnu general public 2",
+    "GPL-3.0": "gnu general public 3",
+    "LGPL-2.1": "gnu lesser general public 2.1",
+    "LGPL-3.0": "gnu lesser general public 3",
+    "AGPL-3.0": "gnu affero general public 3",
+    "CC-BY-4.0": "cc by 4.0",
+    "CC-BY-SA-4.0": "cc by-sa 4.0",
+    "CC-BY-NC-4.0": "cc by-nc 4.0",
+    "CC-BY-ND-4.0": "cc by-nd 4.0",
+    "CC-BY-NC-SA-4.0": "cc by-nc-sa 4.0",
+    "CC-BY-NC-ND-4.0": "cc by-nc-nd 4.0",
+    "CC0-1.0": "waived copyright",
+    "BSD-2-Clause": "contributors",
+    "BSD-2-Clause OR BSD-3-Clause": "source binary forms",
+    "BSD-3-Clause": "neither name",
+    "ISC": "fee provided",
+    "MPL-2.0": "mozilla 2.0",
+    "proprietary": "no without",
+}
 #: A line with none of these, in lower case, is no candidate.
 CUES = (b"licen", b"copyright", b"permission", b"redistribut", b"public domain", b"all rights", b"free software")
 #: Words of a candidate block; longer lines are cut into overlapping blocks.
 BLOCK_WORDS, OVERLAP = 300, 100
-#: A winner is confirmed if it lacks at most this share of the template's words, in order.
+#: A winner is confirmed if it lacks at most this share of the template's words, in order, none of them required, and
+#: has no other words between them.
 MOST_MISSING = 0.2
 
 SCHEMA = (
@@ -55,7 +108,7 @@ _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
 def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(text.lower().replace("https://", "http://"))
 
 
 def aligned(wanted: list[str], words: list[str], after: int = 0) -> tuple[list[int], int, int, int]:
@@ -88,6 +141,7 @@ class Scanner:
     def __init__(self, templates: Mapping[str, str], level: int = 19):
         self.plain = zstandard.ZstdCompressor(level=level)
         self.words = {name: _words(text) for name, text in sorted(templates.items())}
+        self.required = {n: set(REQUIRED.get(n, REQUIRED.get(n.removesuffix("-header"), "")).split()) for n in templates}
         self.longest = max(map(len, self.words.values()), default=0)
         self.given = {}
         for name, text in sorted(templates.items()):
@@ -112,11 +166,13 @@ class Scanner:
             wanted = self.words[name]
             missing, added, start, end = aligned(wanted, words, after)
             share = len(missing) / max(len(wanted), 1)
-            found.append((share, len(words) - len(wanted) + len(missing), conditional, name, missing, added, start, end))
-        share, _, conditional, name, missing, added, start, end = min(found)
-        sure = share <= MOST_MISSING and conditional < size
+            bare = self.required[name].intersection(wanted[i] for i in missing)
+            sure = share <= MOST_MISSING and conditional < size and not added and not bare
+            outside = len(words) - len(wanted) + len(missing)
+            found.append((not sure, share, outside, conditional, name, missing, added, start, end))
+        unsure, _, _, conditional, name, missing, added, start, end = min(found)
         lacks = " ".join(self.words[name][i] for i in missing)
-        row = (name, size, conditional, size - conditional, len(missing), added, lacks, sure)
+        row = (name, size, conditional, size - conditional, len(missing), added, lacks, not unsure)
         if len(self.known) > 50_000:
             self.known.clear()
         self.known[block, after] = row, start, end
@@ -183,7 +239,8 @@ def scan_licenses(
     longest template. A notice over several lines is one row, with the line it starts in. A block is compressed by zstandard alone and with each template as raw
     dictionary; templates are ranked by the reduction of the size. The winner is compared word by word, in lower case
     and in order: ``n_missing`` words of the template are not in the block, ``n_added`` of the block lie between
-    those that are and are not in the template. It is ``confirmed`` if at most a fifth of its words are missing. Lines are numbered from 0.
+    those that are and are not in the template. It is ``confirmed`` if at most a fifth of its words are
+    missing, none of ``REQUIRED`` among them, and none added. Lines are numbered from 0.
 
     Null and empty texts, and texts without a cue, give no rows; null ids stay null; repeated rows and lines are
     reported each; very long lines are cut into blocks of 300 words that overlap by 100. Templates are held by every

@@ -235,6 +235,23 @@ def test_wrapped_licenses():
     assert both == ["MIT-notice", "all-rights-reserved"]
 
 
+def test_other_licenses():
+    """A notice of another license, version or variant is not confirmed as one that is alike."""
+    scanner = Scanner(TEMPLATES)
+    want = {
+        "Released under the BSD License.": [],
+        "Released under the GPL License.": [],
+        "Licensed under CC BY-ND 4.0.": ["CC-BY-ND-4.0"],
+        "This work is licensed under the GNU General Public License, version 1.": [],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0"],
+        "Licensed under the Apache License, Version 1.1.": [],
+        **{text: [name] for name, text in TEMPLATES.items()},
+        TEMPLATES["BSD-3-Clause"] + " the copyright holder nor the names of its contributors may be used": ["BSD-3-Clause"],
+    }
+    got = {text: [r[2] for r in scanner.scan(text.encode()) if r[-1]] for text in want}
+    assert {t: (got[t], want[t]) for t in want if got[t] != want[t]} == {}
+
+
 def test_url_lists(spark):
     rows = "page_id long, url string, fetched_on date, verdict string"
     pages = spark.sql(
