@@ -28,7 +28,7 @@ from metaloom.session import stage
 END = b"\n"
 #: Contexts seen 2^k to 2^(k+1) - 1 times share weights; unseen ones have bucket 0.
 CONTEXT_BUCKETS = 40
-#: Steps of a ratio of probabilities by which held-out tokens are gathered, for a doubling.
+#: Steps of a ratio of probabilities by which deleted tokens are gathered, for a doubling.
 STEPS = 4
 EM_ROUNDS = 100
 #: Text bytes of a block; a task holds some twenty numbers for each of its tokens.
@@ -85,7 +85,7 @@ def context_bucket(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.minimum(np.log2(np.maximum(counts, 1)).astype(int) + 1, CONTEXT_BUCKETS - 1), 0)
 
 
-def _estimates(tokens: tuple[np.ndarray, ...], total: int, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _estimates(tokens: tuple[np.ndarray, ...], total: int, kinds: int | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximum-likelihood probabilities of each token: uniform over all kinds and one unknown, unigram, bigram."""
     context, token, both = tokens
     uniform = np.full(len(token), 1 / (kinds + 1))
@@ -95,7 +95,7 @@ def _estimates(tokens: tuple[np.ndarray, ...], total: int, kinds: int) -> tuple[
 def learn_weights(gathered: list[tuple[int, int, int, int]], rounds: int = EM_ROUNDS) -> np.ndarray:
     """Mixture weights (uniform, unigram, bigram) of each context bucket by expectation-maximisation.
 
-    ``gathered`` has (bucket, unigram, bigram, n): ``n`` held-out tokens whose unigram and bigram estimates are
+    ``gathered`` has (bucket, unigram, bigram, n): ``n`` deleted tokens whose unigram and bigram estimates are
     2^(x / STEPS) times the uniform one. A bucket without tokens takes the weights of all tokens together.
     """
 
@@ -128,7 +128,7 @@ def score_texts(
     Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then one end. All rows that are not
     ``left_out`` by id are counted. ``score`` mixes the uniform, unigram and bigram maximum-likelihood estimates of
     each token with weights that depend on how often its context was counted and that expectation-maximisation
-    learned on the tokens left out; before the first word the context is the end. ``base_score`` sums
+    learned on the counted tokens, each with itself taken out of the counts; rows left out are scored only. Before the first word the context is the end. ``base_score`` sums
     ``log10((c + 0.1) / (N + 0.1 * (V + 1)))``. Returns ``doc_id, held_out, n_tokens, n_known`` (tokens counted in
     training), ``train_tokens`` (N) and both scores.
 
@@ -136,7 +136,7 @@ def score_texts(
     reaches the driver is bounded; counts, N, V and scores are exact but for collisions of 64-bit hashes.
 
     Null and empty texts have the end as only token. Rows with a null id are left out; rows that repeat an id or a
-    text count each time. Without training rows all tokens are unknown, without left-out rows the weights are
+    text count each time. Without training rows all tokens are unknown and the weights are
     equal. An empty table gives no rows; other columns are ignored; a very long text is a block of its own.
     """
     blocks = text_blocks(docs, lambda key: int(left_out(key)), BLOCK_BYTES, doc_id=doc_id, text=text)
@@ -167,17 +167,18 @@ def score_texts(
 
     def gather(block: Block, answer: bytes) -> Iterator[pa.RecordBatch]:
         known = _Tokens(block).known(answer)
-        uniform, unigram, bigram = _estimates(known, total, kinds)
+        # each token is taken out of the counts that estimate it
+        uniform, unigram, bigram = _estimates(tuple(x - 1 for x in known), total - 1, kinds - (known[1] == 1))
         with np.errstate(divide="ignore"):
             one, two = (np.round(STEPS * np.log2(x / uniform)) for x in (unigram, bigram))
-        classes = np.stack([context_bucket(known[0]), *(np.where(np.isinf(x), _NONE, x) for x in (one, two))], axis=1)
+        classes = np.stack([context_bucket(known[0] - 1), *(np.where(np.isinf(x), _NONE, x) for x in (one, two))], axis=1)
         rows, n = np.unique(classes.astype(np.int64), axis=0, return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [*(pa.array(rows[:, i].astype(np.int32)) for i in range(3)), pa.array(n.astype(np.int64))], schema=_GATHERED
         )
 
-    outside = with_answers(of_part(blocks, 1), of_part(replies, 1), gather, "bucket int, unigram int, bigram int, n long")
-    pooled = outside.groupBy("bucket", "unigram", "bigram").agg(F.sum("n").alias("n"))
+    deleted = with_answers(of_part(blocks, 0), of_part(replies, 0), gather, "bucket int, unigram int, bigram int, n long")
+    pooled = deleted.groupBy("bucket", "unigram", "bigram").agg(F.sum("n").alias("n"))
     weights = learn_weights([tuple(r) for r in pooled.collect()])
 
     def score(block: Block, answer: bytes) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import pytest
 from metaloom.llm.decontamination import decontaminate
 from metaloom.llm.jaccard_join import near_duplicates
 from metaloom.llm.license_scan import TEMPLATES, Scanner, scan_licenses
-from metaloom.llm.lm_scoring import score_texts
+from metaloom.llm.lm_scoring import STEPS, _NONE, context_bucket, learn_weights, score_texts
 from metaloom.llm.nearest import hilbert_keys, nearest
 from metaloom.llm.packing import best_fit_decreasing, bin_bound, pack_documents
 from metaloom.llm.pii import CUE, ENTITY, replace_private
@@ -97,6 +97,32 @@ def test_score_texts(docs, none):
     assert score_texts(none).count() == 0
 
 
+def test_scores_learn_nothing_from_rows_left_out(spark):
+    """Scores against brute force with leave-one-out counts; they are the same whatever rows are left out."""
+    texts = {i: " ".join(WORDS[(i * j * j) % 17] for j in range(30)) for i in range(20)}
+    outside = {100: texts[3], 101: "never seen " * 50}
+    made = [
+        {r.doc_id: r.score for r in score_texts(spark.createDataFrame(
+            [(i, t, 1) for i, t in rows.items()], SCHEMA), left_out=lambda key: key >= 100).collect()}
+        for rows in (texts, texts | outside)
+    ]
+    tokens = [(a, b) for t in texts.values() for w in [t.split() + ["end"]] for a, b in zip(["end"] + w, w)]
+    one, two, total = Counter(b for _, b in tokens), Counter(tokens), len(tokens)
+    rounded = Counter()
+    for a, b in tokens:
+        flat = len(one) - (one[b] == 1) + 1
+        ratios = (one[b] - 1) / (total - 1) * flat, (two[a, b] - 1) / (one[a] - 1) * flat if one[a] > 1 else 0
+        row = (int(context_bucket(np.array([one[a] - 1]))[0]), *(round(STEPS * np.log2(x)) if x else _NONE for x in ratios))
+        rounded[row] += 1
+    weights = learn_weights([(*row, n) for row, n in sorted(rounded.items())])
+    for i, text in texts.items():
+        words_of, score = text.split() + ["end"], 0
+        for a, b in zip(["end"] + words_of, words_of):
+            w = weights[context_bucket(np.array([one[a]]))[0]]
+            score += np.log10(w @ [1 / (len(one) + 1), one[b] / total, two[a, b] / one[a]])
+        assert made[0][i] == pytest.approx(score) and made[1][i] == pytest.approx(made[0][i], abs=1e-9)
+
+
 def test_decontaminate(spark, docs, none):
     items = [(1, " ".join(WORDS[205:225])), (2, "A b"), (3, None), (None, "only here"), (4, ""), (1, "a-b")]
     bench = spark.createDataFrame(items, "item_id long, text string")
