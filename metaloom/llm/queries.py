@@ -12,6 +12,7 @@ from metaloom.llm.conversation_repair import repair_conversations
 from metaloom.llm.decontamination import decontaminate
 from metaloom.llm.hard_negatives import hard_negatives
 from metaloom.llm.jaccard_join import near_duplicates
+from metaloom.llm.language_id import identify_languages
 from metaloom.llm.license_scan import scan_licenses
 from metaloom.llm.lm_scoring import score_texts
 from metaloom.llm.nearest import nearest
@@ -188,6 +189,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (
     op1_benchmark_decontamination,
     op2_url_filters,
@@ -201,6 +206,7 @@ OPERATORS = (
     op10_lm_scoring,
     op11_conversation_repair,
     op12_hard_negatives,
+    op13_language_id,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
 
