@@ -18,6 +18,27 @@ def fill(template: str, **columns: Column) -> Column:
     return F.concat(*parts)
 
 
+def fill_sql(template: str, **texts: str) -> str:
+    """``fill`` as SQL text: each ``{name}`` replaced by an SQL expression."""
+    parts = []
+    for text, name, _, _ in string.Formatter().parse(template):
+        if text:
+            parts.append(sql_literal(text))
+        if name:
+            parts.append(texts[name])
+    return f"concat({', '.join(parts)})"
+
+
+def sql_literal(value: str) -> str:
+    """Text as a literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def quoted(*names: str) -> str:
+    """A dotted name of Spark SQL."""
+    return ".".join("`" + n.replace("`", "``") + "`" for n in names)
+
+
 def literal_text(column: Column) -> Column:
     """Text for use between single quotes in a statement."""
     return F.replace(column, F.lit("'"), F.lit("''"))

@@ -6,7 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-_KEY_HASH = "_key_hash"
+
+def unused_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no frame has such a column, whatever its case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -18,8 +24,7 @@ def skew_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     hash of it asks for fresh exchanges on both sides; rows match exactly as before. Sides
     below the broadcast threshold are broadcast as usual and not exchanged at all.
     """
+    name = unused_name("_key_hash", left, right)
     key_hash = F.xxhash64(*(F.col(k) for k in keys))
-    joined = left.withColumn(_KEY_HASH, key_hash).join(
-        right.withColumn(_KEY_HASH, key_hash), [_KEY_HASH, *keys], how
-    )
-    return joined.drop(_KEY_HASH)
+    joined = left.withColumn(name, key_hash).join(right.withColumn(name, key_hash), [name, *keys], how)
+    return joined.drop(name)

@@ -76,6 +76,20 @@ def upsert_metadata(metadata: DataFrame, batch: DataFrame) -> DataFrame:
     return _merged(t.join(u, F.col(f"t.{_ID}") == F.col(f"u.{_ID}"), "full"))
 
 
+def changed_rows(metadata: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of a refresh batch that an upsert would add or change.
+
+    The whole batch is checked first, as ``upsert_metadata`` does. A row whose id is known with other source ids is a
+    hash collision; it stays, and the upsert refuses it. Only the compared columns of the metadata are read.
+    """
+    compared = (*schemas.SOURCE_IDS, *schemas.REFRESHED)
+    known = metadata.select(_ID, *compared).alias("t")
+    same = F.col(f"t.{_ID}") == F.col(f"u.{_ID}")
+    for name in compared:
+        same = same & F.col(f"t.{name}").eqNullSafe(F.col(f"u.{name}"))
+    return unique_batch(batch).alias("u").join(known, same, "left_anti").select(*schemas.METADATA.names)
+
+
 def upsert_small_batch(metadata: DataFrame, batch: DataFrame) -> DataFrame:
     """Same result as ``upsert_metadata``, in a form for small batches.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -26,14 +27,16 @@ def integration_targets(view: DataFrame) -> DataFrame:
     return view.filter(_all_present(*_INTEGRATION)).select(*_INTEGRATION).distinct()
 
 
-def eligible_tables(view: DataFrame, unique_records: bool = False) -> DataFrame:
+def eligible_tables(view: DataFrame, unique_records: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Distinct tables with a true sync flag, an integration and a complete target name.
 
+    ``keep`` names more columns of the view to carry along, such as those its table is dealt by.
+
     ``unique_records`` says that record ids do not repeat, as a merged metadata table
     guarantees. Rows are distinct then as they are, and the shuffle is saved.
     """
     ready = is_true(F.col(fv.SYNC_FLAG)) & _all_present(fv.INTEGRATION, fv.TABLE_NAME, *_TARGET)
-    tables = view.filter(ready).select(*_TABLE)
+    tables = view.filter(ready).select(*_TABLE, *keep)
     return tables if unique_records else tables.distinct()
 
 

@@ -7,6 +7,7 @@ runs on executors (see ``operators.apply``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from metaloom import fixed_values as fv, schemas
 from metaloom.functions.outcomes import table_status
+from metaloom.functions.text import quoted
 from metaloom.operators import inventory as inv
-from metaloom.operators.apply import Execute, run_statements
+from metaloom.operators.apply import STATEMENT_ID, Execute, read_ledger, run_durably
 from metaloom.operators.hierarchy import nest
 from metaloom.operators.keys import keyed
-from metaloom.operators.merge import update_status, upsert_metadata
+from metaloom.operators.merge import changed_rows, latest_status, update_status, upsert_metadata
 from metaloom.operators.outcomes import container_outcomes, integration_outcomes, table_outcomes
 from metaloom.operators.statements import (
     database_statements,
@@ -33,7 +35,7 @@ from metaloom.operators.targets import (
     target_databases,
     target_schemas,
 )
-from metaloom.operators.view import enriched_view, register_view
+from metaloom.operators.view import create_view, enriched_view
 from metaloom.plans.partitions import PartitionedTable
 from metaloom.session import stage, warehouse_root
 from metaloom.sources import listings
@@ -91,6 +93,7 @@ class CatalogMirror:
             fv.CATALOG_ID,
             location,
             "Metadata of mirrored tables. Maintained by a job, not by hand.",
+            sub_by=fv.SCHEMA_ID,
         )
         self.tags = PartitionedTable(
             *place,
@@ -99,18 +102,24 @@ class CatalogMirror:
             "catalog_name",
             location,
             "Tags of source tables, one row per table and tag.",
+            sub_by="schema_name",
         )
+        self.view_name = quoted(metadata_catalog, metadata_schema, metadata_table + fv.VIEW_SUFFIX)
 
     # Tables
 
     def create_metadata_tables(self) -> None:
-        """Create the metadata and tag tables unless they exist, and the view."""
+        """Create the metadata and tag tables unless they exist, and store the view, whose definition is replaced.
+
+        A change that was stopped while it was put in place is finished.
+        """
         self.metadata.create()
         self.tags.create()
-        register_view(self.view(), self.metadata.table + fv.VIEW_SUFFIX)
+        comment = "Metadata of mirrored tables with their tags and links."
+        create_view(self.spark, self.view_name, self.metadata.name, self.tags.name, comment)
 
     def view(self) -> DataFrame:
-        """The enriched view of the current metadata and tags."""
+        """The enriched view of the current metadata and tags, as the stored view shows it by name."""
         return enriched_view(self.metadata.read(), self.tags.read())
 
     # Refresh
@@ -138,14 +147,17 @@ class CatalogMirror:
 
         ``schema`` is a name or several. Rejects are unreadable pages of wanted schemas, tables that
         lack an id, a location or a type, and named schemas that no entity is known of. They are
-        not merged and do not stop the others.
+        not merged and do not stop the others. Only rows that differ from what is stored are merged, so a refresh
+        without changes writes nothing.
         """
         self.create_metadata_tables()
         landed, _, facts = self._facts(catalog, schema, table)
         facts = stage(facts, "refresh")
         rejects = stage(inv.rejects(facts).unionByName(self._unread(landed, catalog, schema)), "rejects")
         batch = keyed(inv.inventory(facts))
-        self.metadata.rewrite(batch, lambda known: upsert_metadata(known, batch))
+        known = self.metadata.part_of(self.metadata.touched(batch))
+        changed = stage(changed_rows(known, batch), "changed")
+        self.metadata.rewrite(changed, lambda known: upsert_metadata(known, changed))
         return rejects
 
     def _unread(self, landed: LandedCatalog, catalog: str, schema: str | Sequence[str] | None) -> DataFrame:
@@ -216,13 +228,31 @@ class CatalogMirror:
         statements = self.generate_create_sf_catalog_integrations_sql(
             oauth_client_id, refresh_interval_seconds, access_delegation_mode
         )
-        outcomes = stage(run_statements(statements, connect, **run), "integrations")
+        outcomes = self._durable("integrations", statements, connect, **run)
+        self._close("integrations")
         return integration_outcomes(outcomes)
 
+    # Runs
+
+    def _ledger(self, kind: str) -> str:
+        """The folder of the outcomes of a run, noted with the table until the run is over."""
+        key = f"metaloom.run.{kind}"
+        folder = self.metadata.properties().get(key)
+        if folder is None:
+            folder = f"{self.metadata.location}/{self.metadata.table}-{kind}-{uuid.uuid4().hex}"
+            self.metadata.set_property(key, folder)
+        return folder
+
+    def _durable(self, kind: str, statements: DataFrame, connect: Callable[[], Execute], **run: object) -> DataFrame:
+        return run_durably(statements, connect, f"{self._ledger(kind)}/{kind}", **run)
+
+    def _close(self, kind: str) -> None:
+        self.metadata.set_property(f"metaloom.run.{kind}", None)
+
     # Tables in the warehouse
 
-    def _eligible(self) -> DataFrame:
-        return eligible_tables(self.view(), unique_records=True)
+    def _eligible(self, keep: Sequence[str] = ()) -> DataFrame:
+        return eligible_tables(self.view(), unique_records=True, keep=keep)
 
     def generate_create_sf_iceberg_tables_sql(self, auto_refresh: bool = True) -> DataFrame:
         """Table statements: ``<record id>, object_name, statement``."""
@@ -239,26 +269,44 @@ class CatalogMirror:
     ) -> DataFrame:
         """Create missing databases and schemas, then tables, and record each table's status.
 
-        Returns the outcomes of all statements with a ``result``. Outcomes are written as they
-        come in; only the merge of the statuses waits for the last of them.
+        Returns the outcomes of all statements with a ``result``. Outcomes are kept as tasks end (see
+        ``operators.apply.run_durably``). If a run fails, the next call goes on with it: statements that were
+        finished in that account are not run again, and their statuses are recorded with the others.
+        ``record_outcomes`` records them without running any.
         """
-        tables = stage(self._eligible(), "eligible")
-        outcomes = []
+        account = F.lit(sf_account_id).alias(fv.ACCOUNT)
+        tables = stage(self._eligible(_DEALT_BY), "eligible")
+        containers = []
         if create_database:
-            outcomes.append(database_statements(target_databases(tables)))
+            containers.append(("databases", database_statements(target_databases(tables))))
         if create_schema:
-            outcomes.append(schema_statements(target_schemas(tables)))
-        containers = [
-            container_outcomes(stage(run_statements(s, connect, **run), "containers"))
-            for s in outcomes
+            containers.append(("schemas", schema_statements(target_schemas(tables))))
+        created_containers = [
+            container_outcomes(self._run_part(part, s.select("*", account), connect, **run)) for part, s in containers
         ]
-        created = stage(
-            run_statements(table_statements(tables, auto_refresh), connect, **run), "tables"
-        )
-        status = table_outcomes(created, sf_account_id, F.current_timestamp())
-        synced = self.metadata.read().join(created.select(fv.RECORD_ID), fv.RECORD_ID, "left_semi")
-        self.metadata.rewrite(synced, lambda known: update_status(known, status))
-        result = created.withColumn("result", table_status(F.col("error")))
-        for more in containers:
+        statements = table_statements(tables, auto_refresh, keep=_DEALT_BY).select("*", account)
+        created = stage(self._run_part("tables", statements, connect, **run), "tables")
+        self.record_outcomes()
+        self._close("tables")
+        result = created.drop(*_DEALT_BY).withColumn("result", table_status(F.col("error")))
+        for more in created_containers:
             result = result.unionByName(more, allowMissingColumns=True)
-        return result
+        return result.drop(fv.ACCOUNT)
+
+    def _run_part(self, part: str, statements: DataFrame, connect: Callable[[], Execute], **run: object) -> DataFrame:
+        return run_durably(statements, connect, f"{self._ledger('tables')}/{part}", **run)
+
+    def record_outcomes(self) -> int:
+        """Record the statuses of what an unfinished run of ``create_sf_iceberg_tables`` has finished; how many."""
+        statements = table_statements(self._eligible(_DEALT_BY), keep=_DEALT_BY)
+        ledger = f"{self._ledger('tables')}/tables"
+        finished = read_ledger(statements.withColumn(fv.ACCOUNT, F.lit("")), ledger)
+        finished = stage(finished.drop(STATEMENT_ID), "finished")
+        outcomes = table_outcomes(finished, F.col(fv.ACCOUNT), F.current_timestamp(), keep=("applied_at",))
+        status = latest_status(outcomes, ("applied_at",))
+        self.metadata.rewrite(finished.select(*_DEALT_BY), lambda known: update_status(known, status))
+        return finished.select(fv.RECORD_ID).distinct().count()
+
+
+#: Columns that tell where a record is stored; outcomes carry them, so that a status finds its partition.
+_DEALT_BY = (fv.CATALOG_ID, fv.SCHEMA_ID)
