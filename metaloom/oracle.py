@@ -17,7 +17,7 @@ DB, SC, TB, FLAG, VOL = (
 )
 
 INVENTORY = f"""
-inventory AS (
+inventory AS MATERIALIZED (
   SELECT CAST(n_nationkey AS VARCHAR) AS {fv.CATALOG_ID},
          CAST(c_custkey AS VARCHAR) AS {fv.SCHEMA_ID},
          CAST(o_orderkey AS VARCHAR) AS {fv.TABLE_ID},
@@ -52,7 +52,7 @@ all_schemas AS (
 )"""
 
 TAGS = f"""
-tags AS (
+tags AS MATERIALIZED (
   SELECT {fv.CATALOG_NAME} AS catalog_name, {fv.SCHEMA_NAME} AS schema_name,
          {fv.TABLE_NAME} AS table_name, d.tag_name,
          CASE d.tag_name WHEN '{DB}' THEN {fv.CATALOG_NAME} WHEN '{SC}' THEN {fv.SCHEMA_NAME}
@@ -158,7 +158,7 @@ eligible AS (
 targets AS (
   SELECT DISTINCT {fv.INTEGRATION}, {fv.CATALOG_NAME}, {fv.SCHEMA_NAME} FROM unsynced
 ),
-new_tags AS (
+new_tags AS MATERIALIZED (
   SELECT {fv.CATALOG_NAME} AS catalog_name, {fv.SCHEMA_NAME} AS schema_name,
          {fv.TABLE_NAME} AS table_name, d.tag_name,
          CASE d.tag_name WHEN '{DB}' THEN {fv.CATALOG_NAME} WHEN '{SC}' THEN {fv.SCHEMA_NAME}
@@ -205,6 +205,45 @@ SELECT coalesce(k.{fv.CATALOG_ID}, b.{fv.CATALOG_ID}) AS {fv.CATALOG_ID},
        {", ".join("k." + c for c in SYNC_COLUMNS.split(", "))}
 FROM known k FULL JOIN batch b USING ({fv.TABLE_ID})"""
 
+_SET_TAGS = """
+SELECT * FROM new_tags
+UNION ALL
+SELECT t.* FROM tags t ANTI JOIN new_tags n USING (catalog_name, schema_name, table_name, tag_name)"""
+
+_BROKEN = """
+WITH RECURSIVE numbered AS (
+  SELECT n_name AS catalog_name, c_custkey // 4 AS page FROM customer JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY 1, 2
+),
+chained AS (
+  SELECT *, lag(page) OVER w AS before, lead(page) OVER w AS after FROM numbered
+  WINDOW w AS (PARTITION BY catalog_name ORDER BY page)
+),
+pages AS MATERIALIZED (
+  SELECT catalog_name, CASE WHEN before IS NOT NULL THEN CAST(page AS VARCHAR) END AS token,
+         CAST(CASE WHEN page % 19 = 5 THEN coalesce(before, after) WHEN page % 29 = 11 THEN NULL ELSE after END AS VARCHAR) AS next
+  FROM chained WHERE page % 17 <> 3
+),
+leads AS (
+  SELECT catalog_name, token AS start, next FROM pages WHERE token IS NOT NULL AND next IS NOT NULL
+  UNION
+  SELECT l.catalog_name, l.start, p.next FROM leads l JOIN pages p ON p.catalog_name = l.catalog_name AND p.token = l.next
+  WHERE p.next IS NOT NULL
+)
+SELECT DISTINCT catalog_name, 'listing: page ' || next || ' is missing' AS reason FROM pages p
+WHERE next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pages q WHERE q.catalog_name = p.catalog_name AND q.token = p.next)
+UNION ALL
+SELECT DISTINCT catalog_name, 'listing: the first page is missing' FROM pages p
+WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.catalog_name = p.catalog_name AND q.token IS NULL)
+UNION ALL
+SELECT catalog_name, 'listing: no page leads to page ' || token FROM pages p
+WHERE token IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pages q WHERE q.catalog_name = p.catalog_name AND q.next = p.token)
+UNION ALL
+SELECT catalog_name, 'listing: several pages lead to page ' || next FROM pages WHERE next IS NOT NULL
+GROUP BY catalog_name, next HAVING count(*) > 1
+UNION ALL
+SELECT catalog_name, 'listing: page ' || start || ' leads back to itself' FROM leads WHERE start = next"""
+
 
 def _table_statement(name: str, refresh: str) -> str:
     return f"""{_UNSYNCED}
@@ -246,10 +285,9 @@ ORACLE: dict[str, str] = {
     "untagged_tables": f"""{_UNSYNCED}
 SELECT {fv.CATALOG_NAME}, {fv.SCHEMA_NAME}, {fv.TABLE_NAME} FROM untagged""",
     "default_tags": f"{_UNSYNCED} SELECT * FROM new_tags",
-    "tags_after_refresh": f"""{_UNSYNCED}
-SELECT * FROM new_tags
-UNION ALL
-SELECT t.* FROM tags t ANTI JOIN new_tags n USING (catalog_name, schema_name, table_name, tag_name)""",
+    "tags_after_refresh": f"{_UNSYNCED}{_SET_TAGS}",
+    "tags_of_untagged": f"""{_UNSYNCED}, after_set AS ({_SET_TAGS})
+SELECT * FROM after_set SEMI JOIN new_tags USING (catalog_name, schema_name, table_name)""",
     "integration_targets": f"{_UNSYNCED} SELECT * FROM targets",
     "eligible_tables": f"{_UNSYNCED} SELECT * FROM eligible",
     "target_databases": f"{_UNSYNCED} SELECT DISTINCT {DB} FROM eligible",
@@ -334,5 +372,18 @@ SELECT {fv.INTEGRATION} AS object_name,
        {" || chr(10) || ".join(_INTEGRATION_LINES)} AS statement
 FROM targets""",
     "metadata_roundtrip": _METADATA,
+    "stored_view": _VIEW,
+    "stored_upsert": _UPSERT,
+    "applied_statements": f"""
+SELECT object_name, 'Org-Acct' AS {fv.ACCOUNT},
+       CASE WHEN contains(statement, 'EXTERNAL_VOLUME') THEN 'compile' END AS error_kind,
+       CASE WHEN contains(statement, 'EXTERNAL_VOLUME') THEN 'failed' ELSE 'success' END AS {fv.SYNC_STATUS},
+       CASE WHEN contains(statement, 'EXTERNAL_VOLUME') THEN 'SQL compilation error: SQL compilation error: volume not found'
+            ELSE 'Table ''' || object_name || ''' created successfully.' END AS {fv.SYNC_MESSAGE}
+FROM ({_table_statement(f"{DB} || '.' || {SC} || '.' || {TB}", "TRUE")})""",
+    "batch_stamp": "SELECT count(*) AS n_outcomes, least(count(*), 1) AS n_stamps, count(*) > 0 AS is_now FROM lineitem",
+    "run_inputs": """
+SELECT l_orderkey, l_linenumber, ' CREATE DATABASE db_' || l_partkey AS statement FROM lineitem WHERE l_linenumber > 3""",
+    "broken_listings": _BROKEN,
     "combinations_list": f"{_UNSYNCED} SELECT * FROM targets",
 }

@@ -161,11 +161,17 @@ class CatalogMirror:
         return rejects
 
     def _unread(self, landed: LandedCatalog, catalog: str, schema: str | Sequence[str] | None) -> DataFrame:
-        """Unreadable pages that a refresh would have needed, and named schemas without an entity."""
+        """Unreadable pages that a refresh would have needed, breaks in the chains of pages that come with their
+        tokens, and named schemas without an entity."""
         pages = inv.wanted_schemas(landed.table_pages, schema)
         rejected = listings.rejected_table_pages(pages)
+        if listings.PAGE_TOKEN in pages.columns:
+            rejected = rejected.unionByName(listings.broken_table_listings(pages))
         if schema is None:
-            return rejected.unionByName(listings.rejected_schema_pages(landed.schema_pages))
+            rejected = rejected.unionByName(listings.rejected_schema_pages(landed.schema_pages))
+            if listings.PAGE_TOKEN in landed.schema_pages.columns:
+                rejected = rejected.unionByName(listings.broken_schema_listings(landed.schema_pages))
+            return rejected
         names = [schema] if isinstance(schema, str) else list(schema)
         asked = self.spark.createDataFrame([(catalog, n) for n in names], "catalog_name string, schema_name string")
         unknown = asked.join(landed.schemas, ["catalog_name", "schema_name"], "left_anti").distinct()

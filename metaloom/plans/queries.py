@@ -6,6 +6,7 @@ rows hold them show the natural key in their place; ``record_keys`` checks the h
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from metaloom import fixed_values as fv, schemas
 from metaloom.functions.attributes import uuid_in
 from metaloom.operators import inventory as inv
+from metaloom.operators.apply import Execute, run_durably
 from metaloom.operators.hierarchy import flatten, nest
 from metaloom.operators.keys import keyed
-from metaloom.operators.merge import update_status, upsert_metadata, upsert_small_batch, latest_status
+from metaloom.operators.joins import skew_safe_join
+from metaloom.operators.merge import changed_rows, latest_status, update_status, upsert_metadata, upsert_small_batch
 from metaloom.operators.outcomes import container_outcomes, integration_outcomes, table_outcomes
 from metaloom.operators.paging import list_pages
 from metaloom.operators.statements import (
     database_statements,
     integration_statements,
+    not_blank,
     schema_statements,
     table_statements,
 )
@@ -32,10 +36,11 @@ from metaloom.operators.targets import (
     target_schemas,
 )
 from metaloom.operators.view import enriched_view, register_view
+from metaloom.plans.mirror import CatalogMirror
 from metaloom.session import stage, staging_path
 from metaloom.sources import listings
 from metaloom.sources.tables import empty_metadata, read_metadata
-from metaloom.workload import LOG_ORDER, Workload, dashed
+from metaloom.workload import LOG_ORDER, Workload, chained_pages, dashed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,6 +323,88 @@ def combinations_list(w: Workload) -> DataFrame:
     return pages.select(F.inline("combinations"))
 
 
+def _mirror(w: Workload) -> CatalogMirror:
+    """A mirror with tables and a view of its own, in a new schema of the session catalog."""
+    schema = f"metaloom_{uuid.uuid4().hex}"
+    w.spark.sql(f"CREATE SCHEMA {schema}")
+    location = staging_path(w.spark, "mirror")
+    mirror = CatalogMirror(w.spark, ENDPOINT, w.landed(), "spark_catalog", schema, location=location)
+    mirror.create_metadata_tables()
+    return mirror
+
+
+def stored_view(w: Workload) -> DataFrame:
+    """The stored view, read by name, over stored tables."""
+    mirror = _mirror(w)
+    for table, rows in ((mirror.metadata, stage(w.metadata(), "metadata")), (mirror.tags, stage(w.tags(), "tags"))):
+        table.rewrite(rows, lambda known, rows=rows: known.unionByName(rows))
+    return _without_hashes(w.spark.sql(f"SELECT * FROM {mirror.view_name}"))
+
+
+def stored_upsert(w: Workload) -> DataFrame:
+    """A stored table after two refreshes, of which the second merges the rows that differ."""
+    known, batch = (stage(rows, "batch") for rows in _merge_inputs(w))
+    table = _mirror(w).metadata
+    table.rewrite(known, lambda empty: empty.unionByName(known))
+    changed = stage(changed_rows(table.part_of(table.touched(batch)), batch), "changed")
+    table.rewrite(changed, lambda stored: upsert_metadata(stored, changed))
+    return _without_hashes(table.read())
+
+
+def _no_volumes() -> Execute:
+    """A connection to a warehouse that knows no external volumes."""
+
+    def execute(sql: str) -> None:
+        if "EXTERNAL_VOLUME" in sql:
+            raise ValueError("SQL compilation error: volume not found")
+
+    return execute
+
+
+def applied_statements(w: Workload) -> DataFrame:
+    """Status rows of table statements, run with outcomes that outlive a failure."""
+    tables = eligible_tables(_natural_integration(_unsynced_view(w)), unique_records=True)
+    ledger = staging_path(w.spark, "ledger")
+    outcomes = run_durably(table_statements(tables), _no_volumes, ledger, per_task=10_000)
+    status = table_outcomes(outcomes, "Org-Acct", keep=("object_name", "error_kind"))
+    return status.drop(fv.RECORD_ID, fv.SYNC_DATE)
+
+
+def batch_stamp(w: Workload) -> DataFrame:
+    """The time that a batch of outcomes is recorded under: one, and now."""
+    status = table_outcomes(w.raw_outcomes(), F.col("account"), F.current_timestamp())
+    away = F.abs(F.unix_timestamp(fv.SYNC_DATE) - F.unix_timestamp(F.current_timestamp()))
+    return status.agg(
+        F.count("*").alias("n_outcomes"),
+        F.count_distinct(fv.SYNC_DATE).alias("n_stamps"),
+        F.coalesce(F.max(away) < 3600, F.lit(False)).alias("is_now"),
+    )
+
+
+def run_inputs(w: Workload) -> DataFrame:
+    """Statement rows that are run, of rows of which many are NULL, empty or white space."""
+    line = F.col("l_linenumber")
+    statement = (
+        F.when(line == 1, "")
+        .when(line == 2, " \t\n ")
+        .when(line == 3, F.lit(None))
+        .otherwise(F.concat(F.lit(" CREATE DATABASE db_"), F.col("l_partkey").cast("string")))
+    )
+    return not_blank(w.table("lineitem").select("l_orderkey", "l_linenumber", statement.alias("statement")))
+
+
+def broken_listings(w: Workload) -> DataFrame:
+    """What breaks chains of listing pages."""
+    return listings.broken_schema_listings(chained_pages(w)).select("catalog_name", "reason")
+
+
+def tags_of_untagged(w: Workload) -> DataFrame:
+    """All tags that untagged tables have after the default ones were set."""
+    new_tags = stage(default_tags(untagged_tables(_unsynced_view(w))), "tags")
+    touched = new_tags.select(*schemas.TAG_KEYS).distinct()
+    return skew_safe_join(set_default_tags(w.tags(), new_tags), touched, schemas.TAG_KEYS, "left_semi")
+
+
 QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "tag_pivot": tag_pivot,
     "enriched_view": enriched,
@@ -353,6 +440,13 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "integration_statements": render_integrations,
     "metadata_roundtrip": metadata_roundtrip,
     "combinations_list": combinations_list,
+    "stored_view": stored_view,
+    "stored_upsert": stored_upsert,
+    "applied_statements": applied_statements,
+    "batch_stamp": batch_stamp,
+    "run_inputs": run_inputs,
+    "broken_listings": broken_listings,
+    "tags_of_untagged": tags_of_untagged,
 }
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from metaloom import fixed_values as fv, schemas
 from metaloom.operators.keys import keyed
@@ -23,6 +23,7 @@ from metaloom.operators.merge import apply_status
 from metaloom.operators.outcomes import table_outcomes
 from metaloom.operators.paging import paged_lists
 from metaloom.plans.mirror import LandedCatalog
+from metaloom.sources.listings import PAGE_TOKEN
 
 #: Orders the outcome log within a table, without ties.
 LOG_ORDER = (fv.SYNC_DATE, "l_linenumber", "l_partkey", "l_suppkey")
@@ -269,6 +270,30 @@ class Workload:
         return LandedCatalog(schema_pages, table_pages, self.catalog_entities(), entities, tables)
 
 
+def chained_pages(w: Workload) -> DataFrame:
+    """Schema listings as chains of pages that come with their tokens, some of them broken.
+
+    Page n of a catalog holds its schemas with keys from 4n to 4n + 3 and names the catalog's next page. By number, some
+    pages are not landed, some are landed twice, some name their predecessor, some name none.
+    """
+    number = F.floor(F.col("c_custkey") / 4)
+    listed = w.table("customer").join(w.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    pages = listed.groupBy(F.col("n_name").alias("catalog_name"), number.alias("page")).agg(
+        F.collect_list(F.array("c_name")).alias("namespaces")
+    )
+    order = Window.partitionBy("catalog_name").orderBy("page")
+    before, after = F.lag("page").over(order), F.lead("page").over(order)
+    n = F.col("page")
+    following = F.when(n % 19 == 5, F.coalesce(before, after)).when(n % 29 == 11, F.lit(None)).otherwise(after)
+    pages = pages.withColumns({"before": before, "after": following}).filter(n % 17 != 3)
+    return pages.select(
+        "catalog_name",
+        F.when(F.col("before").isNotNull(), _text("page")).alias(PAGE_TOKEN),
+        F.to_json(F.struct("namespaces", _text("after").alias("next-page-token"))).alias("body"),
+        F.explode(F.array_repeat(F.lit(0), F.when(n % 7 == 0, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
 def dashed(md5: Column) -> Column:
     """32 hex digits with dashes after the 8th, 12th, 16th and 20th."""
     cuts: Sequence[tuple[int, int]] = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))

@@ -234,3 +234,66 @@ def test_tables_per_schema(spark):
     counts = inv.tables_per_schema(names, rows)
     assert bag(counts, fv.SCHEMA_NAME, "n_tables") == [("empty", 0), ("full", 2)]
     assert bag(counts.filter(F.col("n_tables") > 0), fv.SCHEMA_NAME) == [("full",)]
+
+
+TOKEN_PAGES = "catalog_name string, page_token string, body string"
+
+
+def chain(spark, *pages, catalog="cat"):
+    """Pages of (own token, next token)."""
+    rows = [(catalog, own, json.dumps({"namespaces": [[f"s{own}"]], "next-page-token": following})) for own, following in pages]
+    return spark.createDataFrame(rows, TOKEN_PAGES)
+
+
+def breaks(pages):
+    return [r.reason.removeprefix("listing: ") for r in listings.broken_schema_listings(pages).orderBy("reason").collect()]
+
+
+class TestChains:
+    @pytest.mark.parametrize(
+        "pages, want",
+        [
+            ([(None, None)], []),
+            ([(None, "b"), ("b", "c"), ("c", None)], []),
+            ([(None, "b"), (None, "b"), ("b", "")], []),
+            ([(None, "b"), ("c", None)], ["no page leads to page c", "page b is missing"]),
+            ([("b", None)], ["no page leads to page b", "the first page is missing"]),
+            ([(None, "b"), ("b", "b")], ["page b leads back to itself", "several pages lead to page b"]),
+            ([(None, None), ("b", "c"), ("c", "d"), ("d", "b")], [f"page {x} leads back to itself" for x in "bcd"]),
+            ([(None, "b"), (None, "c"), ("b", None), ("c", None)], ["the first page leads to several pages"]),
+            ([(None, "b"), ("b", "d"), ("c", "d"), ("d", None)], ["no page leads to page c", "several pages lead to page d"]),
+        ],
+    )
+    def test_what_breaks_them(self, spark, pages, want):
+        assert breaks(chain(spark, *pages)) == want
+
+    def test_long_chains_end_and_long_cycles_do_not(self, spark):
+        chained = [(str(i) if i else None, str(i + 1) if i < 99 else None) for i in range(100)]
+        cycle = [(f"c{i}", f"c{(i + 1) % 37}") for i in range(37)]
+        assert breaks(chain(spark, *chained)) == []
+        found = breaks(chain(spark, *chained, *cycle).union(chain(spark, *chained[:50], catalog="dog")))
+        assert sorted(found) == sorted([*(f"page c{i} leads back to itself" for i in range(37)), "page 50 is missing"])
+
+    def test_unreadable_pages_and_no_pages(self, spark):
+        odd = [("cat", None, None), ("cat", "b", "<html>"), ("dog", None, '{"namespaces":[],"next-page-token":"x"}')]
+        assert breaks(spark.createDataFrame(odd, TOKEN_PAGES)) == ["no page leads to page b", "page x is missing"]
+        assert breaks(spark.createDataFrame([], TOKEN_PAGES)) == []
+
+    def test_table_listings_are_chains_of_their_schema(self, spark):
+        rows = [("cat", "s", None, listing("a", token="2")), ("cat", "t", "2", listing("b"))]
+        rows = spark.createDataFrame(rows, "catalog_name string, schema_name string, page_token string, body string")
+        assert bag(listings.broken_table_listings(rows), "schema_name", "reason") == [
+            ("s", "listing: page 2 is missing"),
+            ("t", "listing: no page leads to page 2"),
+            ("t", "listing: the first page is missing"),
+        ]
+
+    def test_file_names_are_tokens(self, spark, tmp_path):
+        folder = tmp_path / "catalog_name=cat"
+        folder.mkdir()
+        (folder / "first.json").write_text('{"namespaces":[["a"]],"next-page-token":"p/2 x"}')
+        (folder / "p%2F2%20x.json").write_text('{"namespaces":[["b"]]}')
+        pages = listings.read_schema_pages(spark, str(tmp_path), tokens=True)
+        assert bag(pages, "catalog_name", listings.PAGE_TOKEN) == [("cat", None), ("cat", "p/2 x")]
+        assert breaks(pages) == [] and listings.list_schemas(pages).count() == 2
+        assert listings.PAGE_TOKEN not in listings.read_schema_pages(spark, str(tmp_path)).columns

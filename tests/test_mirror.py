@@ -220,3 +220,123 @@ def test_switched_off_tables_are_not_synced(spark, mirror):
 
     assert mirror.create_sf_iceberg_tables("Org-Acct", connect).count() == 0
     assert mirror.metadata.read().filter(F.col(fv.SYNC_STATUS).isNotNull()).count() == 0
+
+
+def files(mirror):
+    return sorted(r[0] for r in mirror.metadata.read().select("_metadata.file_path").distinct().collect())
+
+
+def test_an_equal_refresh_writes_nothing(spark, mirror):
+    mirror.refresh_uc_metadata("cat")
+    before = {p: f for p, f in mirror.metadata.folders().items()}
+    rejected = mirror.refresh_uc_metadata("cat")
+    assert mirror.metadata.folders() == before and mirror.unused_folders() == [] and rejected.count() == 2
+    renamed = F.when(F.col("table_name") == "people", "EXTERNAL").otherwise(F.col("table_type"))
+    mirror.landed.tables = mirror.landed.tables.withColumn("table_type", renamed)
+    mirror.refresh_uc_metadata("dog")
+    mirror.refresh_uc_metadata("cat")
+    assert bag(mirror.metadata.read(), fv.TABLE_NAME, fv.TABLE_TYPE) == [
+        ("items", "MANAGED"), ("orders", "MANAGED"), ("orders", "MANAGED"), ("people", "EXTERNAL"),
+    ]
+
+
+def test_views_of_two_mirrors(spark, mirror):
+    """Each has its own view by name, which other sessions read and which follows the tables."""
+    mark = f"other_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {mark}")
+    other = CatalogMirror(
+        spark, "https://w", landed(spark), "spark_catalog", mark,
+        metadata_table=mirror.metadata.table, tag_table=mirror.tags.table, location=staging_path(spark, "mirror"),
+    )
+    mirror.refresh_uc_metadata("cat")
+    other.refresh_uc_metadata("dog")
+    other.refresh_uc_metadata_tags()
+    session = spark.newSession()
+
+    def shown(schema):
+        return session.sql(f"SELECT * FROM spark_catalog.{schema}.{mirror.metadata.table}{fv.VIEW_SUFFIX}")
+
+    assert names(shown("default")) == CAT and names(shown(mark)) == [("dog", "sales", "orders")]
+    assert bag(shown(mark)) == bag(other.view()) and shown(mark).schema.names == schemas.VIEW.names
+    mirror.create_metadata_tables()
+    mirror.refresh_uc_metadata_tags()
+    assert bag(shown("default")) == bag(mirror.view())
+    assert bag(shown("default"), fv.TARGET_TABLE) == [("items",), ("orders",), ("people",)]
+
+
+def test_a_stale_view_is_replaced(spark, mirror):
+    spark.sql(f"CREATE VIEW {mirror.view_name} AS SELECT 1 AS a")
+    mirror.refresh_uc_metadata("dog")
+    assert spark.table(mirror.view_name).columns == schemas.VIEW.names
+
+
+def test_a_failed_run_is_gone_on_with(spark, mirror, tmp_path):
+    mirror.refresh_uc_metadata("cat")
+    mirror.refresh_uc_metadata_tags()
+    noted = str(tmp_path)
+
+    def connecting(broken):
+        def connect():
+            def execute(sql):
+                if "cat.sales.items" in sql and broken:
+                    raise SystemExit("cut off")
+                with open(f"{noted}/{uuid.uuid4().hex}", "w") as file:
+                    file.write(sql.split("\n")[0])
+
+            return execute
+
+        return connect
+
+    def runs():
+        return sorted(p.read_text() for p in tmp_path.iterdir())
+
+    with pytest.raises(RuntimeError, match="cut off"):
+        mirror.create_sf_iceberg_tables("Org-Acct", connecting(True), connections=1, per_task=1)
+    first = runs()
+    assert "CREATE DATABASE cat" in first and not any("items" in sql for sql in first)
+    done = mirror.record_outcomes()
+    synced = mirror.metadata.read().filter(F.col(fv.SYNC_STATUS).isNotNull())
+    assert synced.count() == done == sum("ICEBERG" in sql for sql in first)
+    outcomes = mirror.create_sf_iceberg_tables("Org-Acct", connecting(False), connections=1, per_task=1)
+    assert outcomes.filter("result = 'success'").count() == 3
+    assert outcomes.columns == [fv.RECORD_ID, "object_name", "error", "error_kind", "applied_at", "result"]
+    assert len(runs()) == len(set(runs())) == 6  # nothing ran twice
+    assert mirror.metadata.read().filter(f"{fv.SYNC_STATUS} = 'success'").count() == 3
+    mirror.create_sf_iceberg_tables("Org-Acct", connecting(False))
+    assert len(runs()) == 12  # a run of its own
+
+
+def test_statuses_find_their_partitions(spark, mirror, monkeypatch):
+    """Recording reads the partitions that the outcomes name, not the table."""
+    mirror.refresh_uc_metadata("cat")
+    mirror.refresh_uc_metadata("dog")
+    mirror.refresh_uc_metadata_tags()
+    off = F.when(F.col("catalog_name") == "cat", "false").otherwise(F.col("tag_value"))
+    off = F.when(F.col("tag_name") == fv.SYNC_FLAG, off).otherwise(F.col("tag_value"))
+    mirror.tags.rewrite(mirror.tags.read(), lambda known: known.withColumn("tag_value", off))
+    before, plans = mirror.metadata.folders(), []
+    part_of = type(mirror.metadata).part_of
+
+    def watched(self, places):
+        plans.append(part_of(self, places)._jdf.queryExecution().executedPlan().toString())
+        return part_of(self, places)
+
+    monkeypatch.setattr(type(mirror.metadata), "part_of", watched)
+    mirror.create_sf_iceberg_tables("Org-Acct", lambda: lambda sql: None)
+    assert len(plans) == 1 and "PartitionFilters: [" in plans[0] and "InMemoryFileIndex(1 paths)" in plans[0]
+    after = mirror.metadata.folders()
+    assert len(before) == 2 and len([p for p in after if after[p] != before[p]]) == 1
+
+
+def test_a_missing_page_is_a_reject(spark, mirror):
+    token = F.when(F.col("body").contains("items"), "p2")
+    following = F.when(F.col("body").contains("orders"), F.regexp_replace("body", "}$", ', "next-page-token": "p2"}'))
+    pages = mirror.landed.table_pages.withColumn("page_token", token)
+    pages = pages.withColumn("body", F.coalesce(F.when(F.col("catalog_name") == "cat", following), "body"))
+    pages = pages.filter("body NOT LIKE '%broken%'")
+    mirror.landed.table_pages = pages
+    expected = [("empty", "page is no listing: no json")]
+    assert bag(mirror.refresh_uc_metadata("cat"), "schema_name", "reason") == expected
+    mirror.landed.table_pages = pages.filter("page_token IS NULL")
+    assert bag(mirror.refresh_uc_metadata("cat"), "schema_name", "reason") == [*expected, ("sales", "listing: page p2 is missing")]
+    assert names(mirror.metadata.read()) == CAT
