@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from metaloom.operators.joins import skew_safe_join
 from metaloom.session import stage
 
-# Formats of what is detected.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# Formats of what is detected. What may repeat without bound is a class of characters, never a group:
+# Java matches a repeated group by recursion, and a long text would overflow the stack.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}"
 #: A keyword, also at the end of a longer name or in quotes, and what assigns.
 ASSIGNED = r"""(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:\\?["'])?\s{0,3}[=:]"""
 SECRET = ASSIGNED + r"""\s{0,3}(?:\\?["'])?(?=[_+/-]*[A-Za-z0-9])[A-Za-z0-9_+/-]{8,}"""
 ACCESS_KEY = r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"
-IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"
+IPV4 = r"(?<![\d.vV])(?<![Vv]ersion )(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"
 PHONE = (
     r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+(?!\d{16})\d(?:[ ./-]?\(?\d\)?){6,22}(?!\d)"
     r"|\+\d{1,3}(?:[ -]\(?\d{1,4}\)?){2,5}(?![\d.])|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
@@ -35,6 +36,8 @@ CYRILLIC = ("ба", "бе", "ва", "ве", "га", "да", "де", "ка", "л
 
 #: Times a surrogate is drawn anew in its own length; later ones are longer by so many characters for each turn.
 ROUNDS, LONGER = 12, 8
+#: Characters of a piece whose form its surrogate has. What is longer, as no name or address is, is replaced whole too.
+MOST_SHAPED = 4096
 
 
 def _all_of(text: Column, pattern: str) -> Column:
@@ -85,14 +88,20 @@ def _units(raw: Column) -> Column:
     )
 
 
-def _stream(key: Column, kind: Column, canon: Column, turn: Column) -> Column:
-    """Keyed bytes as hex digits, two for each character of the piece at least."""
-    blocks = F.sequence(F.lit(0), F.floor((F.length(canon) + 8) / 32).cast("int"))
-    return F.array_join(F.transform(blocks, lambda i: F.sha2(F.concat_ws("\x1f", key, kind, canon, turn, i), 256)), "")
+def _seed(key: str, kind: Column, canon: Column, turn: int) -> Column:
+    return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, F.lit(str(turn))), 256)
+
+
+def _stream(seed: Column, canon: Column) -> Column:
+    """Keyed bytes, one for each character of the piece at least, as blocks of 64 hex digits."""
+    shaped = F.least(F.length(canon), F.lit(MOST_SHAPED))
+    blocks = F.sequence(F.lit(0), F.floor((shaped + 8) / 32).cast("int"))
+    return F.transform(blocks, lambda i: F.sha2(F.concat_ws("\x1f", seed, i), 256))
 
 
 def _byte(stream: Column, i: Column) -> Column:
-    return F.conv(F.substr(stream, i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    block = F.get(stream, F.floor(i / 32).cast("int"))
+    return F.conv(F.substr(block, (i % 32).cast("int") * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _like(text: Column, stream: Column, hexadecimal: Column) -> Column:
@@ -108,27 +117,26 @@ def _like(text: Column, stream: Column, hexadecimal: Column) -> Column:
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.split(text, ""), other), "")
+    return F.array_join(F.transform(F.split(F.left(text, F.lit(MOST_SHAPED)), ""), other), "")
 
 
-def _drawn(key: Column, kind: Column, canon: Column, turn: int) -> Column:
-    """A surrogate of the same kind, from the key, the piece and the turn.
+def _drawn(seed: Column, stream: Column, hexadecimal: Column, kind: Column, canon: Column, turn: int) -> Column:
+    """A surrogate of the same kind, from a seed made of the key, the piece and the turn, and its stream.
 
     One for an e-mail address has the old domain, as the domain is replaced by a surrogate of its own. From turn
     ``ROUNDS`` on, surrogates are longer with each turn, and those of IPv4 addresses are private IPv6 addresses, so
     that there are always more of them than pieces.
     """
-    stream = _stream(key, kind, canon, F.lit(str(turn)))
     blocks = max(0, turn - ROUNDS + 1) * LONGER // 64 + 1
-    more = F.concat(*(F.sha2(F.concat_ws("\x1f", key, kind, canon, F.lit(f"{turn} {i}")), 256) for i in range(blocks)))
+    more = F.concat(*(F.sha2(F.concat_ws("\x1f", seed, F.lit(f"more {i}")), 256) for i in range(blocks)))
     free = F.substr(more, F.lit(1), F.lit(max(0, turn - ROUNDS + 1) * LONGER))
     free_digits = F.translate(free, "abcdef", "012345")
-    hexadecimal = canon.rlike("^[0-9a-f]+$") | canon.rlike("^[0-9A-F]+$")
     like = _like(canon, stream, hexadecimal)
 
     top = F.substring_index(canon, ".", -1)
     host = F.substr(canon, F.lit(1), F.length(canon) - F.length(top))
-    domain = F.concat(free, _like(host, stream, F.lit(False)), top)
+    dot = F.when(F.length(host) > MOST_SHAPED, ".").otherwise("")
+    domain = F.concat(free, _like(host, stream, F.lit(False)), dot, top)
     local = F.substring_index(canon, "@", 1)
     email = F.concat(_like(local, stream, F.lit(False)), free, F.lit("@"), F.substring_index(canon, "@", -1))
 
@@ -181,8 +189,12 @@ def surrogates(pieces: DataFrame, key: str) -> DataFrame:
     pieces = stage(pieces.select("kind", "canon").distinct(), "pieces")
     open_pieces, done = pieces, None
     for turn in count():
-        drawn = open_pieces.withColumn("surrogate", _drawn(F.lit(key), F.col("kind"), F.col("canon"), turn))
-        drawn = stage(drawn, "drawn")
+        drawn = open_pieces.withColumn("seed", _seed(key, F.col("kind"), F.col("canon"), turn))
+        drawn = drawn.withColumn("stream", _stream(F.col("seed"), F.col("canon")))
+        hexadecimal = F.col("canon").rlike("^[0-9a-f]+$") | F.col("canon").rlike("^[0-9A-F]+$")
+        drawn = drawn.withColumn("hexadecimal", hexadecimal)  # a column, as it would else be worked out for each character
+        one = _drawn(*(F.col(c) for c in ("seed", "stream", "hexadecimal", "kind", "canon")), turn)
+        drawn = stage(drawn.select("kind", "canon", one.alias("surrogate")), "drawn")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
         taken = pieces.select("kind", F.col("canon").alias("surrogate"))
         if done is not None:
@@ -238,35 +250,42 @@ def replace_private(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     all its entities are some of them longer, and some IPv4 addresses become private IPv6 ones. Surrogates are checked over the whole
     table: no two entities of a kind share one, and none is an entity of the input.
 
-    Null texts stay null, and texts without entities stay as they are; repeated rows are treated alike. Columns are
-    kept, and one named ``n_replaced`` is replaced. An empty table gives no rows. Only texts with entities are
-    moved, to meet the surrogates of their own list of entities; lists and entities that many rows share are split.
+    Null texts stay null, and texts without entities stay as they are; repeated rows are treated alike, and no length of
+    a text or an entity is too long. Columns are kept, whatever their names, but for one named ``n_replaced``, which is
+    replaced. An empty table gives no rows. Texts are searched once, and what is found in them is staged with what lies
+    between. Only texts with entities are moved, to meet the surrogates of their own list of entities; lists and
+    entities that many rows share are split.
     """
     rows = docs.drop("n_replaced")
-    value = F.col(text)
-    found = rows.withColumn("_found", F.when(value.rlike(CUE), _all_of(value, ENTITY)))
-    with_some = F.coalesce(F.size("_found"), F.lit(0)) > 0
-    plain = found.filter(~with_some).drop("_found").withColumn("n_replaced", F.lit(0))
-    found = found.filter(with_some)
-
-    lists = found.select("_found").distinct()
-    raws = lists.select(F.explode("_found").alias("raw")).distinct()
+    value = F.col("text")
+    others = [F.col(f"`{c}`") for c in rows.columns if c != text]
+    row = F.struct(*others) if others else F.struct(F.lit(0))
+    found = rows.select(row.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    found = found.withColumn("found", F.when(value.rlike(CUE), _all_of(value, ENTITY)))
+    found = found.withColumn("found", F.when(F.size("found") > 0, F.col("found")))
+    some = F.col("found").isNotNull()
+    gaps = F.when(some, F.split(value, ENTITY, -1)).alias("gaps")
+    own = F.when(some, F.md5(F.to_json("found"))).alias("list")  # stands for the list, which may be long, in keys
+    found = stage(found.select("row", F.when(~some, value).alias("text"), "found", gaps, own), "found")
+    plain = found.filter(~some).select("row", "text", F.lit(0).alias("n_replaced"))
+    found = found.filter(some)
+
+    lists = found.groupBy("list").agg(F.any_value("found").alias("found"))
+    raws = lists.select(F.explode("found").alias("raw")).distinct()
     raws = stage(raws.withColumn("units", _units(F.col("raw"))).filter("size(units) > 0"), "entities")
     pieces = raws.select("raw", F.posexplode("units").alias("at", "unit")).select("raw", "at", "unit.*")
     named = skew_safe_join(pieces, surrogates(pieces, key), ["kind", "canon"], "inner")
     whole = named.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "surrogate"))).alias("new"))
     made = whole.select("raw", _rendered(F.col("raw"), F.col("new.kind"), F.col("new.surrogate")).alias("made"))
 
-    entries = lists.select("_found", F.posexplode("_found").alias("at", "raw"))
+    entries = lists.select("list", F.posexplode("found").alias("at", "raw"))
     entries = skew_safe_join(entries, stage(made, "rendered"), ["raw"], "left")
-    replaced = entries.groupBy("_found").agg(
-        F.sort_array(F.collect_list(F.struct("at", F.coalesce("made", "raw").alias("made")))).alias("_new"),
+    replaced = entries.groupBy("list").agg(
+        F.sort_array(F.collect_list(F.struct("at", F.coalesce("made", "raw").alias("made")))).alias("new"),
         F.count("made").cast("int").alias("n_replaced"),
     )
-    both = skew_safe_join(found, replaced, ["_found"], "inner")
-    gaps = F.split(value, ENTITY, -1)
-    made_text = F.array_join(
-        F.transform(gaps, lambda gap, i: F.concat(gap, F.coalesce(F.get(F.col("_new.made"), i), F.lit("")))), ""
-    )
-    both = both.withColumn(text, made_text).drop("_found", "_new")
-    return both.select(*rows.columns, "n_replaced").unionByName(plain.select(*rows.columns, "n_replaced"))
+    both = skew_safe_join(found.select("row", "gaps", "list"), replaced, ["list"], "inner")
+    made_text = F.zip_with("gaps", "new.made", lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
+    both = both.select("row", F.array_join(made_text, "").alias("text"), "n_replaced").unionByName(plain)
+    kept = [F.col("text" if c == text else f"row.`{c}`").alias(c) for c in rows.columns]
+    return both.select(*kept, "n_replaced")
