@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from metaloom.operators.joins import skew_safe_join
@@ -15,15 +16,14 @@ from metaloom.session import stage
 
 #: Curves, each through another random projection with another shift, to so many dimensions and bits of each.
 CURVES, DIMENSIONS, BITS = 4, 6, 10
-#: Distinct vectors in a cell of a curve, on average.
-CELL_ROWS = 4096
-#: Vectors that projections are scaled and cells are bounded by, and queries that set the window, at most.
+#: Distinct vectors in a cell of a curve, and queries that meet it at once, at most or about.
+CELL_ROWS, QUERY_ROWS = 4096, 1024
+#: Vectors that projections are scaled by, and queries that set the window, at most.
 SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 100
-#: Recall the window is set for on the sampled queries.
-TARGET_RECALL = 0.95
+#: Recall the window is set for on the sampled queries: over all of them, and of each but the worst tenth.
+TARGET_RECALL, WORST_RECALL = 0.95, 0.8
 
-_CELLS = pa.list_(pa.int32())
-_FOUND = "vector binary, scores array<double>, ids array<array<long>>"
+_BYTES, _IDS, _FLAGS = pa.list_(pa.binary()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.bool_())
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -57,28 +57,24 @@ def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
 
 @dataclass
 class Curves:
-    """Projections, shifts and cell bounds; bounded by the sample, so it can go to every task."""
+    """Projections and shifts; bounded by the vectors' length, so it can go to every task."""
 
     centre: np.ndarray
     bases: list[np.ndarray]
     shifts: list[np.ndarray]
-    bounds: list[np.ndarray]
 
     @staticmethod
-    def fit(sample: np.ndarray, cells: int, seed: int) -> Curves:
+    def fit(sample: np.ndarray, seed: int, curves: int = CURVES) -> Curves:
         rng = np.random.default_rng(seed)
         centre = sample.mean(axis=0)
         bases, shifts = [], []
-        for _ in range(CURVES):
+        for _ in range(curves):
             dims = min(DIMENSIONS, sample.shape[1])
             base = np.linalg.qr(rng.normal(size=(sample.shape[1], dims)))[0]
             spread = ((sample - centre) @ base).std(axis=0)
             bases.append(base / np.where(spread > 0, spread, 1))
             shifts.append(rng.random(dims))
-        curves = Curves(centre, bases, shifts, [])
-        for keys in curves.keys(sample):
-            curves.bounds.append(np.quantile(keys, np.arange(1, cells) / cells, method="higher"))
-        return curves
+        return Curves(centre, bases, shifts)
 
     def keys(self, vectors: np.ndarray) -> list[np.ndarray]:
         top = (1 << BITS) - 1
@@ -88,14 +84,9 @@ class Curves:
             places.append(hilbert_keys(np.clip(unit * (top + 1), 0, top).astype(np.int64), BITS))
         return places
 
-    def cells(self, vectors: np.ndarray) -> np.ndarray:
-        """For each vector, its cell on every curve."""
-        parts = zip(self.bounds, self.keys(vectors), strict=True)
-        return np.stack([np.searchsorted(b, k, side="right") for b, k in parts], axis=1)
 
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    data = [np.frombuffer(b, "<f8") for b in column.to_pylist()]
+def _matrix(column: pa.Array | list[bytes]) -> np.ndarray:
+    data = [np.frombuffer(b, "<f8") for b in (column if isinstance(column, list) else column.to_pylist())]
     return np.stack(data) if data else np.empty((0, 1))
 
 
@@ -135,131 +126,212 @@ def nearest(
     seed: int = 0,
     target: float = TARGET_RECALL,
     cell_rows: int = CELL_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """The ``k`` rows found with the largest inner products to each query, a row whose id ``every`` divides.
 
     Returns ``query_id, rank, vec_id, score``; ties go to the smaller id, and a query is not its own neighbour.
 
-    Vectors are projected at random to a few dimensions and ordered along a shifted Hilbert curve, several times.
-    Each order is cut into cells by ranges of keys, and every vector is in one cell of each curve. A query visits
-    its own cell and the ``w`` cells to either side on each curve; what it finds is merged and ranked by exact
-    inner products in double precision. ``w`` is the least window that finds the share ``target`` of the true
-    neighbours of at most ``SAMPLE_QUERIES`` queries, which are searched by brute force in blocks of rows; so the
-    work grows with how hard the data are, up to all rows. Scales and cell bounds come from ``SAMPLE_ROWS`` rows.
+    Vectors are projected at random to a few dimensions and ordered along a shifted Hilbert curve, several times. Spark
+    deals each order by ranges of its keys (and of a hash, where keys are equal), sorts the ranges, and cuts them into
+    cells of ``cell_rows`` vectors at most, numbered along the curve; a query is in the cells that hold it. It visits
+    them and the ``w`` cells to either side on each curve, up to ``query_rows`` queries at a time, and what it finds is
+    merged and ranked by exact inner products in double precision. ``w`` is the least window that finds the share
+    ``target`` of all true neighbours of at most ``SAMPLE_QUERIES`` queries, and the share ``WORST_RECALL`` of those of
+    nine queries in ten; these queries are searched by brute force in blocks. So the work grows with how hard the data
+    are, up to all rows; where the window covers all cells, one curve is searched. Projections are scaled on
+    ``SAMPLE_ROWS`` rows.
 
     Equal vectors are searched once: no query can have more of them than their ``k + 1`` smallest ids. Rows with a
-    null id, or with a vector that is null, empty, zero or of another length than the longest, or that holds null
-    or non-finite numbers, take no part; rows that repeat an id and a vector count once. An empty table, or one
-    without queries or candidates, gives no rows. Other columns are ignored.
+    null id, or with a vector that is null, empty or zero, or that holds null or non-finite numbers, take no part.
+    Vectors of different lengths do not meet: each length is searched on its own. Rows that repeat an id and a vector
+    count once; an id with several vectors is several rows. An empty table, or one without queries or candidates,
+    gives no rows. Other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = stage(_packed(vectors, vec_id, embedding).distinct(), "vectors")
-    longest = rows.agg(F.max(F.length("vector"))).first()[0]
-    if longest is not None:
-        rows = rows.filter(F.length("vector") == longest)
+    result = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for (size,) in rows.select(F.length("vector")).distinct().collect():
+        own = rows.filter(F.length("vector") == size)
+        result = result.unionByName(_of_one_length(own, every, k, seed, target, cell_rows, query_rows))
+    return result
+
+
+def _of_one_length(
+    rows: DataFrame, every: int, k: int, seed: int, target: float, cell_rows: int, query_rows: int
+) -> DataFrame:
     smallest = Window.partitionBy("vector").orderBy("vec_id")
     ranked = rows.withColumn("at", F.row_number().over(smallest)).filter(F.col("at") <= k + 1)
     kinds = ranked.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    kinds = stage(kinds, "distinct-vectors")
     asked = rows.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vector")
-    queries = asked.select("vector").distinct()
+    kinds = kinds.join(asked.select("vector", F.lit(True).alias("asks")).distinct(), "vector", "left")
+    kinds = stage(kinds, "distinct-vectors")
 
     by_hash = F.xxhash64("vector", F.lit(seed))
     sample = [np.frombuffer(r[0], "<f8") for r in kinds.select("vector").orderBy(by_hash).limit(SAMPLE_ROWS).collect()]
-    cells = max(1, math.ceil(kinds.count() / cell_rows))
-    curves = Curves.fit(np.stack(sample) if sample else np.zeros((1, 1)), cells, seed)
+    if not sample:
+        return asked.select("query_id", F.lit(1).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
+    cells, count = _cells(kinds, Curves.fit(np.stack(sample), seed), seed, cell_rows)
+    width = _window(cells, seed, k, target) if count > 1 else 0
+    if width >= count - 1:
+        cells = cells.filter("curve = 0")
+    visits = cells.mapInArrow(_queries, "vector binary, curve int, own int").select(
+        "vector",
+        "curve",
+        F.explode(
+            F.sequence(F.greatest(F.lit(0), F.col("own") - width), F.least(F.lit(count - 1), F.col("own") + width))
+        ).alias("cell"),
+    )
+    groups = max(1, math.ceil(asked.count() / query_rows))
+    asking = visits.groupBy("curve", "cell", F.pmod(F.xxhash64("vector"), F.lit(groups)).alias("grp")).agg(
+        F.collect_list("vector").alias("asking")
+    )
+    held = cells.select("curve", "cell", "vectors", "ids")
+    met = skew_safe_join(asking.select("curve", "cell", "asking"), held, ["curve", "cell"], "inner")
+    found = met.select("asking", "vectors", "ids").mapInArrow(_search(k), "vector binary, vec_id long, score double")
+
+    first = Window.partitionBy("vector").orderBy(F.desc("score"), "vec_id")
+    once = found.groupBy("vector", "vec_id").agg(F.max("score").alias("score"))  # curves share candidates
+    best = once.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= k + 1).drop("at")
+    near = skew_safe_join(asked, best, ["vector"], "inner").filter("vec_id != query_id")
+    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
+    ranks = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranks.select("query_id", "rank", "vec_id", "score")
+
+
+def _cells(kinds: DataFrame, curves: Curves, seed: int, cell_rows: int) -> tuple[DataFrame, int]:
+    """``curve, cell, vectors, ids, asks``: cells in the order of each curve, and how many a curve has at most."""
+    spark = kinds.sparkSession
     shared = spark.sparkContext.broadcast(curves)
-    tried = [np.frombuffer(r[0], "<f8") for r in queries.orderBy(by_hash).limit(SAMPLE_QUERIES).collect()]
-    width = _window(kinds, shared, np.stack(tried), k, target) if tried and cells > 1 else 0
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                found = shared.value.cells(_matrix(part.column(0))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(list(found), _CELLS)], names=[*part.schema.names, "cells"]
-                )
-
-    placed = kinds.select("vector", "ids").mapInArrow(place, "vector binary, ids array<long>, cells array<int>")
-    placed = placed.select("vector", "ids", F.posexplode("cells").alias("curve", "cell"))
-    visits = queries.mapInArrow(place, "vector binary, cells array<int>")
-    visits = visits.select("vector", F.posexplode("cells").alias("curve", "own")).select(
-        "vector",
-        "curve",
-        F.explode(
-            F.sequence(F.greatest(F.lit(0), F.col("own") - width), F.least(F.lit(cells - 1), F.col("own") + width))
-        ).alias("cell"),
-    )
+                keys = np.stack(shared.value.keys(_matrix(part.column(0))), axis=1)
+                names = [*part.schema.names, "keys"]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(keys), pa.list_(pa.int64()))], names=names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Consecutive rows of a curve as cells, numbered within the partition."""
+        part, number = TaskContext.get().partitionId(), 0
+        held: list[pa.RecordBatch] = []
+        curve, size = -1, 0
+
+        def close() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held)
+            lists = [pa.array([whole.column(c).to_pylist()], t) for c, t in (("vector", _BYTES), ("ids", _IDS), ("asks", _FLAGS))]
+            numbers = [pa.array([v], pa.int32()) for v in (curve, part, number)]
+            return pa.RecordBatch.from_arrays([*numbers, *lists], names=["curve", "part", "number", "vectors", "ids", "asks"])
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        asking = right.column("vector").to_pylist()
-        scores, ids = [], []
-        if left.num_rows and asking:
-            held, own = _matrix(left.column("vector")), left.column("ids").to_pylist()
-            firsts = np.array([i[0] for i in own])
-            wanted = _matrix(right.column("vector"))
-            for at in range(0, len(wanted), 256):
-                for line in wanted[at : at + 256] @ held.T:
-                    best = _best(line, firsts, k + 1)
-                    scores.append(line[best].tolist())
-                    ids.append([own[i] for i in best])
-        else:
-            scores, ids = [[] for _ in asking], [[] for _ in asking]
-        types = (pa.binary(), pa.list_(pa.float64()), pa.list_(pa.list_(pa.int64())))
-        arrays = [pa.array(c, t) for c, t in zip((asking, scores, ids), types, strict=True)]
-        return pa.Table.from_arrays(arrays, names=["vector", "scores", "ids"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        """The ``k + 1`` best of what one query vector has found in at most all cells of all curves."""
-        found: dict[int, float] = {}
-        for scores, ids in zip(table.column("scores").to_pylist(), table.column("ids").to_pylist(), strict=True):
-            for score, equal in zip(scores, ids, strict=True):
-                for one in equal:
-                    found.setdefault(one, score)
-        best = sorted(found.items(), key=lambda x: (-x[1], x[0]))[: k + 1]
-        vector = table.column("vector")[:1].to_pylist()
-        arrays = [pa.array(vector, pa.binary()), pa.array([[{"vec_id": i, "score": s} for i, s in best]], _BEST)]
-        return pa.Table.from_arrays(arrays, names=["vector", "best"])
-
-    keys = ("curve", "cell")
-    met = placed.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(search, _FOUND)
-    merged = met.groupBy("vector").applyInArrow(merge, "vector binary, best array<struct<vec_id:long,score:double>>")
-    own = skew_safe_join(asked, merged, ["vector"], "inner")
-    others = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    ranks = own.select("query_id", F.posexplode(others).alias("at", "near"))
-    return ranks.select(
-        "query_id",
-        (F.col("at") + 1).cast("int").alias("rank"),
-        F.col("near.vec_id").alias("vec_id"),
-        F.col("near.score").alias("score"),
+        for batch in batches:
+            at = 0
+            kinds = batch.column("curve").to_numpy()
+            while at < batch.num_rows:
+                if held and (kinds[at] != curve or size == cell_rows):
+                    yield close()
+                    held, size, number = [], 0, number + 1
+                curve = int(kinds[at])
+                same = int(np.searchsorted(kinds[at:], curve, side="right"))
+                n = min(same, cell_rows - size)
+                held.append(batch.slice(at, n))
+                at, size = at + n, size + n
+        if held:
+            yield close()
+
+    placed = kinds.mapInArrow(place, "vector binary, ids array<long>, asks boolean, keys array<long>")
+    placed = placed.select("vector", "ids", "asks", F.posexplode("keys").alias("curve", "key"))
+    order = ("curve", "key", F.xxhash64("vector", F.lit(seed)))
+    sorted_rows = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    blocks = sorted_rows.mapInArrow(
+        cut, "curve int, part int, number int, vectors array<binary>, ids array<array<long>>, asks array<boolean>"
     )
+    blocks = stage(blocks, "cells")
+    # cells of each partition, which are as many as shuffle partitions at most, give every cell its place on the curve
+    before: dict[int, int] = {}
+    starts = []
+    for curve, part, first, n in sorted(
+        tuple(r) for r in blocks.groupBy("curve", "part").agg(F.min("number"), F.count("*")).collect()
+    ):
+        starts.append((curve, part, before.get(curve, 0) - first))
+        before[curve] = before.get(curve, 0) + n
+    offsets = spark.createDataFrame(starts, "curve int, part int, start int")
+    numbered = blocks.join(offsets, ["curve", "part"]).select(
+        "curve", (F.col("start") + F.col("number")).cast("int").alias("cell"), "vectors", "ids", "asks"
+    )
+    return numbered, max(before.values())
+
 
+def _queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The query vectors of cells, with their curve and cell."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            one = batch.slice(row, 1).to_pylist()[0]
+            own = [v for v, asks in zip(one["vectors"], one["asks"], strict=True) if asks]
+            arrays = [pa.array(own, pa.binary()), *(pa.array([one[c]] * len(own), pa.int32()) for c in ("curve", "cell"))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["vector", "curve", "own"])
 
-_BEST = pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())]))
 
+def _search(k: int):
+    """The ``k + 1`` best rows of a cell for each of the queries that meet it."""
 
-def _window(kinds: DataFrame, shared, tried: np.ndarray, k: int, target: float) -> int:
-    """The least number of cells to either side that holds the share ``target`` of the true neighbours."""
-    own = shared.value.cells(tried)
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                asking, vectors, own = (batch.column(c)[row].as_py() for c in ("asking", "vectors", "ids"))
+                held, firsts = _matrix(vectors), np.array([i[0] for i in own])
+                scores, ids, of = [], [], []
+                for at in range(0, len(asking), 256):
+                    for i, line in enumerate(_matrix(asking[at : at + 256]) @ held.T):
+                        for best in _best(line, firsts, k + 1):
+                            of += [asking[at + i]] * len(own[best])
+                            ids += own[best]
+                            scores += [line[best]] * len(own[best])
+                arrays = [pa.array(of, pa.binary()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["vector", "vec_id", "score"])
+
+    return search
+
+
+def _window(cells: DataFrame, seed: int, k: int, target: float) -> int:
+    """The least number of cells to either side that holds the wanted shares of the true neighbours, without the query."""
+    places = cells.mapInArrow(_queries, "vector binary, curve int, own int")
+    tried = places.filter("curve = 0").orderBy(F.xxhash64("vector", F.lit(seed))).limit(SAMPLE_QUERIES).select("vector")
+    known: dict[bytes, dict[int, int]] = {}
+    for row in places.join(F.broadcast(tried), "vector").collect():  # a row for each sampled query and curve
+        known.setdefault(bytes(row["vector"]), {})[row["curve"]] = row["own"]
+    queries = sorted(known)
+    if not queries:
+        return 0
+    asked = _matrix(queries)
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                held = _matrix(part.column(0))
-                cells = shared.value.cells(held)
-                scores = tried @ held.T
-                near = [np.argsort(-line, kind="stable")[: k + 1] for line in scores]
-                query = np.repeat(np.arange(len(tried)), [len(n) for n in near])
-                chosen = np.concatenate(near)
-                away = np.abs(cells[chosen] - own[query]).min(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query), pa.array(scores[query, chosen]), pa.array(away)], names=["query", "score", "away"]
-                )
-
-    found = kinds.select("vector").mapInArrow(brute, "query long, score double, away long")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "away")
-    best = found.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k + 1)
-    away = sorted(r["away"] for r in best.select("away").collect())
-    return int(away[max(0, math.ceil(target * len(away)) - 1)])
+            for row in range(batch.num_rows):
+                curve, cell, vectors = (batch.column(c)[row].as_py() for c in ("curve", "cell", "vectors"))
+                places = np.arange(len(vectors))
+                query, near, score = [], [], []
+                for i, line in enumerate(asked @ _matrix(vectors).T):
+                    best = [b for b in _best(line, places, k + 1) if vectors[b] != queries[i]][:k]
+                    query += [i] * len(best)
+                    near += [vectors[b] for b in best]
+                    score += [line[b] for b in best]
+                away = [abs(cell - known[queries[i]][curve]) for i in query]
+                arrays = [pa.array(query, pa.int32()), pa.array(near, pa.binary()), pa.array(score, pa.float64()), pa.array(away, pa.int32())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["query", "near", "score", "away"])
+
+    found = cells.select("curve", "cell", "vectors").mapInArrow(brute, "query int, near binary, score double, away int")
+    once = found.groupBy("query", "near").agg(F.max("score").alias("score"), F.min("away").alias("away"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "near")
+    best = once.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k)
+    away: dict[int, list[int]] = {}
+    for row in best.select("query", "away").collect():  # k rows for each sampled query
+        away.setdefault(row["query"], []).append(row["away"])
+
+    def least(values: list[int], share: float) -> int:
+        return sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+
+    if not away:
+        return 0
+    each = [least(own, WORST_RECALL) for own in away.values()]
+    return max(least([a for own in away.values() for a in own], target), least(each, 0.9))
