@@ -12,6 +12,7 @@ from metaloom.llm.packing import pack_documents
 from metaloom.llm.pii import replace_private
 from metaloom.llm.quality_resampling import Resampler
 from metaloom.llm.queries import PII_KEY, tokenizer_path
+from metaloom.operators.joins import unused_name
 from metaloom.session import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,14 +25,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id, and one row of it.
+    """One row of each group of near duplicates.
 
-    Rows without an id take no part and stay.
+    Rows are told apart by a hash of id and text, so rows that share an id, or have none, are rows like any other: only
+    those equal in id and text are one. Of a group the row with the least hash stays.
     """
-    rows = docs.select(*COLUMNS)
-    kept = near_duplicates(rows.filter("doc_id IS NOT NULL")).filter("doc_id = component_id").select("doc_id")
-    one = rows.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(rows.filter("doc_id IS NULL"))
+    key, digest = (unused_name(name, docs) for name in ("row_key", "row_digest"))
+    rows = docs.select(*COLUMNS).withColumn(key, F.xxhash64("doc_id", "text"))
+    kept = near_duplicates(rows, doc_id=key).filter("doc_id = component_id").select(F.col("doc_id").alias(key))
+    one = rows.join(kept.distinct(), key, "left_semi").withColumn(digest, F.md5("text"))
+    return one.dropDuplicates(["doc_id", key, digest]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +69,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", packing),
 ]
 
-#: Hashed models, components and token ids are beyond SQL; tests hold the stages against brute force.
+#: Hashed models, components and token ids are beyond SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 

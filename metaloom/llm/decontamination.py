@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -50,6 +51,14 @@ class ItemAutomaton:
                 if place + 1 >= limit:
                     marked[state].setdefault(limit, set()).update(ids)
         self.marked = dict(marked)
+        # windows marked on the states that suffix links lead to are shorter than any match in a state, so they are all
+        # there: each state has the widest of them, and the nearest state that has any
+        self.above, self.up = [0] * len(self.next), [0] * len(self.next)
+        for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            to = self.link[state]
+            own = self.marked.get(to)
+            self.above[state] = max(self.above[to], max(own)) if own else self.above[to]
+            self.up[state] = to if own else self.up[to]
 
     def _extend(self, last: int, code: int) -> int:
         """The state of the item's prefix that ends with ``code``; ``last`` is that of the prefix before."""
@@ -93,6 +102,7 @@ class ItemAutomaton:
             return longest, runs, items
         following, link, length, marked = self.next, self.link, self.length, self.marked
         state = matched = 0
+        listed: set[int] = set()  # states whose items, and those of the states above, are known to be here
         for place, code in enumerate(codes):
             if code is None:
                 state = matched = 0
@@ -105,13 +115,19 @@ class ItemAutomaton:
             if matched > longest:
                 longest = matched
             if matched >= self.shortest:
-                at, widest = state, 0
-                while at > 0:
-                    for limit, ids in marked.get(at, {}).items():
-                        if limit <= matched:
-                            items |= ids
-                            widest = max(widest, limit)
-                    at = link[at]
+                widest = self.above[state]
+                if own := marked.get(state):
+                    fitting = [limit for limit in own if limit <= matched]
+                    widest = max(fitting, default=widest)
+                    if state not in listed:
+                        items.update(*(own[limit] for limit in fitting))
+                        if len(fitting) == len(own):
+                            listed.add(state)
+                at = self.up[state]
+                while at and at not in listed:
+                    items.update(*marked[at].values())
+                    listed.add(at)
+                    at = self.up[at]
                 if widest:
                     start = place + 1 - widest
                     while runs and start <= runs[-1][1]:
@@ -161,7 +177,8 @@ def decontaminate(
     without the spans, taken again until none is left. Columns to ``carry`` along come as one struct, ``carried``.
 
     Items go into one suffix automaton, which is broadcast. A benchmark of over ``automaton_words`` words is dealt by
-    hash to several of about that size, used one after the other on rows written in between.
+    hash to several of about that size, used one after the other on rows written in between, until a round of all of
+    them takes nothing away.
 
     Null and empty texts have no words and stay as they are; items without words hit nothing; items with a null id
     hit words but are not listed; equal items are all listed, a repeated id once; rows of ``docs`` that repeat are
@@ -184,7 +201,8 @@ def decontaminate(
         *([F.struct(*carry).alias("carried")] if carry else []),
     )
     schema = rows.schema
-    for shard in range(shards):
+    left = None
+    for shard in itertools.cycle(range(shards)):
         gathered: defaultdict[tuple[bytes, ...], set[str]] = defaultdict(set)
         for row in items.filter(F.col("shard") == shard).toLocalIterator():
             if words := tuple(text_words((row["text"] or "").encode())):
@@ -228,6 +246,10 @@ def decontaminate(
                     )
 
         rows = rows.mapInArrow(match, schema)
-        if shard < shards - 1:
-            rows = stage(rows, "decontaminated")
-    return rows
+        if shards == 1:
+            return rows
+        rows = stage(rows, "decontaminated")
+        if shard == shards - 1:  # what one automaton takes away may join words to a window of an earlier one
+            before, left = left, rows.agg(F.sum(F.length("clean_text"))).first()[0]
+            if left == before:
+                return rows
