@@ -18,6 +18,8 @@ from metaloom.session import stage
 CURVES, DIMENSIONS, BITS = 4, 6, 10
 #: Distinct vectors in a cell of a curve, and queries that meet it at once, at most or about.
 CELL_ROWS, QUERY_ROWS = 4096, 1024
+#: Lists of a query's results that are merged at a time.
+MERGED = 64
 #: Vectors that projections are scaled by, and queries that set the window, at most.
 SAMPLE_ROWS, SAMPLE_QUERIES = 20_000, 100
 #: Recall the window is set for on the sampled queries: over all of them, and of each but the worst tenth.
@@ -188,15 +190,26 @@ def _of_one_length(
     )
     held = cells.select("curve", "cell", "vectors", "ids")
     met = skew_safe_join(asking.select("curve", "cell", "asking"), held, ["curve", "cell"], "inner")
-    found = met.select("asking", "vectors", "ids").mapInArrow(_search(k), "vector binary, vec_id long, score double")
-
-    first = Window.partitionBy("vector").orderBy(F.desc("score"), "vec_id")
-    once = found.groupBy("vector", "vec_id").agg(F.max("score").alias("score"))  # curves share candidates
-    best = once.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= k + 1).drop("at")
-    near = skew_safe_join(asked, best, ["vector"], "inner").filter("vec_id != query_id")
-    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
-    ranks = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranks.select("query_id", "rank", "vec_id", "score")
+    place = (F.col("curve") * count + F.col("cell")).cast("int").alias("place")
+    found = met.select(place, "asking", "vectors", "ids").mapInArrow(
+        _search(k), "place int, vector binary, best array<struct<less:double,vec_id:long>>"
+    )
+    best = F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("best")))), 1, k + 1).alias("best")
+    left = count * (1 if width >= count - 1 else CURVES)
+    while True:  # a query has MERGED lists to merge at a time, however many cells it has visited
+        found = found.groupBy("vector", F.floor(F.col("place") / MERGED).cast("int").alias("place")).agg(best)
+        left = math.ceil(left / MERGED)
+        if left == 1:
+            break
+    near = skew_safe_join(asked, found.select("vector", "best"), ["vector"], "inner")
+    others = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    ranks = near.select("query_id", F.posexplode(others).alias("at", "near"))
+    return ranks.select(
+        "query_id",
+        (F.col("at") + 1).cast("int").alias("rank"),
+        F.col("near.vec_id").alias("vec_id"),
+        (F.lit(0.0) - F.col("near.less")).alias("score"),
+    )
 
 
 def _cells(kinds: DataFrame, curves: Curves, seed: int, cell_rows: int) -> tuple[DataFrame, int]:
@@ -272,23 +285,30 @@ def _queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names=["vector", "curve", "own"])
 
 
+def _exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Inner products that do not depend on what else is in a block, so that curves agree on them."""
+    return (rows * query).sum(axis=1)
+
+
 def _search(k: int):
-    """The ``k + 1`` best rows of a cell for each of the queries that meet it."""
+    """The ``k + 1`` best rows of a cell for each of the queries that meet it, by negative score and id."""
+    kind = pa.list_(pa.struct([("less", pa.float64()), ("vec_id", pa.int64())]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                asking, vectors, own = (batch.column(c)[row].as_py() for c in ("asking", "vectors", "ids"))
+                place, asking, vectors, own = (batch.column(c)[row].as_py() for c in ("place", "asking", "vectors", "ids"))
                 held, firsts = _matrix(vectors), np.array([i[0] for i in own])
-                scores, ids, of = [], [], []
+                found = []
                 for at in range(0, len(asking), 256):
-                    for i, line in enumerate(_matrix(asking[at : at + 256]) @ held.T):
-                        for best in _best(line, firsts, k + 1):
-                            of += [asking[at + i]] * len(own[best])
-                            ids += own[best]
-                            scores += [line[best]] * len(own[best])
-                arrays = [pa.array(of, pa.binary()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["vector", "vec_id", "score"])
+                    wanted = _matrix(asking[at : at + 256])
+                    for query, line in zip(wanted, wanted @ held.T, strict=True):
+                        best = _best(line, firsts, k + 1)
+                        scores = _exact(query, held[best])
+                        pairs = sorted((-float(score), i) for b, score in zip(best, scores, strict=True) for i in own[b])
+                        found.append([{"less": less, "vec_id": i} for less, i in pairs[: k + 1]])
+                arrays = [pa.array([place] * len(asking), pa.int32()), pa.array(asking, pa.binary()), pa.array(found, kind)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["place", "vector", "best"])
 
     return search
 
@@ -306,19 +326,22 @@ def _window(cells: DataFrame, seed: int, k: int, target: float) -> int:
     asked = _matrix(queries)
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ``k`` best of each query among the task's cells, and the fewest cells away that they are."""
+        best: list[dict[bytes, tuple[float, int]]] = [{} for _ in queries]
         for batch in batches:
             for row in range(batch.num_rows):
                 curve, cell, vectors = (batch.column(c)[row].as_py() for c in ("curve", "cell", "vectors"))
-                places = np.arange(len(vectors))
-                query, near, score = [], [], []
-                for i, line in enumerate(asked @ _matrix(vectors).T):
-                    best = [b for b in _best(line, places, k + 1) if vectors[b] != queries[i]][:k]
-                    query += [i] * len(best)
-                    near += [vectors[b] for b in best]
-                    score += [line[b] for b in best]
-                away = [abs(cell - known[queries[i]][curve]) for i in query]
-                arrays = [pa.array(query, pa.int32()), pa.array(near, pa.binary()), pa.array(score, pa.float64()), pa.array(away, pa.int32())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["query", "near", "score", "away"])
+                held, places = _matrix(vectors), np.arange(len(vectors))
+                for i, line in enumerate(asked @ held.T):
+                    near, away = best[i], abs(cell - known[queries[i]][curve])
+                    first = [b for b in _best(line, places, k + 1) if vectors[b] != queries[i]]
+                    for b, score in zip(first, _exact(asked[i], held[first]), strict=True):
+                        near[vectors[b]] = (float(score), min(away, near.get(vectors[b], (0, away))[1]))
+                    best[i] = dict(sorted(near.items(), key=lambda x: (-x[1][0], x[0]))[:k])
+        rows = [(i, near, *own) for i, found in enumerate(best) for near, own in found.items()]
+        types = (pa.int32(), pa.binary(), pa.float64(), pa.int32())
+        arrays = [pa.array([r[c] for r in rows], t) for c, t in enumerate(types)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["query", "near", "score", "away"])
 
     found = cells.select("curve", "cell", "vectors").mapInArrow(brute, "query int, near binary, score double, away int")
     once = found.groupBy("query", "near").agg(F.max("score").alias("score"), F.min("away").alias("away"))
