@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from metaloom.llm.blocks import slices
 from metaloom.llm.words import Words, mix, text_words
+from metaloom.operators.joins import unused_name
 from metaloom.session import stage
 
 #: Labelled documents that the models are fitted and set on at most: those of the least hashes of their ids.
@@ -24,14 +25,20 @@ HEAD = 5
 PASSAGE = 16
 #: Times the log weight counts against Gumbel noise.
 SHARPNESS = 10.0
-#: Keys are counted in cells of this width, and in that of the threshold once more in as many smaller ones.
-CELLS = 1 << 10
-#: Cells to either side of zero; keys beyond lie in the last.
-REACH = 1 << 17
+#: Hashed pairs of words.
+PAIRS = 1 << 20
+#: Cells that keys are counted in at a time, to find the last one selected.
+CELLS = 1 << 12
+#: Threshold against a stratum that no label is of: below any weight.
+NO_STRATUM = -1e6
 TARGET, LOW, TOXIC, ALL = range(4)
 WORD, HEADS, SHAPE = range(3)
+_PAIRS_AT = 3 * FEATURES + 2
 
-_SCORES = "doc_id long, low_weight double, toxic_weight double, noise double"
+_WEIGHTS = ("low_weight", "toxic_weight", "noise")
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _shape(word: bytes) -> bytes:
@@ -56,8 +63,8 @@ def _hashed(words: list[bytes], seed: int) -> np.ndarray:
 
 
 class _Features:
-    """Hashed features of several texts: lower-cased words and their heads; shapes of raw words, and whether a
-    word repeats the one before, which is the last feature."""
+    """Hashed features of several texts: lower-cased words, their heads, and pairs of a word and the one before; shapes
+    of raw words, and whether a word repeats the one before."""
 
     def __init__(self, texts: list[bytes]):
         plain = self.plain = Words(text_words(t) for t in texts)
@@ -68,7 +75,10 @@ class _Features:
         self.again = np.zeros(len(raw.ids), np.int64)
         self.again[1:] = raw.ids[1:] == raw.ids[:-1]
         self.again[raw.starts[:-1][raw.lengths > 0]] = 0
-        self.texts = len(texts)
+        hashes = plain.word_hashes(WORD)[plain.ids]
+        self.pair = np.empty(len(plain.ids), np.int64)
+        self.pair[1:] = (mix(hashes[:-1] * _ODD + hashes[1:]) & np.uint64(PAIRS - 1)).astype(np.int64)
+        self.pair[plain.starts[:-1][plain.lengths > 0]] = PAIRS  # before a first word is none
 
     def count(self, total: np.ndarray, chosen: np.ndarray | None = None) -> None:
         """Add the occurrences of words, heads, shapes, and first and repeated words, which lie one after the other."""
@@ -79,12 +89,16 @@ class _Features:
         for i, column in enumerate(columns):
             seen, n = np.unique(column, return_counts=True)
             total[seen + i * FEATURES] += n
+        if chosen is not None:
+            own = self.pair[np.repeat(chosen, self.plain.lengths)]
+            seen, n = np.unique(own[own < PAIRS], return_counts=True)
+            total[seen + _PAIRS_AT] += n
 
     def weights(self, models: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
         """For each text, the least log weight of a passage against low quality, and of a word against toxicity."""
-        words, heads, shapes, again = models
+        words, heads, shapes, again, pairs = models
         low = _least(shapes[self.shape] + again[self.again], self.raw, PASSAGE)
-        return low, _least(words[self.word] + heads[self.head], self.plain, 1)
+        return low, _least(words[self.word] + heads[self.head] + pairs[self.pair], self.plain, 1)
 
 
 def _least(values: np.ndarray, words: Words, size: int) -> np.ndarray:
@@ -138,17 +152,18 @@ def _classes(keys: list[int | None], known: np.ndarray, classes: np.ndarray) ->
 
 
 def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Log ratios of the target's n-gram model to that of a raw stratum, by feature: words and heads against toxic
+    """Log ratios of the target's n-gram model to that of a raw stratum, by feature: words, heads and pairs against toxic
     documents, shapes and repeats against documents of low quality.
 
-    Each model is the counts of the labelled documents of its class, smoothed by the counts of all documents,
-    which weigh as much as the smallest class. ``docs`` has ``id, text``.
+    Each model is the counts of the labelled documents of its class. Those of single words are smoothed by the counts of
+    all documents, which weigh as much as the smallest class; those of pairs by one for each pair, so that a pair that
+    was seen nowhere says little. ``docs`` has ``id, text``.
     """
     fitted = _fits(ids)
     known, classes = ids[fitted], kinds[fitted]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((4, 3 * FEATURES + 2), np.int64)
+        total = np.zeros((4, _PAIRS_AT + PAIRS), np.int64)
         for _, keys, texts in _chunks(batches, 0, 1):
             features = _Features(texts)
             features.count(total[ALL])
@@ -156,6 +171,7 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
             for kind in (TARGET, LOW, TOXIC):
                 if (own == kind).any():
                     features.count(total[kind], own == kind)
+        total[ALL, _PAIRS_AT:] = total[:ALL, _PAIRS_AT:].sum(axis=0)
         seen = np.flatnonzero(total[ALL])
         for at in range(0, len(seen), 1 << 16):
             some = seen[at : at + (1 << 16)]
@@ -164,7 +180,7 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
 
     counted = docs.mapInArrow(count, "feature int, c0 long, c1 long, c2 long, c3 long").groupBy("feature")
     summed = counted.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).toArrow()
-    counts = np.zeros((4, 3 * FEATURES + 2))
+    counts = np.zeros((4, _PAIRS_AT + PAIRS))
     counts[:, summed.column("feature").to_numpy()] = [summed.column(f"c{i}").to_numpy() for i in range(4)]
     models = []
     at = 0
@@ -175,6 +191,9 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
         prior = max(1.0, part[[TARGET, LOW, TOXIC]].sum(axis=1).min())
         target, raw = ((part[c] + prior * corpus) / (part[c].sum() + prior) for c in (TARGET, against))
         models.append(np.log(target / raw).astype(np.float32))
+    pairs = counts[:, _PAIRS_AT:]
+    target, raw = ((pairs[c] + 1) / (pairs[c].sum() + PAIRS) for c in (TARGET, TOXIC))
+    models.append(np.append(np.log(target / raw), 0).astype(np.float32))
     return tuple(models)
 
 
@@ -182,7 +201,7 @@ def threshold(good: np.ndarray, bad: np.ndarray) -> float:
     """The value with the fewest good ones below and bad ones above; the middle of the widest gap of such."""
     values = np.unique(np.concatenate([good, bad]))
     if not len(good) or not len(bad):
-        return -np.inf
+        return NO_STRATUM
     cuts = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
     wide = np.concatenate([[1], np.diff(values), [1]])
     good, bad = np.sort(good), np.sort(bad)
@@ -200,11 +219,13 @@ class Resampler:
     target and low-quality model, ``toxic_weight`` that of a word under target and toxic model. ``log_weight`` is
     the lesser of both after taking off thresholds set on labelled documents that the models have not seen.
     Each row's key is its log weight times ``sharpness`` plus Gumbel noise drawn from a hash of ``seed`` and id; the
-    ``keep`` largest keys are selected, or, where ``keep`` is None, as many as have a log weight of 0 or more.
+    ``keep`` largest keys are selected, or, where ``keep`` is None, as many as have a log weight of 0 or more. With
+    ``carry``, documents are written with their weights, so that ``kept`` does not weigh them again.
 
     Rows with null ids share one draw, as rows of equal ids do. Null and empty texts have weights 0 before
-    thresholds. Without labels of some class, that stratum selects all. Keys closer than 2^-20 to the last one
-    selected are selected too. An empty table gives no rows; other columns are passed over, or kept by ``kept``.
+    thresholds. Without labels of some class, that stratum rejects nothing, and the draw decides alone if both are
+    missing. Keys equal to the last one selected are selected too. An empty table gives no rows; other columns are
+    passed over, or kept by ``kept``, whatever their names.
     """
 
     def __init__(
@@ -217,26 +238,36 @@ class Resampler:
         max_labels: int = MAX_LABELS,
         doc_id: str = "doc_id",
         text: str = "text",
+        carry: bool = True,
     ):
         self.docs, self.doc_id, self.text, self.seed, self.sharpness = docs, doc_id, text, seed, sharpness
         columns = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
         ids, kinds = labelled_sample(labels, max_labels)
         self.models: Broadcast = docs.sparkSession.sparkContext.broadcast(fit_models(columns, ids, kinds))
-        self.scores = stage(columns.mapInArrow(self._scored(), _SCORES), "weights")
+        self.carry = carry
+        weighed = docs if carry else columns.select(F.col("id").alias("doc_id"), "text")
+        self.names = [unused_name(n, weighed) for n in _WEIGHTS]
+        fields = weighed.schema.fields if carry else [T.StructField("doc_id", T.LongType())]
+        fields = [*fields, *(T.StructField(n, T.DoubleType()) for n in self.names)]
+        places = [weighed.columns.index(n) for n in ((doc_id, text) if carry else ("doc_id", "text"))]
+        scored = weighed.mapInArrow(self._scored(*places), T.StructType(fields))
+        self.scores = stage(scored, "weights")
         others = ~_fits(ids)
         seen = self._labelled(ids[others], kinds[others])
         self.low = threshold(seen[TARGET][:, 0], seen[LOW][:, 0])
         self.toxic = threshold(seen[TARGET][:, 1], seen[TOXIC][:, 1])
         self.last = self._last(keep)
 
-    def _scored(self):
-        models, seed = self.models, np.uint64(self.seed)
+    def _scored(self, id_at: int, text_at: int):
+        models, seed, names, carry = self.models, np.uint64(self.seed), self.names, self.carry
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, keys, texts in _chunks(batches, 0, 1):
+            for part, keys, texts in _chunks(batches, id_at, text_at):
                 low, toxic = _Features(texts).weights(models.value)
-                arrays = [pa.array(keys, pa.int64()), pa.array(low), pa.array(toxic), pa.array(_noise(keys, seed))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "low_weight", "toxic_weight", "noise"])
+                own = part.columns if carry else [part.column(id_at)]
+                arrays = [*own, pa.array(low), pa.array(toxic), pa.array(_noise(keys, seed))]
+                kept = part.schema.names if carry else ["doc_id"]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])
 
         return run
 
@@ -249,63 +280,60 @@ class Resampler:
                 arrays = [pa.array(own.astype(np.int32)), batch.column(1), batch.column(2)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["kind", "low", "toxic"]).filter(pa.array(own >= 0))
 
-        picked = self.scores.select("doc_id", "low_weight", "toxic_weight").dropDuplicates(["doc_id"])
+        key = F.col(f"`{self.doc_id}`" if self.carry else "doc_id").cast("long").alias("doc_id")
+        low, toxic, _ = self.names
+        picked = self.scores.select(key, F.col(low).alias("low"), F.col(toxic).alias("toxic")).dropDuplicates(["doc_id"])
         rows = picked.mapInArrow(pick, "kind int, low double, toxic double").toArrow()
         kinds = rows.column("kind").to_numpy()
         both = np.stack([rows.column("low").to_numpy(), rows.column("toxic").to_numpy()], axis=1)
         return [both[kinds == kind] for kind in (TARGET, LOW, TOXIC)]
 
     def _keys(self) -> tuple[Column, Column]:
-        weight = F.least(F.col("low_weight") - F.lit(self.low), F.col("toxic_weight") - F.lit(self.toxic))
-        return weight, weight * self.sharpness + F.col("noise")
+        low, toxic, noise = (F.col(n) for n in self.names)
+        weight = F.least(low - F.lit(self.low), toxic - F.lit(self.toxic))
+        return weight, weight * self.sharpness + noise
 
     def _last(self, keep: int | None) -> float:
-        """The least key selected: from counts of keys in cells, then in cells of the cell it lies in."""
+        """The least key selected, exactly: keys are counted in cells, then those of the cell it lies in, and so on."""
         weight, key = self._keys()
         keys = self.scores.select(weight.alias("w"), key.alias("key"))
         wanted = keys.filter("w >= 0").count() if keep is None else keep
         if wanted <= 0:
             return np.inf
-        cell = F.greatest(F.lit(-REACH), F.least(F.lit(REACH), F.floor(F.col("key") * CELLS / 16))).cast("int")
-        keys = keys.withColumn("cell", cell)
-        for _ in range(2):
-            cells = sorted((tuple(r) for r in keys.groupBy("cell").count().collect()), reverse=True)
-            chosen = None
-            for at, n in cells:
-                chosen = at
+        least, most = keys.agg(F.min("key"), F.max("key")).first()
+        if least is None or keys.count() <= wanted:
+            return -np.inf
+        while least < most:
+            inside = keys.filter(F.col("key").between(least, most))
+            cell = F.floor((F.col("key") - least) / ((most - least) / CELLS)).cast("int").alias("cell")
+            found = inside.groupBy(cell).agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+            for _, n, low, high in sorted((tuple(r) for r in found.collect()), reverse=True):
                 if n >= wanted:
                     break
                 wanted -= n
-            else:
-                return -np.inf
-            keys = keys.filter(F.col("cell") == chosen)
-            if abs(chosen) == REACH:
-                return -np.inf if chosen < 0 else REACH * 16 / CELLS
-            if _ == 0:
-                start = chosen * 16 / CELLS
-                keys = keys.withColumn("cell", F.floor((F.col("key") - start) * CELLS * CELLS).cast("int"))
-        return start + chosen / CELLS / CELLS
+            if n == wanted:
+                return low
+            least, most = low, high
+        return least
 
     def weights(self) -> DataFrame:
         """``doc_id, low_weight, toxic_weight, log_weight, key, selected`` of every row."""
         weight, key = self._keys()
-        rows = self.scores.select("doc_id", "low_weight", "toxic_weight", weight.alias("log_weight"), key.alias("key"))
+        low, toxic, _ = self.names
+        rows = self.scores.select(
+            F.col(f"`{self.doc_id}`" if self.carry else "doc_id").cast("long").alias("doc_id"),
+            F.col(low).alias("low_weight"),
+            F.col(toxic).alias("toxic_weight"),
+            weight.alias("log_weight"),
+            key.alias("key"),
+        )
         return rows.withColumn("selected", F.col("key") >= F.lit(float(self.last)))
 
     def kept(self) -> DataFrame:
-        """The selected rows with all their columns; they are weighed again, which moves no texts."""
-        models, seed, sharp = self.models, np.uint64(self.seed), self.sharpness
-        low_cut, toxic_cut, last = self.low, self.toxic, self.last
-        names = self.docs.columns
-        id_at, text_at = names.index(self.doc_id), names.index(self.text)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, keys, texts in _chunks(batches, id_at, text_at):
-                low, toxic = _Features(texts).weights(models.value)
-                key = np.minimum(low - low_cut, toxic - toxic_cut) * sharp + _noise(keys, seed)
-                yield part.filter(pa.array(key >= last))
-
-        return self.docs.mapInArrow(run, self.docs.schema)
+        """The selected rows with all their columns; needs ``carry``."""
+        if not self.carry:
+            raise ValueError("documents were not carried along")
+        return self.scores.filter(self._keys()[1] >= F.lit(float(self.last))).select(*(f"`{c}`" for c in self.docs.columns))
 
 
 def _noise(keys: list[int | None], seed: np.uint64) -> np.ndarray:

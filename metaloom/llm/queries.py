@@ -106,7 +106,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Resampler(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).weights()
+    return Resampler(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), carry=False).weights()
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
