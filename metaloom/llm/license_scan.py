@@ -67,6 +67,52 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "proprietary": "No part of this publication may be reproduced without the prior written permission of the publisher.",
 }
+#: Names that licenses go by, and the wordings that only differ by the name.
+_NAMED = {
+    "MIT": "MIT",
+    "Apache-2.0": "Apache License 2.0",
+    "BSD-2-Clause": "BSD 2-Clause",
+    "BSD-3-Clause": "BSD 3-Clause",
+    "ISC": "ISC",
+    "MPL-2.0": "Mozilla Public License 2.0",
+    "GPL-2.0": "GNU General Public License v2.0",
+    "GPL-3.0": "GNU General Public License v3.0",
+    "LGPL-2.1": "GNU Lesser General Public License v2.1",
+    "LGPL-3.0": "GNU Lesser General Public License v3.0",
+    "AGPL-3.0": "GNU Affero General Public License v3.0",
+    "CC0-1.0": "CC0 1.0 Universal",
+    "CC-BY-4.0": "Creative Commons Attribution 4.0 International",
+    "CC-BY-SA-4.0": "Creative Commons Attribution-ShareAlike 4.0 International",
+    "CC-BY-NC-4.0": "Creative Commons Attribution-NonCommercial 4.0 International",
+    "CC-BY-ND-4.0": "Creative Commons Attribution-NoDerivatives 4.0 International",
+}
+_WORDINGS = {
+    "spdx": "SPDX-License-Identifier: {id}",
+    "field": "License: {id}",
+    "file": "This file is licensed under the {name} License.",
+    "terms": "Distributed under the terms of the {name} License.",
+}
+
+
+def _with_wordings(templates: dict[str, str]) -> dict[str, str]:
+    more = {
+        f"{key}-{kind}": text.format(id=key, name=name.removesuffix(" License"))
+        for key, name in _NAMED.items()
+        for kind, text in _WORDINGS.items()
+    }
+    return templates | more
+
+
+TEMPLATES = _with_wordings(TEMPLATES)
+
+
+def license_of(template: str) -> str:
+    """The license that a template is a wording of."""
+    for kind in ("header", *_WORDINGS):
+        template = template.removesuffix(f"-{kind}")
+    return template
+
+
 #: Words that tell a license from others, by the template's name without "-header"; without all of them none is confirmed.
 REQUIRED = {
     "MIT-notice": "mit",
@@ -98,6 +144,9 @@ BLOCK_WORDS, OVERLAP = 300, 100
 #: A winner is confirmed if it lacks at most this share of the template's words, in order, none of them required, and
 #: has no other words between them.
 MOST_MISSING = 0.2
+#: Words that deny a notice, and how far before it.
+DENIALS = frozenset(("not", "never", "neither", "nor", "isn", "aren", "no", "without", "cannot"))
+DENIED_WORDS = 3
 
 SCHEMA = (
     "doc_id long, line int, block int, license string, plain_size int, conditional_size int, reduction int, "
@@ -141,7 +190,7 @@ class Scanner:
     def __init__(self, templates: Mapping[str, str], level: int = 19):
         self.plain = zstandard.ZstdCompressor(level=level)
         self.words = {name: _words(text) for name, text in sorted(templates.items())}
-        self.required = {n: set(REQUIRED.get(n, REQUIRED.get(n.removesuffix("-header"), "")).split()) for n in templates}
+        self.required = {n: self._needed(n) for n in templates}
         self.longest = max(map(len, self.words.values()), default=0)
         self.given = {}
         for name, text in sorted(templates.items()):
@@ -149,17 +198,26 @@ class Scanner:
             self.given[name] = zstandard.ZstdCompressor(level=level, dict_data=raw)
         self.known: dict[tuple[bytes, int], tuple] = {}
 
+    def _needed(self, name: str) -> set[str]:
+        own = license_of(name)
+        if name in REQUIRED or name.removesuffix("-header") == own:
+            return set(REQUIRED.get(name, REQUIRED.get(own, "")).split())
+        # the words of the other wordings that are the license's own
+        return set(self.words[name]).difference(*(_words(t.format(id="", name="")) for t in _WORDINGS.values()))
+
     def best(self, block: bytes, after: int = 0) -> tuple[tuple, int, int]:
         """The template that saves most, both sizes, and the words of it that are missing or added in the block; and
         where its words start and end. They end behind the word number ``after``.
 
-        Templates are ranked by the bytes they save; of the three best the one with the fewest wording differences
-        wins, so that a longer notice that holds a shorter one is told from it.
+        Templates are ranked by the bytes they save, and all that save any are compared with the block by their wording:
+        the one with the fewest differences wins, so that a longer notice that holds a shorter one is told from it, and
+        one that comes late in the ranking is not missed. A notice behind a word that denies it is not confirmed.
         """
         if (block, after) in self.known:
             return self.known[block, after]
         size = len(self.plain.compress(block))
-        ranked = sorted((len(c.compress(block)), name) for name, c in self.given.items())[:3]
+        ranked = sorted((len(c.compress(block)), name) for name, c in self.given.items())
+        ranked = [r for r in ranked if r[0] < size] or ranked[:1]
         words = _words(block.decode())
         found = []
         for conditional, name in ranked:
@@ -167,7 +225,8 @@ class Scanner:
             missing, added, start, end = aligned(wanted, words, after)
             share = len(missing) / max(len(wanted), 1)
             bare = self.required[name].intersection(wanted[i] for i in missing)
-            sure = share <= MOST_MISSING and conditional < size and not added and not bare
+            denied = start is not None and not DENIALS.isdisjoint(words[max(0, start - DENIED_WORDS) : start])
+            sure = share <= MOST_MISSING and conditional < size and not added and not bare and not denied
             outside = len(words) - len(wanted) + len(missing)
             found.append((not sure, share, outside, conditional, name, missing, added, start, end))
         unsure, _, _, conditional, name, missing, added, start, end = min(found)
