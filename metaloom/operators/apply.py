@@ -133,14 +133,17 @@ def run_statements(
     return statements.mapInPandas(run, result)
 
 
-def read_ledger(like: DataFrame, ledger: str) -> DataFrame:
-    """The newest outcome of every finished statement row of a ledger, in the columns of ``like`` (``statement`` apart)."""
-    spark = like.sparkSession
+def _ledger_schema(like: DataFrame) -> T.StructType:
     kept = [f for f in like.schema.fields if f.name not in ("statement", STATEMENT_ID)]
     more = [T.StructField(n, T.StringType()) for n in ("error", "error_kind")]
-    own = T.StructType(
+    return T.StructType(
         [T.StructField(STATEMENT_ID, T.StringType()), *kept, *more, T.StructField("applied_at", T.TimestampType())]
     )
+
+
+def read_ledger(like: DataFrame, ledger: str) -> DataFrame:
+    """The newest outcome of every finished statement row of a ledger, in the columns of ``like`` (``statement`` apart)."""
+    spark, own = like.sparkSession, _ledger_schema(like)
     try:
         rows = spark.read.schema(own).parquet(ledger)
     except AnalysisException as error:
@@ -176,6 +179,7 @@ def run_durably(
     connections = connections or spark.sparkContext.defaultParallelism
     shown = F.to_json(F.struct(*statements.columns), {"ignoreNullFields": "false"})
     rows = not_blank(statements).withColumn(STATEMENT_ID, F.sha2(shown, 256)).dropDuplicates([STATEMENT_ID])
+    spark.createDataFrame([], _ledger_schema(statements)).write.mode("append").parquet(ledger)
     rows, done = stage(rows, "statements"), read_ledger(statements, ledger)
     open_rows = rows.join(done.select(STATEMENT_ID), STATEMENT_ID, "left_anti")
     waves = math.ceil(open_rows.count() / (connections * per_task))

@@ -173,3 +173,15 @@ class TestSkew:
         conf(**{"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"})
         again = enriched_view(stored["metadata"].filter("uc_table_id < 500"), stored["tags"])
         assert bag(again, fv.RECORD_ID, *schemas.TAG_NAMES) == plain
+
+
+class TestHelperColumns:
+    def test_a_users_columns_stay(self, spark):
+        from metaloom.operators.joins import skew_safe_join
+
+        left = spark.createDataFrame([(1, "a", "b", "c"), (2, "d", "e", "f")], "k int, _key_hash string, _KEY_HASH_ string, v string")
+        right = spark.createDataFrame([(1, 10)], "k int, _key_hash__ int")
+        for how, want in (("inner", [(1, "a", "b", "c", 10)]), ("left", [(1, "a", "b", "c", 10), (2, "d", "e", "f", None)])):
+            joined = skew_safe_join(left, right, ["k"], how)
+            assert joined.columns == ["k", "_key_hash", "_KEY_HASH_", "v", "_key_hash__"] and bag(joined) == want
+        assert bag(skew_safe_join(left, right, ["k"], "left_anti")) == [(2, "d", "e", "f")]

@@ -1,6 +1,7 @@
 """Every registered query against its SQL, over the smallest tables."""
 
 import os
+import sys
 
 import pytest
 
@@ -32,3 +33,15 @@ def test_same_rows(spark, tables, name):
 def test_entry(spark):
     first, second = entry.entry(spark), entry.entry(spark)
     assert first.schema == second.schema and first.count() > 0
+
+
+@pytest.mark.parametrize("missing", ["metaloom.llm", "metaloom.llm.queries", "corpus_pipeline"])
+def test_the_core_needs_nothing_optional(monkeypatch, missing):
+    monkeypatch.setitem(sys.modules, missing, None)
+    if missing == "metaloom.llm":
+        monkeypatch.setitem(sys.modules, "metaloom.llm.queries", None)
+    with pytest.warns(UserWarning, match="without"):
+        left = entry.queries()
+    assert set(registered()) <= set(left) and "pipeline" not in left
+    with pytest.warns(UserWarning):
+        assert set(ORACLE) <= set(entry.oracle_sql())
