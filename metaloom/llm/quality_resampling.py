@@ -10,7 +10,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from metaloom.llm.blocks import slices
+from metaloom.llm.blocks import return_memory, slices
 from metaloom.llm.words import Words, mix, text_words
 from metaloom.operators.joins import unused_name
 from metaloom.session import stage
@@ -80,8 +80,9 @@ class _Features:
         self.pair[1:] = (mix(hashes[:-1] * _ODD + hashes[1:]) & np.uint64(PAIRS - 1)).astype(np.int64)
         self.pair[plain.starts[:-1][plain.lengths > 0]] = PAIRS  # before a first word is none
 
-    def count(self, total: np.ndarray, chosen: np.ndarray | None = None) -> None:
-        """Add the occurrences of words, heads, shapes, and first and repeated words, which lie one after the other."""
+    def count(self, total: np.ndarray, chosen: np.ndarray | None = None, pairs: np.ndarray | None = None) -> None:
+        """Add the occurrences of words, heads, shapes, and first and repeated words, which lie one after the other; of
+        chosen texts those of pairs as well."""
         columns = [self.word, self.head, self.shape, self.again]
         if chosen is not None:
             plain, raw = (np.repeat(chosen, w.lengths) for w in (self.plain, self.raw))
@@ -92,7 +93,7 @@ class _Features:
         if chosen is not None:
             own = self.pair[np.repeat(chosen, self.plain.lengths)]
             seen, n = np.unique(own[own < PAIRS], return_counts=True)
-            total[seen + _PAIRS_AT] += n
+            pairs[seen] += n
 
     def weights(self, models: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
         """For each text, the least log weight of a passage against low quality, and of a word against toxicity."""
@@ -163,20 +164,24 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
     known, classes = ids[fitted], kinds[fitted]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((4, _PAIRS_AT + PAIRS), np.int64)
+        # a task reads less than two billion words; pairs are counted of the labelled documents alone
+        total, pairs = np.zeros((4, _PAIRS_AT), np.int32), np.zeros((3, PAIRS), np.int32)
         for _, keys, texts in _chunks(batches, 0, 1):
             features = _Features(texts)
             features.count(total[ALL])
             own = _classes(keys, known, classes)
             for kind in (TARGET, LOW, TOXIC):
                 if (own == kind).any():
-                    features.count(total[kind], own == kind)
-        total[ALL, _PAIRS_AT:] = total[:ALL, _PAIRS_AT:].sum(axis=0)
-        seen = np.flatnonzero(total[ALL])
-        for at in range(0, len(seen), 1 << 16):
-            some = seen[at : at + (1 << 16)]
-            columns = [pa.array(some.astype(np.int32)), *(pa.array(c[some]) for c in total)]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", "c0", "c1", "c2", "c3"])
+                    features.count(total[kind], own == kind, pairs[kind])
+        for counts, first in ((total, 0), (pairs, _PAIRS_AT)):
+            seen = np.flatnonzero(counts.any(axis=0))
+            for at in range(0, len(seen), 1 << 16):
+                some = seen[at : at + (1 << 16)]
+                columns = [counts[c, some].astype(np.int64) if c < len(counts) else np.zeros(len(some), np.int64) for c in range(4)]
+                arrays = [pa.array((some + first).astype(np.int32)), *map(pa.array, columns)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["feature", "c0", "c1", "c2", "c3"])
+        del total, pairs
+        return_memory()
 
     counted = docs.mapInArrow(count, "feature int, c0 long, c1 long, c2 long, c3 long").groupBy("feature")
     summed = counted.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).toArrow()
