@@ -25,7 +25,7 @@ HEAD = 5
 PASSAGE = 16
 #: Times the log weight counts against Gumbel noise.
 SHARPNESS = 10.0
-#: Text bytes whose features are made at a time; they take some forty times as much.
+#: Text bytes whose features are made at a time; words and their features take many times as much.
 SLICE_BYTES = 1 << 19
 #: Hashed pairs of words.
 PAIRS = 1 << 20
