@@ -11,15 +11,20 @@ from metaloom.operators.joins import skew_safe_join
 from metaloom.operators.tags import pivot_tags
 
 
-def enriched_view(metadata: DataFrame, tags: DataFrame) -> DataFrame:
+def enriched_view(metadata: DataFrame, tags: DataFrame, colocated: bool = False) -> DataFrame:
     """Every metadata row with its discovery tags and, once synced, its link.
 
     Tags hang on names, not ids: a renamed table is untagged until tagged anew, and records
     that share names share tags. Tags are pivoted before the join, so it never fans out.
+    ``colocated`` inputs lie in buckets of the names (see ``plans.colocated``) and are joined where
+    they are.
     """
     names = dict(zip(schemas.TAG_KEYS, schemas.SOURCE_NAMES))
-    pivoted = pivot_tags(tags).withColumnsRenamed(names)
-    joined = skew_safe_join(metadata, pivoted, schemas.SOURCE_NAMES, "left")
+    pivoted = pivot_tags(tags, colocated).withColumnsRenamed(names)
+    if colocated:
+        joined = metadata.join(pivoted, list(schemas.SOURCE_NAMES), "left")
+    else:
+        joined = skew_safe_join(metadata, pivoted, schemas.SOURCE_NAMES, "left")
     return joined.withColumn(fv.LINK, link()).select(*schemas.VIEW.names)
 
 

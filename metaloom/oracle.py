@@ -374,6 +374,8 @@ FROM targets""",
     "metadata_roundtrip": _METADATA,
     "stored_view": _VIEW,
     "stored_upsert": _UPSERT,
+    "view_from_buckets": _VIEW,
+    "upsert_into_buckets": _UPSERT,
     "applied_statements": f"""
 SELECT object_name, 'Org-Acct' AS {fv.ACCOUNT},
        CASE WHEN contains(statement, 'EXTERNAL_VOLUME') THEN 'compile' END AS error_kind,

@@ -36,6 +36,7 @@ from metaloom.operators.targets import (
     target_schemas,
 )
 from metaloom.operators.view import create_view, enriched_view
+from metaloom.plans.colocated import Buckets, colocate, view_of
 from metaloom.plans.partitions import PartitionedTable
 from metaloom.session import stage, warehouse_root
 from metaloom.sources import listings
@@ -104,6 +105,8 @@ class CatalogMirror:
             "Tags of source tables, one row per table and tag.",
             sub_by="schema_name",
         )
+        self._copies: dict[str, Buckets] = {}
+        self._dropped: list[str] = []
         self.view_name = quoted(metadata_catalog, metadata_schema, metadata_table + fv.VIEW_SUFFIX)
 
     # Tables
@@ -120,8 +123,26 @@ class CatalogMirror:
 
     def view(self) -> DataFrame:
         """The enriched view of the current metadata and tags, as the stored view shows it by name."""
+        if self._copies:
+            return view_of(self._copies["metadata"], self._copies["tags"])
         return enriched_view(self.metadata.read(), self.tags.read())
 
+    def colocate(self, buckets: int | None = None) -> None:
+        """Copy metadata and tags into buckets of the table names, for ``view`` to read without exchanging them.
+
+        Worth one shuffle of both where the view is read several times between changes, as by the methods that render
+        statements. The copies show the tables as they are now, and are dropped by the next change this mirror makes;
+        call it again after changes made elsewhere.
+        """
+        self._drop_copies()
+        place, location = self.metadata, f"{self.metadata.location}/buckets"
+        tables = {"metadata": (place.read(), schemas.SOURCE_NAMES), "tags": (self.tags.read(), schemas.TAG_KEYS)}
+        self._copies = colocate(self.spark, place.catalog, place.schema, location, tables, buckets)
+
+    def _drop_copies(self) -> None:
+        self._dropped += [copy.drop() for copy in self._copies.values()]
+        self._copies = {}
+
     # Refresh
 
     def _facts(self, catalog: str, schema: str | Sequence[str] | None, table: str | None):
@@ -158,6 +179,7 @@ class CatalogMirror:
         known = self.metadata.part_of(self.metadata.touched(batch))
         changed = stage(changed_rows(known, batch), "changed")
         self.metadata.rewrite(changed, lambda known: upsert_metadata(known, changed))
+        self._drop_copies()
         return rejects
 
     def _unread(self, landed: LandedCatalog, catalog: str, schema: str | Sequence[str] | None) -> DataFrame:
@@ -183,7 +205,7 @@ class CatalogMirror:
 
     def unused_folders(self) -> list[str]:
         """Folders that this mirror's changes have replaced, for deletion once nobody reads them."""
-        return [*self.metadata.unused, *self.tags.unused]
+        return [*self.metadata.unused, *self.tags.unused, *self._dropped]
 
     def build_hierarchy_for_schema(self, catalog_name: str, schema_name: str) -> DataFrame:
         """One schema and its tables, nested."""
@@ -204,6 +226,7 @@ class CatalogMirror:
         """Give each table without mapping tags the default ones."""
         new_tags = stage(default_tags(untagged_tables(self.view())), "tags")
         self.tags.rewrite(new_tags, lambda known: set_default_tags(known, new_tags))
+        self._drop_copies()
 
     # Integrations
 
@@ -311,6 +334,7 @@ class CatalogMirror:
         outcomes = table_outcomes(finished, F.col(fv.ACCOUNT), F.current_timestamp(), keep=("applied_at",))
         status = latest_status(outcomes, ("applied_at",))
         self.metadata.rewrite(finished.select(*_DEALT_BY), lambda known: update_status(known, status))
+        self._drop_copies()
         return finished.select(fv.RECORD_ID).distinct().count()
 
 

@@ -36,6 +36,7 @@ from metaloom.operators.targets import (
     target_schemas,
 )
 from metaloom.operators.view import enriched_view, register_view
+from metaloom.plans.colocated import colocate, upsert_into
 from metaloom.plans.mirror import CatalogMirror
 from metaloom.session import stage, staging_path
 from metaloom.sources import listings
@@ -333,11 +334,16 @@ def _mirror(w: Workload) -> CatalogMirror:
     return mirror
 
 
-def stored_view(w: Workload) -> DataFrame:
-    """The stored view, read by name, over stored tables."""
+def _filled_mirror(w: Workload) -> CatalogMirror:
     mirror = _mirror(w)
     for table, rows in ((mirror.metadata, stage(w.metadata(), "metadata")), (mirror.tags, stage(w.tags(), "tags"))):
         table.rewrite(rows, lambda known, rows=rows: known.unionByName(rows))
+    return mirror
+
+
+def stored_view(w: Workload) -> DataFrame:
+    """The stored view, read by name, over stored tables."""
+    mirror = _filled_mirror(w)
     return _without_hashes(w.spark.sql(f"SELECT * FROM {mirror.view_name}"))
 
 
@@ -351,6 +357,22 @@ def stored_upsert(w: Workload) -> DataFrame:
     return _without_hashes(table.read())
 
 
+def view_from_buckets(w: Workload) -> DataFrame:
+    """The view of stored tables that were copied into buckets of the table names."""
+    mirror = _filled_mirror(w)
+    mirror.colocate()
+    return _without_hashes(mirror.view())
+
+
+def upsert_into_buckets(w: Workload) -> DataFrame:
+    """A refresh merged into a copy of the metadata in buckets of the record id."""
+    known, batch = (stage(rows, "batch") for rows in _merge_inputs(w))
+    place = _mirror(w).metadata
+    tables = {"metadata": (known, [fv.RECORD_ID])}
+    copies = colocate(w.spark, place.catalog, place.schema, place.location, tables)
+    return _without_hashes(upsert_into(copies["metadata"], batch))
+
+
 def _no_volumes() -> Execute:
     """A connection to a warehouse that knows no external volumes."""
 
@@ -442,6 +464,8 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "combinations_list": combinations_list,
     "stored_view": stored_view,
     "stored_upsert": stored_upsert,
+    "view_from_buckets": view_from_buckets,
+    "upsert_into_buckets": upsert_into_buckets,
     "applied_statements": applied_statements,
     "batch_stamp": batch_stamp,
     "run_inputs": run_inputs,

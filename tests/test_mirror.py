@@ -340,3 +340,16 @@ def test_a_missing_page_is_a_reject(spark, mirror):
     mirror.landed.table_pages = pages.filter("page_token IS NULL")
     assert bag(mirror.refresh_uc_metadata("cat"), "schema_name", "reason") == [*expected, ("sales", "listing: page p2 is missing")]
     assert names(mirror.metadata.read()) == CAT
+
+
+def test_copies_show_the_view_until_the_next_change(spark, mirror):
+    mirror.refresh_uc_metadata("cat")
+    before = bag(mirror.view())
+    mirror.colocate()
+    kept = mirror.view()
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString() and bag(kept) == before
+    mirror.colocate()  # replaces the first copies
+    assert bag(mirror.view()) == before and len([f for f in mirror.unused_folders() if "/buckets/" in f]) == 2
+    mirror.refresh_uc_metadata_tags()
+    assert bag(kept) == before and bag(mirror.view()) != before
+    assert len([f for f in mirror.unused_folders() if "/buckets/" in f]) == 4
