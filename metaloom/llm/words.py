@@ -49,6 +49,7 @@ class Words:
         for words in lists:
             ids.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words)))
             lengths.append(len(words))
+        index.default_factory = None  # or the index would hold itself until the next collection of cycles
         self.vocabulary = list(index)
         self.ids = np.concatenate(ids) if ids else np.empty(0, np.int32)
         self.lengths = np.array(lengths, np.int64)

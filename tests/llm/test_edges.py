@@ -1,5 +1,6 @@
 """Nulls, empty tables, repeated rows, long texts and clashing columns, and small brute-force comparisons."""
 
+import gc
 import re
 import zlib
 from collections import Counter
@@ -18,6 +19,7 @@ from metaloom.llm.quality_resampling import Resampler
 from metaloom.llm.queries import tokenizer_path
 from metaloom.llm.substring_dedup import remove_repeats
 from metaloom.llm.url_lists import url_verdicts
+from metaloom.llm.words import Words
 
 WORDS = [f"w{i}" for i in range(400)]
 LONG = " ".join(WORDS * 40)
@@ -294,3 +296,11 @@ def test_url_lists(spark):
     assert got == {1: ("allow", "a.b.com/x"), 2: ("block", "b.com"), 3: ("none", None), 4: ("none", None), 5: ("none", None)}
     assert url_verdicts(spark.createDataFrame([], rows), entries).count() == 0
     assert {r.verdict for r in url_verdicts(pages, entries.limit(0)).collect()} == {"none"}
+
+
+def test_words_leave_nothing_for_the_collector():
+    gc.collect()
+    words = Words([b"a b".split(), b"b c".split()])
+    assert words.vocabulary == [b"a", b"b", b"c"] and words.ids.tolist() == [0, 1, 1, 2]
+    del words
+    assert gc.collect() == 0
