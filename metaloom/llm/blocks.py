@@ -123,6 +123,23 @@ def return_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_held: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` returns, kept by a worker for its next tasks; a worker keeps one such object at a time."""
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Free what a worker keeps for tasks of another kind, before it needs the memory itself."""
+    _held.clear()
+    return_memory()
+
+
 def slices(batch: pa.RecordBatch, column: int, size: int = 2 << 20, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about ``size`` bytes in a text column at most, or one longer row."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)

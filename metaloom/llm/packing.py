@@ -7,14 +7,13 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from metaloom.llm.blocks import slices
+from metaloom.llm.blocks import held, let_go, slices
 from metaloom.session import stage
 
 #: Pieces that one task packs.
@@ -83,12 +82,6 @@ class WordTokenizer:
             self.known.update((w, data[a:b]) for w, a, b in zip(some, ends[:-1], ends[1:], strict=True))
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str) -> WordTokenizer:
-    """One for each worker."""
-    return WordTokenizer(path)
-
-
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -97,7 +90,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = _tokenizer(tokenizer_path)
+        tokenizer = held((WordTokenizer, tokenizer_path), lambda: WordTokenizer(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -172,6 +165,7 @@ def pack(pieces: DataFrame, size: int = 2048, partition_pieces: int = PARTITION_
 
     def task(turn: int):
         def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+            let_go()  # all is tokenized
             lengths = frame["length"].to_numpy()
             bins, offsets = best_fit_decreasing(lengths, size)
             used = np.bincount(bins, weights=lengths, minlength=1)

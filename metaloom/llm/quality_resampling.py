@@ -10,7 +10,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from metaloom.llm.blocks import return_memory, slices
+from metaloom.llm.blocks import let_go, return_memory, slices
 from metaloom.llm.words import Words, mix, text_words
 from metaloom.operators.joins import unused_name
 from metaloom.session import stage
@@ -166,6 +166,7 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
     known, classes = ids[fitted], kinds[fitted]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         # a task reads less than two billion words; pairs are counted of the labelled documents alone
         total, pairs = np.zeros((4, _PAIRS_AT), np.int32), np.zeros((3, PAIRS), np.int32)
         for _, keys, texts in _chunks(batches, 0, 1):
