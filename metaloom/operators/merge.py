@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -80,13 +81,13 @@ def changed_rows(metadata: DataFrame, batch: DataFrame) -> DataFrame:
     """The rows of a refresh batch that an upsert would add or change.
 
     The whole batch is checked first, as ``upsert_metadata`` does. A row whose id is known with other source ids is a
-    hash collision; it stays, and the upsert refuses it. Only the compared columns of the metadata are read.
+    hash collision; it stays, and the upsert refuses it. Only the compared columns of the metadata are read. They are
+    compared as a count of differences, which is no join key: rows join by id, by which the batch is already dealt.
     """
     compared = (*schemas.SOURCE_IDS, *schemas.REFRESHED)
     known = metadata.select(_ID, *compared).alias("t")
-    same = F.col(f"t.{_ID}") == F.col(f"u.{_ID}")
-    for name in compared:
-        same = same & F.col(f"t.{name}").eqNullSafe(F.col(f"u.{name}"))
+    differ = (F.when(F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}")), 0).otherwise(1) for c in compared)
+    same = (F.col(f"t.{_ID}") == F.col(f"u.{_ID}")) & (reduce(Column.__add__, differ) == 0)
     return unique_batch(batch).alias("u").join(known, same, "left_anti").select(*schemas.METADATA.names)
 
 

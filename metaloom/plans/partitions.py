@@ -92,8 +92,13 @@ class PartitionedTable:
         rows = rows.withColumn(PART, self._part())
         if not subs:
             return rows.withColumn(SUBS, F.lit(1)).withColumn(SUB, F.lit(0))
-        layout = self.spark.createDataFrame(list(subs.items()), f"{PART} int, {SUBS} int")
-        rows = rows.join(layout, PART, "left").withColumn(SUBS, F.coalesce(F.col(SUBS), F.lit(1)))
+        alike: dict[int, list[int]] = {}
+        for part, number in subs.items():
+            alike.setdefault(number, []).append(part)
+        number = F.lit(1)
+        for n, parts in alike.items():  # a condition for each power of two: joined with a layout, all rows would be exchanged
+            number = F.when(F.col(PART).isin(*parts), n).otherwise(number)
+        rows = rows.withColumn(SUBS, number)
         return rows.withColumn(SUB, F.pmod(F.xxhash64(F.lit(1), F.col(self.sub_by)), F.col(SUBS)).cast("int"))
 
     def create(self) -> None:

@@ -222,9 +222,7 @@ def record_keys(w: Workload) -> DataFrame:
 
 def _merge_inputs(w: Workload) -> tuple[DataFrame, DataFrame]:
     """A table that knows all but the P orders, and a batch of all but the F orders, renamed."""
-    metadata = w.metadata()
-    orders = w.table("orders").select(F.col("o_orderkey").cast("string").alias(fv.TABLE_ID), "o_orderstatus")
-    known = metadata.join(orders.filter("o_orderstatus <> 'P'"), fv.TABLE_ID, "left_semi")
+    known = w.metadata("o_orderstatus <> 'P'")
     renamed = w.inventory("o_orderstatus").filter("o_orderstatus <> 'F'").select(
         *schemas.SOURCE_IDS,
         fv.CATALOG_NAME,
@@ -251,7 +249,7 @@ def newest_status(w: Workload) -> DataFrame:
 
 
 def status_update(w: Workload) -> DataFrame:
-    return _without_hashes(w.metadata())
+    return _without_hashes(w.applied())
 
 
 def status_batch(w: Workload) -> DataFrame:
@@ -349,9 +347,11 @@ def stored_view(w: Workload) -> DataFrame:
 
 def stored_upsert(w: Workload) -> DataFrame:
     """A stored table after two refreshes, of which the second merges the rows that differ."""
-    known, batch = (stage(rows, "batch") for rows in _merge_inputs(w))
+    known, batch = _merge_inputs(w)
+    batch = stage(batch, "batch")
     table = _mirror(w).metadata
-    table.rewrite(known, lambda empty: empty.unionByName(known))
+    dealt_by = w.inventory(orders=w.table("orders").filter("o_orderstatus <> 'P'"))
+    table.rewrite(dealt_by, lambda empty: empty.unionByName(known))
     changed = stage(changed_rows(table.part_of(table.touched(batch)), batch), "changed")
     table.rewrite(changed, lambda stored: upsert_metadata(stored, changed))
     return _without_hashes(table.read())
