@@ -68,7 +68,7 @@ def colocate(
         name: rows.groupBy(F.xxhash64(*keys).alias("key")).agg(F.count("*").alias("n"))
         for name, (rows, keys) in tables.items()
     }
-    sizes = {name: n.agg(F.sum("n")).first()[0] or 0 for name, n in counted.items()}
+    sizes = {name: rows.count() for name, (rows, _) in tables.items()}
     if buckets is None:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(least, math.ceil(max(sizes.values()) / BUCKET_ROWS))

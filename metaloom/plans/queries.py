@@ -334,8 +334,9 @@ def _mirror(w: Workload) -> CatalogMirror:
 
 def _filled_mirror(w: Workload) -> CatalogMirror:
     mirror = _mirror(w)
-    for table, rows in ((mirror.metadata, stage(w.metadata(), "metadata")), (mirror.tags, stage(w.tags(), "tags"))):
-        table.rewrite(rows, lambda known, rows=rows: known.unionByName(rows))
+    mirror.metadata.rewrite(w.inventory(), lambda empty: empty.unionByName(w.metadata()))
+    tags = stage(w.tags(), "tags")
+    mirror.tags.rewrite(tags, lambda empty: empty.unionByName(tags))
     return mirror
 
 

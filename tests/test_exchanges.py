@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from metaloom import fixed_values as fv, schemas
 from metaloom.operators.keys import keyed
 from metaloom.operators.merge import changed_rows
+from metaloom.plans import queries
 from metaloom.plans.partitions import PartitionedTable
 from metaloom.plans.queries import _merge_inputs
-from metaloom.session import staging_path
+from metaloom.session import stage, staging_path
 from metaloom.workload import Workload
 from tests.fixtures import bag, inventory
 
@@ -75,3 +76,12 @@ def test_orders_without_lines_have_no_outcome(spark):
     assert bag(w.metadata()) == bag(w.applied())
     unlogged = w.metadata("o_orderkey % 2 = 1")
     assert unlogged.count() == unlogged.filter(F.col(fv.SYNC_STATUS).isNull() & F.col(fv.SYNC_DATE).isNull()).count() > 0
+
+
+def test_a_first_fill_stages_no_metadata(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(queries, "stage", lambda rows, name: (staged.append(name), stage(rows, name))[1])
+    w = Workload(spark, SF_DIR)
+    mirror = queries._filled_mirror(w)
+    assert "metadata" not in staged
+    assert bag(mirror.metadata.read()) == bag(w.metadata()) and bag(mirror.tags.read()) == bag(w.tags())
