@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,9 +18,10 @@ from metaloom.session import stage
 #: Pieces that one task packs.
 PARTITION_PIECES = 20_000
 #: Words whose ids a worker remembers, in about 200 bytes each.
-CACHED_WORDS = 800_000
-#: Marks that close a word after a letter or digit.
-_MARKS = re.compile(rb"(?<=[a-z0-9])[!-/:-@\[-`{-~]+(?=[\x20\x09-\x0D]|\Z)")
+CACHED_WORDS = 1_100_000
+#: Marks, of which those that close a word after a letter or digit are words for themselves.
+_MARKS = bytes([*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 #: Rounds of exchange between partitions whose bin count is above its bound.
 ROUNDS = 3
 
@@ -43,7 +43,9 @@ class WordTokenizer:
     """Token ids of whole texts, through ids of their words.
 
     The tokenizer drops white space and never joins characters across it, so the ids of a text are those of its words
-    one after the other. New words are encoded many at a time, as a text cut into words, and remembered.
+    one after the other. New words are encoded many at a time, as a text cut into words, and remembered. Words with
+    closing marks, which the tokenizer takes for themselves, are remembered as well, but not encoded: a rare word comes
+    with many of them.
     """
 
     def __init__(self, path: str):
@@ -55,20 +57,25 @@ class WordTokenizer:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit numbers."""
-        lists = [self._cut(t) for t in texts]
+        lists = [(t if b"<|" in t else t.lower()).split() for t in texts]  # as the tokenizer does, but for special strings
         known = self.known
-        new = list(set().union(*lists).difference(known))
+        new = set().union(*lists).difference(known)
         if len(known) + len(new) > CACHED_WORDS:
             known.clear()
-            new = list(set().union(*lists))
-        self._learn(new)
+            new = set().union(*lists)
+        parts = {word: own for word in new if (own := self._parts(word))}
+        encoded = new.difference(parts).union(*parts.values())
+        self._learn(list(encoded.difference(known)))
+        known.update((word, known[body] + known[marks]) for word, (body, marks) in parts.items())
         return [b"".join(map(known.__getitem__, words)) for words in lists]
 
     @staticmethod
-    def _cut(text: bytes) -> list[bytes]:
-        """Words, with fewer forms of each: lower-cased as the tokenizer does, and without closing marks, which it takes
-        for themselves. Texts with what may be a special string are left as they are."""
-        return (text if b"<|" in text else _MARKS.sub(rb" \g<0>", text.lower())).split()
+    def _parts(word: bytes) -> tuple[bytes, bytes] | None:
+        """A word and the marks that close it; none where there are no such marks, or may be a special string."""
+        body = word.rstrip(_MARKS)
+        if len(body) == len(word) or not body or body[-1] not in _LETTERS or b"<|" in word:
+            return None
+        return body, word[len(body) :]
 
     def _learn(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 2000):
