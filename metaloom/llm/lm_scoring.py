@@ -85,6 +85,18 @@ def context_bucket(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, np.minimum(np.log2(np.maximum(counts, 1)).astype(int) + 1, CONTEXT_BUCKETS - 1), 0)
 
 
+def distinct_classes(bucket: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct triples, in order, and how often each occurs; triples are sorted as one number of 64 bits each.
+
+    Ratios of estimates are from ``_NONE`` to below -``_NONE``.
+    """
+    wide = np.int64(2 * -_NONE)
+    packed, n = np.unique((bucket * wide + (one - _NONE)) * wide + (two - _NONE), return_counts=True)
+    rest, two = np.divmod(packed, wide)
+    bucket, one = np.divmod(rest, wide)
+    return [bucket, one + _NONE, two + _NONE], n
+
+
 def _estimates(tokens: tuple[np.ndarray, ...], total: int, kinds: int | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximum-likelihood probabilities of each token: uniform over all kinds and one unknown, unigram, bigram."""
     context, token, both = tokens
@@ -171,10 +183,10 @@ def score_texts(
         uniform, unigram, bigram = _estimates(tuple(x - 1 for x in known), total - 1, kinds - (known[1] == 1))
         with np.errstate(divide="ignore"):
             one, two = (np.round(STEPS * np.log2(x / uniform)) for x in (unigram, bigram))
-        classes = np.stack([context_bucket(known[0] - 1), *(np.where(np.isinf(x), _NONE, x) for x in (one, two))], axis=1)
-        rows, n = np.unique(classes.astype(np.int64), axis=0, return_counts=True)
+        ratios = (np.where(np.isinf(x), _NONE, x).astype(np.int64) for x in (one, two))
+        classes, n = distinct_classes(context_bucket(known[0] - 1), *ratios)
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array(rows[:, i].astype(np.int32)) for i in range(3)), pa.array(n.astype(np.int64))], schema=_GATHERED
+            [*(pa.array(x.astype(np.int32)) for x in classes), pa.array(n.astype(np.int64))], schema=_GATHERED
         )
 
     deleted = with_answers(of_part(blocks, 0), of_part(replies, 0), gather, "bucket int, unigram int, bigram int, n long")
