@@ -29,11 +29,11 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         made = moved.select(F.col("least").alias("a"), F.col("near").alias("b")).unionByName(
             least.select(F.col("least").alias("a"), F.col("node").alias("b"))
         )
-    return made.filter("a < b").distinct()
+    return made.filter("a < b")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node, root`` for every node of ``links(a, b)``; ``root`` is the least node reachable.
+def stars(links: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` of ``links(a, b)``'s components as stars: from the least node of each to all its others.
 
     Steps are written to the shared folder, and end when every edge leads to a node that has no smaller
     neighbour and the edges are stars. An empty table of links gives no rows. Links with a null end or with
@@ -42,11 +42,23 @@ def components(links: DataFrame) -> DataFrame:
     ordered = links.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     edges = stage(ordered.distinct(), "links")
     while True:
-        heads = edges.select(F.col("a").alias("node")).distinct()
-        tails = edges.groupBy(F.col("b").alias("node")).count()
-        loose = tails.join(heads, "node", "left_semi").limit(1).count()
-        if not loose and not tails.filter("count > 1").limit(1).count():
-            return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
-                edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
-            )
-        edges = stage(_stars(_stars(edges, True), False), "links")
+        # one grouping tells of every node how many edges end in it, and whether one begins there
+        ends = edges.select(F.col("b").alias("node"), F.lit(0).alias("begins"), F.lit(1).alias("ends")).unionByName(
+            edges.select(F.col("a").alias("node"), F.lit(1).alias("begins"), F.lit(0).alias("ends"))
+        )
+        seen = ends.groupBy("node").agg(F.max("begins").alias("begins"), F.sum("ends").alias("ends"))
+        if not seen.filter("ends > 1 OR ends = 1 AND begins = 1").limit(1).count():
+            return edges
+        edges = stage(_stars(_stars(edges, True), False).distinct(), "links")
+
+
+def rooted(edges: DataFrame) -> DataFrame:
+    """``node, root`` for every node of ``stars``."""
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
+        edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+    )
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``node, root`` for every node of ``links(a, b)``; ``root`` is the least node reachable. See ``stars``."""
+    return rooted(stars(links))

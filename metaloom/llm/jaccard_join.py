@@ -21,7 +21,7 @@ from metaloom.llm.blocks import (
     trimmed,
     with_answers,
 )
-from metaloom.llm.components import components
+from metaloom.llm.components import rooted, stars
 from metaloom.llm.words import Words, window_hashes
 from metaloom.operators.joins import skew_safe_join
 from metaloom.session import stage
@@ -158,7 +158,7 @@ def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 
 def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between signatures that connect exactly what all similar pairs connect.
+    """Edges ``(a, b)`` between signatures that connect exactly what all similar pairs connect.
 
     Candidates share an n-gram of their prefixes. All pairs in a bucket of candidates are not compared: first
     each set meets one pivot of its buckets, then every bucket that still holds several components compares one
@@ -196,7 +196,9 @@ def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
     links = stage(_linked(nearest, segments, percent), "similar")
     entries = entries.select("token", "one")
     for turn in range(ROUNDS):
-        roots = components(links).withColumnRenamed("node", "signature")
+        # the stars of what is known connect what its links do, and the next turn has less to find
+        links = stars(links)
+        roots = rooted(links).withColumnRenamed("node", "signature")
         placed = entries.withColumn("signature", F.col("one.signature")).join(roots, "signature", "left")
         placed = placed.select("token", "one", F.coalesce("root", "signature").alias("root"))
         spread = placed.groupBy("token", "root").agg(F.count("*").alias("n"), F.min("one").alias("head"))
@@ -217,7 +219,7 @@ def similarity_links(sets: DataFrame, percent: int) -> DataFrame:
             F.least("one.signature", "top.head.signature").alias("a"),
             F.greatest("one.signature", "top.head.signature").alias("b"),
         ).distinct()
-        links = stage(links.unionByName(_linked(pairs, segments, percent)).distinct(), "similar")
+        links = stage(links.unionByName(_linked(pairs, segments, percent)), "similar")
         entries = entries.select("token", "one")
     # one side of each pair is outside its bucket's largest component
     loose = entries.filter("root != top.root")
@@ -248,7 +250,7 @@ def near_duplicates(
     repeat an id or a text are rows like any other. An empty table gives no rows; other columns are ignored.
     """
     sets = _sharing(docs, size, percent, doc_id, text)
-    roots = components(similarity_links(sets, percent)).withColumnRenamed("node", "signature")
+    roots = rooted(stars(similarity_links(sets, percent))).withColumnRenamed("node", "signature")
     rows = sets.select("doc_id", "signature", "n_shingles")
     # the smallest id of each class first, so that the join with roots has one row a class
     classes = rows.filter("n_shingles > 0").groupBy("signature").agg(F.min("doc_id").alias("least"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ NO_STRATUM = -1e6
 TARGET, LOW, TOXIC, ALL = range(4)
 WORD, HEADS, SHAPE = range(3)
 _PAIRS_AT = 3 * FEATURES + 2
+#: Words, heads, shapes, first and repeated words, and pairs: how many features, and the stratum they tell from the target.
+_KINDS = ((FEATURES, TOXIC), (FEATURES, TOXIC), (FEATURES, LOW), (2, LOW), (PAIRS, TOXIC))
 
 _WEIGHTS = ("low_weight", "toxic_weight", "noise")
 
@@ -187,24 +189,40 @@ def fit_models(docs: DataFrame, ids: np.ndarray, kinds: np.ndarray) -> tuple[np.
         return_memory()
 
     counted = docs.mapInArrow(count, "feature int, c0 long, c1 long, c2 long, c3 long").groupBy("feature")
-    summed = counted.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))).toArrow()
-    counts = np.zeros((4, _PAIRS_AT + PAIRS))
-    counts[:, summed.column("feature").to_numpy()] = [summed.column(f"c{i}").to_numpy() for i in range(4)]
-    models = []
-    at = 0
-    for size, against in ((FEATURES, TOXIC), (FEATURES, TOXIC), (FEATURES, LOW), (2, LOW)):
-        part = counts[:, at : at + size]
-        at += size
-        corpus = (part[ALL] + 0.5) / (part[ALL].sum() + 0.5 * size)
-        prior = max(1.0, part[[TARGET, LOW, TOXIC]].sum(axis=1).min())
-        target, raw = ((part[c] + prior * corpus) / (part[c].sum() + prior) for c in (TARGET, against))
-        models.append(np.log(target / raw).astype(np.float32))
-    pairs = counts[:, _PAIRS_AT:]
-    target, raw = ((pairs[c] + 1) / (pairs[c].sum() + PAIRS) for c in (TARGET, TOXIC))
-    models.append(np.append(np.log(target / raw), 0).astype(np.float32))
+    counted = stage(counted.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(4))), "counts")
+    feature, ends = F.col("feature"), np.cumsum([size for size, _ in _KINDS]).tolist()
+    kind = F.lit(len(ends) - 1)
+    for i in reversed(range(len(ends) - 1)):
+        kind = F.when(feature < ends[i], i).otherwise(kind)
+    sums = {i: [0.0] * 4 for i in range(len(ends))}
+    found = counted.groupBy(kind.alias("kind")).agg(*(F.sum(f"c{i}") for i in range(4))).collect()
+    sums |= {r[0]: [float(n) for n in r[1:]] for r in found}
+    # counts stay on executors: a driver gets one number a feature, and none of features that are nowhere
+    columns, ratio = [F.col(f"c{i}") for i in range(4)], F.lit(0.0)
+    for i, (size, against) in enumerate(_KINDS):
+        ratio = F.when(kind == i, _ratio(columns, sums[i], size, against)).otherwise(ratio)
+    seen = counted.select("feature", ratio.alias("ratio")).toArrow()
+    ratios = np.concatenate([np.full(n, _ratio([0.0] * 4, sums[i], n, c)) for i, (n, c) in enumerate(_KINDS)])
+    for batch in seen.to_batches():
+        ratios[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    models = np.split(np.log(ratios).astype(np.float32), ends[:-1])
+    models[-1] = np.append(models[-1], np.float32(0))
+    del seen, ratios
+    return_memory()
     return tuple(models)
 
 
+def _ratio(counts: Sequence, sums: Sequence[float], size: int, against: int):
+    """The target's share of a feature over that of a raw stratum, by columns or numbers of its counts."""
+    if size == PAIRS:
+        target, raw = ((counts[c] + 1.0) / (sums[c] + PAIRS) for c in (TARGET, against))
+        return target / raw
+    corpus = (counts[ALL] + 0.5) / (sums[ALL] + 0.5 * size)
+    prior = max(1.0, min(sums[c] for c in (TARGET, LOW, TOXIC)))
+    target, raw = ((counts[c] + prior * corpus) / (sums[c] + prior) for c in (TARGET, against))
+    return target / raw
+
+
 def threshold(good: np.ndarray, bad: np.ndarray) -> float:
     """The value with the fewest good ones below and bad ones above; the middle of the widest gap of such."""
     values = np.unique(np.concatenate([good, bad]))
