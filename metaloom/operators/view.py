@@ -34,7 +34,7 @@ def view_text(metadata: str, tags: str) -> str:
     The same rows as ``enriched_view``, and the same plan: tags are combined map-side, and a
     hash of the names in the join condition keeps a hot name splittable.
     """
-    names, keys = (", ".join(quoted(c) for c in columns) for columns in (schemas.SOURCE_NAMES, schemas.TAG_KEYS))
+    names, keys = ", ".join(f"m.{quoted(c)}" for c in schemas.SOURCE_NAMES), ", ".join(map(quoted, schemas.TAG_KEYS))
     kept = ", ".join(sql_literal(n) for n in schemas.TAG_NAMES)
     pivot = ", ".join(
         f"max(CASE WHEN tag_name = {sql_literal(n)} THEN tag_value END) AS {quoted(n)}" for n in schemas.TAG_NAMES
@@ -53,10 +53,10 @@ def view_text(metadata: str, tags: str) -> str:
     return (
         f"SELECT {columns}, "
         f"CASE WHEN m.{quoted(fv.SYNC_STATUS)} = {sql_literal(fv.STATUS_SUCCESS)} THEN {url} END AS {quoted(fv.LINK)} "
-        f"FROM (SELECT *, xxhash64({names}) AS key_hash FROM {metadata}) m "
+        f"FROM {metadata} m "
         f"LEFT JOIN (SELECT xxhash64({keys}) AS key_hash, {keys}, {pivot} FROM {tags} "
         f"WHERE tag_name IN ({kept}) GROUP BY xxhash64({keys}), {keys}) t "
-        f"ON m.key_hash = t.key_hash AND {same}"
+        f"ON xxhash64({names}) = t.key_hash AND {same}"
     )
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from metaloom.functions.text import quoted, sql_literal
+from metaloom.session import stage
 from metaloom.sources.tables import conform
 
 #: Partition columns: the part, how many sub-parts it has, and which of them.
@@ -72,6 +73,11 @@ class PartitionedTable:
     def name(self) -> str:
         return quoted(self.catalog, self.schema, self.table)
 
+    @property
+    def _stored(self) -> StructType:
+        """The table's columns and those of its partitions."""
+        return StructType([*self.columns.fields, *_LAYOUT.fields])
+
     def properties(self) -> dict[str, str]:
         return {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()}
 
@@ -87,9 +93,17 @@ class PartitionedTable:
     def _part(self) -> Column:
         return F.pmod(F.xxhash64(self.part_by), F.lit(self.stored_parts())).cast("int")
 
+    def _deal_number(self) -> Column:
+        """What rows of a part are dealt to its sub-parts by: the remainder, as numbers of sub-parts divide ``MOST_SUBS``."""
+        by = F.lit(0) if self.sub_by is None else F.pmod(F.xxhash64(F.lit(1), F.col(self.sub_by)), F.lit(MOST_SUBS))
+        return by.cast("int")
+
     def _dealt(self, rows: DataFrame, subs: dict[int, int]) -> DataFrame:
         """Rows with their partition columns; ``subs`` are the parts with more than one sub-part."""
-        rows = rows.withColumn(PART, self._part())
+        return self._placed(rows.withColumn(PART, self._part()), self._deal_number(), subs)
+
+    @staticmethod
+    def _placed(rows: DataFrame, number_dealt: Column, subs: dict[int, int]) -> DataFrame:
         if not subs:
             return rows.withColumn(SUBS, F.lit(1)).withColumn(SUB, F.lit(0))
         alike: dict[int, list[int]] = {}
@@ -99,7 +113,7 @@ class PartitionedTable:
         for n, parts in alike.items():  # a condition for each power of two: joined with a layout, all rows would be exchanged
             number = F.when(F.col(PART).isin(*parts), n).otherwise(number)
         rows = rows.withColumn(SUBS, number)
-        return rows.withColumn(SUB, F.pmod(F.xxhash64(F.lit(1), F.col(self.sub_by)), F.col(SUBS)).cast("int"))
+        return rows.withColumn(SUB, F.pmod(number_dealt, F.col(SUBS)).cast("int"))
 
     def create(self) -> None:
         """Create the table, empty, unless it is there; finish a change that was stopped while it was put in place."""
@@ -129,17 +143,21 @@ class PartitionedTable:
         with ThreadPoolExecutor(_AT_ONCE) as pool:
             return dict(zip(places, pool.map(self._location, places), strict=True))
 
-    def touched(self, rows: DataFrame) -> set[Spec]:
-        """The partitions that rows with these values of ``part_by`` and ``sub_by`` belong to, or will."""
+    def touched(self, rows: DataFrame, rows_each: float = 1) -> set[Spec]:
+        """The partitions that rows with these values of ``part_by`` and ``sub_by`` belong to, or will.
+
+        ``rows`` are computed once. Each stands for about ``rows_each`` rows of the table, which sizes new parts.
+        """
         subs = {part: n for part, n, _ in self.partitions()}
-        counts = rows.groupBy(self._part().alias(PART)).count().collect()
+        counted = stage(rows.groupBy(self._part().alias(PART), self._deal_number().alias("number")).count(), "touched")
+        counts = counted.groupBy(PART).agg(F.sum("count").alias("n")).collect()
         if self.sub_by is not None:
-            subs |= {r[PART]: self._wanted(r["count"]) for r in counts if r[PART] not in subs}
+            subs |= {r[PART]: self._wanted(r["n"] * rows_each) for r in counts if r[PART] not in subs}
         large = {r[PART]: subs[r[PART]] for r in counts if subs.get(r[PART], 1) > 1}
-        places = self._dealt(rows, large).select(PART, SUBS, SUB).distinct() if counts else None
+        places = self._placed(counted, F.col("number"), large).select(PART, SUBS, SUB).distinct()
         return {tuple(r) for r in places.collect()} if counts else set()
 
-    def _wanted(self, rows: int) -> int:
+    def _wanted(self, rows: float) -> int:
         subs = 1
         while subs < MOST_SUBS and subs * self.sub_rows < rows:
             subs *= 2
@@ -173,6 +191,22 @@ class PartitionedTable:
         subs = {part: n for part, n, _ in places if n > 1}
         return self._replace(places, change(self.part_of(places)), subs)
 
+    def fill(
+        self, touching: DataFrame, rows: DataFrame, made: Callable[[DataFrame], DataFrame], rows_each: float = 1
+    ) -> None:
+        """Write the first rows of some partitions, made of short rows only where they are written.
+
+        ``rows`` have the ``part_by`` and ``sub_by`` columns and what ``made`` needs to make the table's rows of them,
+        each by itself; it keeps the partition columns. So what is exchanged is the short rows. ``touching`` is as for
+        ``rewrite``, ``rows_each`` as for ``touched``. Partitions that have rows already are refused.
+        """
+        self.finish()
+        places = self.touched(touching, rows_each)
+        if places & self.partitions():
+            raise ValueError(f"{self.name} has rows already where rows are to be filled in")
+        if places:
+            self._replace(places, rows, {part: n for part, n, _ in places if n > 1}, made)
+
     def redeal(self) -> list[str]:
         """Give parts that have outgrown their sub-parts twofold new ones; nobody should read them meanwhile."""
         self.finish()
@@ -182,13 +216,22 @@ class PartitionedTable:
         places = {p for p in self.partitions() if p[0] in crowded and crowded[p[0]] != p[1]}
         return self._replace(places, self.part_of(places), crowded) if places else []
 
-    def _replace(self, places: set[Spec], rows: DataFrame, subs: dict[int, int]) -> list[str]:
-        after = self._dealt(conform(rows, self.columns), subs)
+    def _replace(
+        self,
+        places: set[Spec],
+        rows: DataFrame,
+        subs: dict[int, int],
+        made: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> list[str]:
+        after = self._dealt(conform(rows, self.columns) if made is None else rows, subs)
         if len(places) > 1:  # files of a sensible size, whatever the partitions' sizes
             after = after.hint("rebalance", PART, SUBS, SUB)
+        if made is not None:  # the writer needs this order: short rows are sorted, not what is made of them
+            order = (PART, SUBS, SUB) if self.sub_by is None else (PART, SUBS, SUB, self.sub_by)
+            after = conform(made(after.sortWithinPartitions(*order)), self._stored)
         folder = f"{self.location}/{self.table}-{uuid.uuid4().hex}"
         self.spark.createDataFrame(sorted(places), _LAYOUT).coalesce(1).write.parquet(f"{folder}-touched")
-        after.write.partitionBy(PART, SUBS, SUB).parquet(folder)
+        after.write.partitionBy(PART, SUBS, SUB).parquet(folder, compression="zstd")
         self.set_property(PENDING_PROPERTY, folder)  # from here on the change is finished, by whoever comes next
         return self.finish()
 
@@ -207,8 +250,7 @@ class PartitionedTable:
         folder = self.properties().get(PENDING_PROPERTY)
         if folder is None:
             return []
-        stored = StructType([*self.columns.fields, *_LAYOUT.fields])
-        written = self.spark.read.schema(stored).parquet(folder).select(PART, SUBS, SUB).distinct().collect()
+        written = self.spark.read.schema(self._stored).parquet(folder).select(PART, SUBS, SUB).distinct().collect()
         touched = self.spark.read.schema(_LAYOUT).parquet(f"{folder}-touched").collect()
         new, known = {tuple(r) for r in written}, self.partitions()
         gone = sorted(({tuple(r) for r in touched} - new) & known)

@@ -38,6 +38,7 @@ from metaloom.operators.targets import (
 from metaloom.operators.view import enriched_view, register_view
 from metaloom.plans.colocated import colocate, upsert_into
 from metaloom.plans.mirror import CatalogMirror
+from metaloom.plans.partitions import PART, SUB, SUBS
 from metaloom.session import stage, staging_path
 from metaloom.sources import listings
 from metaloom.sources.tables import empty_metadata, read_metadata
@@ -334,9 +335,12 @@ def _mirror(w: Workload) -> CatalogMirror:
 
 def _filled_mirror(w: Workload) -> CatalogMirror:
     mirror = _mirror(w)
-    mirror.metadata.rewrite(w.inventory(), lambda empty: empty.unionByName(w.metadata()))
-    tags = stage(w.tags(), "tags")
-    mirror.tags.rewrite(tags, lambda empty: empty.unionByName(tags))
+    w.place_orders()
+    layout = (PART, SUBS, SUB)
+    tables = w.inventory().withColumnsRenamed(dict(zip(schemas.SOURCE_NAMES, schemas.TAG_KEYS)))
+    mirror.metadata.fill(tables, w.short_metadata(), lambda short: w.metadata_of(short, *layout))
+    tags_each = w.table("lineitem").count() / max(w.table("orders").count(), 1)
+    mirror.tags.fill(tables, w.short_tags(), lambda short: w.tags_of(short, *layout), tags_each)
     return mirror
 
 

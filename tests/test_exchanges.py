@@ -85,3 +85,70 @@ def test_a_first_fill_stages_no_metadata(spark, monkeypatch):
     mirror = queries._filled_mirror(w)
     assert "metadata" not in staged
     assert bag(mirror.metadata.read()) == bag(w.metadata()) and bag(mirror.tags.read()) == bag(w.tags())
+
+
+def test_a_first_fill_stages_no_tags_and_exchanges_no_texts(spark, monkeypatch):
+    staged, short = [], []
+    monkeypatch.setattr(queries, "stage", lambda rows, name: (staged.append(name), stage(rows, name))[1])
+    for made in ("metadata_of", "tags_of"):
+        method = getattr(Workload, made)
+        monkeypatch.setattr(
+            Workload, made, lambda w, rows, *more, method=method: (short.append(rows), method(w, rows, *more))[1]
+        )
+    queries._filled_mirror(Workload(spark, SF_DIR))
+    assert "tags" not in staged and len(short) == 2
+    for rows in short:  # what texts are made of has been dealt already
+        assert "RebalancePartitions" in rows._jdf.queryExecution().optimizedPlan().toString()
+        assert not {fv.TABLE_LOCATION, fv.SYNC_MESSAGE, "table_name", "tag_name"} & set(rows.columns)
+
+
+def test_partitions_with_rows_are_not_filled(spark):
+    w = Workload(spark, SF_DIR)
+    mirror = queries._filled_mirror(w)
+    before = bag(mirror.tags.read())
+    tables = w.inventory().withColumnsRenamed(dict(zip(schemas.SOURCE_NAMES, schemas.TAG_KEYS)))
+    with pytest.raises(ValueError, match="has rows already"):
+        mirror.tags.fill(tables, w.short_tags(), lambda short: w.tags_of(short, "part", "subs", "sub"))
+    assert bag(mirror.tags.read()) == before
+
+
+def test_touching_rows_are_computed_once(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS exchanges")
+    place = (spark, "spark_catalog", "exchanges", "touched", schemas.METADATA, fv.CATALOG_ID)
+    table = PartitionedTable(*place, staging_path(spark, "touched"), parts=8, sub_by=fv.SCHEMA_ID, sub_rows=10)
+    table.create()
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(rows):
+        for batch in rows:
+            seen.add(len(batch))
+            yield batch
+
+    ids = spark.range(200).select(
+        F.concat(F.lit("c"), F.col("id") % 3).alias(fv.CATALOG_ID), F.concat(F.lit("s"), "id").alias(fv.SCHEMA_ID)
+    )
+    places = table.touched(ids.mapInPandas(tell, ids.schema))
+    assert seen.value == 200
+    subs = {part: n for part, n, _ in places if n > 1}
+    assert subs and {tuple(r) for r in table._dealt(ids, subs).select("part", "subs", "sub").collect()} == places
+    larger = {n for _, n, _ in table.touched(ids, rows_each=4)}
+    assert max(larger) == 4 * max(subs.values())
+
+
+def test_the_stored_view_exchanges_each_row_once_without_a_hash(spark):
+    mirror = queries._filled_mirror(Workload(spark, SF_DIR))
+    keys = exchanges(spark.table(mirror.view_name))
+    assert len(keys) == 2 and sum(k.startswith("xxhash64(") for k in keys) == 1
+
+
+def test_lines_with_odd_flags_have_the_outcome_of_all_others(spark):
+    w = Workload(spark, SF_DIR)
+    n = F.col("l_orderkey") + F.col("l_linenumber")
+    w._read["lineitem"] = w.table("lineitem").withColumns(
+        {
+            "l_returnflag": F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, "X").otherwise(F.col("l_returnflag")),
+            "l_linestatus": F.when(n % 3 == 0, F.lit(None)).when(n % 7 == 1, "Z").otherwise(F.col("l_linestatus")),
+            "l_quantity": F.when(n % 11 == 0, F.lit(None)).otherwise(F.col("l_quantity")),
+        }
+    )
+    assert bag(w.metadata()) == bag(w.applied())
