@@ -20,6 +20,10 @@ CELL_ROWS, BLOCK_ROWS, ANCHOR_ROWS = 4096, 2048, 512
 MAX_CENTRES = 64
 #: Rows that the codebooks are fitted on, at most, and rounds of fitting. All rows are indexed.
 SAMPLE_ROWS, FIT_ROUNDS = 20_000, 10
+#: Times the rows of the sample that are expected below the hash under which it is looked for.
+SAMPLE_MARGIN = 1.1
+#: Visits that leave a task at once, each with its anchor's vector, and visits and bytes of anchors that a task gathers.
+VISIT_ROWS, PENDING_VISITS, PENDING_BYTES = 4096, 1 << 21, 32 << 20
 #: After round r an anchor has visited the first FIRST_CELLS * MORE^r cells of its order.
 FIRST_CELLS, MORE = 4, 4
 #: Above any product of integers that floating point may round.
@@ -27,6 +31,7 @@ _EXACT = float(2**53)
 
 _WINDOWS = "array<struct<wid:int,low:long,high:long>>"
 _ASKED = f"uid long, vec_id long, label string, vector binary, windows {_WINDOWS}"
+_VISITS = f"cell long, asking array<struct<uid:long,vec_id:long,label:string,vector:binary,windows:{_WINDOWS}>>"
 _WINDOWS_ARROW = pa.list_(pa.struct([("wid", pa.int32()), ("low", pa.int64()), ("high", pa.int64())]))
 
 
@@ -134,6 +139,33 @@ def _packed(vectors: DataFrame, vec_id: str, label: str, embedding: str, scale:
     return rows.mapInArrow(pack, "vec_id long, label string, vector binary").distinct()
 
 
+def _fitted(rows: DataFrame, size: int, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The centres of both halves, fitted in one task on the ``SAMPLE_ROWS`` of ``size`` rows that have the least hashes.
+
+    The driver gets no row, only centres. Sorting with a limit keeps that many rows of every partition, so rows beyond a
+    hash that the sample hardly reaches are dropped before. Rows differ, and so do their hashes.
+    """
+    drawn = rows.select("vector", F.xxhash64("vec_id", "label", "vector", F.lit(seed)).alias("at"))
+    share = SAMPLE_MARGIN * SAMPLE_ROWS / size
+    if share < 1:
+        drawn = drawn.filter(F.col("at") <= int(share * 2**64) - 2**63)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [matrix(batch.column("vector").to_pylist()) for batch in batches if batch.num_rows]
+        if parts:
+            sample, rng = np.concatenate(parts), np.random.default_rng(seed)
+            cut = (sample.shape[1] + 1) // 2
+            halves = [fit_centres(half, k, rng) for half in (sample[:, :cut], sample[:, cut:])]
+            columns = [[0, 1], *zip(*(c.shape for c in halves), strict=True), [c.astype("<f8").tobytes() for c in halves]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["half", "n", "width", "centres"])
+
+    least = drawn.orderBy("at", "vector").limit(SAMPLE_ROWS).select("vector").coalesce(1)
+    found = least.mapInArrow(fit, "half long, n long, width long, centres binary").collect()
+    by_half = sorted(found, key=lambda r: r["half"])
+    first, second = (np.frombuffer(bytes(r["centres"]), "<f8").reshape(r["n"], r["width"]) for r in by_half)
+    return first, second
+
+
 class _Searcher:
     """Searches rows of one length, kept as blocks of the cells of a multi-index."""
 
@@ -142,11 +174,7 @@ class _Searcher:
         self.anchor_rows = anchor_rows
         size = max(1, rows.count())
         k = min(MAX_CENTRES, math.ceil(math.sqrt(math.ceil(size / cell_rows))))
-        by_hash = F.xxhash64("vec_id", F.lit(seed))
-        sample = matrix([bytes(r[0]) for r in rows.select("vector").orderBy(by_hash, "vector").limit(SAMPLE_ROWS).collect()])
-        rng = np.random.default_rng(seed)
-        cut = (sample.shape[1] + 1) // 2
-        centres = (fit_centres(sample[:, :cut], k, rng), fit_centres(sample[:, cut:], k, rng))
+        centres = _fitted(rows, size, k, seed)
         bare = MultiIndex(centres, (np.zeros(0), np.zeros(0)), np.zeros(0))
         fitted = spark.sparkContext.broadcast(bare)
 
@@ -182,15 +210,15 @@ class _Searcher:
         more in each round, until no cell ahead can hold a row that belongs to a window's first ``k``.
         """
         spark, index, cells = asked.sparkSession, self.index, self.cells
-        groups = max(1, math.ceil(asked.count() / self.anchor_rows))
         found = spark.createDataFrame([], "uid long, wid int, score long, id long")
         seen, upto = 0, min(FIRST_CELLS, cells)
         while True:
-            visits = asked.mapInArrow(_visits(index, seen, upto), f"cell long, {_ASKED}")
-            visits = visits.groupBy("cell", F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("grp")).agg(
-                F.collect_list(F.struct("uid", "vec_id", "label", "vector", "windows")).alias("asking")
-            )
-            met = skew_safe_join(visits.select("cell", "asking"), self.blocks, ["cell"], "inner")
+            # A task should have enough anchors for an eighth of ``anchor_rows`` in a cell on average.
+            tasks = math.ceil(8 * asked.count() * (upto - seen) / (cells * self.anchor_rows))
+            visits = asked.coalesce(max(1, tasks)).mapInArrow(_visits(index, seen, upto, self.anchor_rows), _VISITS)
+            # Spark plans by the size of the anchors' file, but each visit has a vector: it must not be broadcast.
+            visits = visits.hint("merge")
+            met = skew_safe_join(visits, self.blocks, ["cell"], "inner")
             scored = met.select("asking", "held").mapInArrow(_scores(k, same_label), found.schema)
             ranked = Window.partitionBy("uid", "wid").orderBy(F.desc("score"), "id")
             best = found.unionByName(scored).withColumn("at", F.row_number().over(ranked)).filter(F.col("at") <= k)
@@ -216,26 +244,64 @@ def _ordered(index: MultiIndex, batch: pa.RecordBatch, upto: int) -> Iterator[li
         yield [(b, c, lows[0][c // wide] + lows[1][c % wide]) for (b, c), _ in zip(order, range(upto + 1), strict=False)]
 
 
-def _visits(shared, seen: int, upto: int):
-    """The cells that an anchor visits in this round: those whose bounds meet one of its windows."""
+def _visits(shared, seen: int, upto: int, anchor_rows: int):
+    """The cells that anchors visit in this round, those whose bounds meet one of their windows: ``cell, asking``, with
+    up to ``anchor_rows`` anchors in a row. A task gathers its anchors by cell and lets them go before they grow many."""
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[pa.RecordBatch] = []
+        by_cell: dict[int, list[int]] = {}
+        before = visits = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, cells = [], []
+            if sum(b.nbytes for b in gathered) >= PENDING_BYTES:
+                yield from _grouped(gathered, by_cell, anchor_rows)
+                gathered, by_cell, before, visits = [], {}, 0, 0
+            gathered.append(batch)
             windows = batch.column("windows").to_pylist()
             for at, order in enumerate(_ordered(shared.value, batch, upto)):
+                row = before + at
                 for upper, cell, lower in order[seen:upto]:
                     if any(upper >= w["low"] and lower <= w["high"] for w in windows[at]):
-                        rows.append(at)
-                        cells.append(cell)
-            taken = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), *taken.columns], names=["cell", *batch.schema.names])
+                        by_cell.setdefault(cell, []).append(row)
+                        visits += 1
+                if visits >= PENDING_VISITS:
+                    yield from _grouped(gathered, by_cell, anchor_rows)
+                    gathered, by_cell, before, visits = [batch], {}, 0, 0
+            before += batch.num_rows
+        yield from _grouped(gathered, by_cell, anchor_rows)
 
     return visit
 
 
+def _grouped(gathered: list[pa.RecordBatch], by_cell: dict[int, list[int]], anchor_rows: int) -> Iterator[pa.RecordBatch]:
+    """``cell, asking`` of the rows, numbered through ``gathered``, that visit each cell."""
+    if not by_cell:
+        return
+    whole = pa.Table.from_batches(gathered).combine_chunks().to_batches()[0]
+    cells: list[int] = []
+    rows: list[int] = []
+    ends = [0]
+    for cell, own in by_cell.items():
+        for at in range(0, len(own), anchor_rows):
+            cells.append(cell)
+            rows += own[at : at + anchor_rows]
+            ends.append(len(rows))
+            if len(rows) >= VISIT_ROWS:
+                yield _visit_rows(whole, cells, rows, ends)
+                cells, rows, ends = [], [], [0]
+    if rows:
+        yield _visit_rows(whole, cells, rows, ends)
+
+
+def _visit_rows(whole: pa.RecordBatch, cells: list[int], rows: list[int], ends: list[int]) -> pa.RecordBatch:
+    taken = whole.take(pa.array(rows, pa.int64()))
+    anchors = pa.StructArray.from_arrays(taken.columns, names=whole.schema.names)
+    asking = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), anchors)
+    return pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), asking], names=["cell", "asking"])
+
+
 def _still_open(shared, upto: int, k: int):
     """Anchors with the windows that a cell ahead may still change."""
 
